@@ -37,12 +37,14 @@ VERSION_COLS = ["iso_date", "title", "snippet", "rating", "app"]
 
 
 def pick_latest_new(new: DataFrame) -> DataFrame:
-    """One row per non-null ``id`` of the incoming batch (deterministic)."""
+    """One row per non-null ``id`` of the incoming batch (deterministic), with
+    ``n_batch`` = number of batch rows of that id (the duplicate check rides on
+    this aggregation instead of a second shuffle)."""
     return (
         new.where(F.col("id").isNotNull())
         .groupBy("id")
-        .agg(F.max(F.struct(*NEW_PICK_ORDER)).alias("n"))
-        .select("id", *[F.col(f"n.{c}").alias(c) for c in NEW_PICK_ORDER])
+        .agg(F.max(F.struct(*NEW_PICK_ORDER)).alias("n"), F.count(F.lit(1)).alias("n_batch"))
+        .select("id", *[F.col(f"n.{c}").alias(c) for c in NEW_PICK_ORDER], "n_batch")
     )
 
 
@@ -121,7 +123,7 @@ def snapshot_merge(
     ``how='left_outer'`` keeps only ids of the incoming batch.
 
     Output: id, avatar, app, segmento, rating, iso_date, title, snippet, likes,
-    historical_data, in_batch.
+    historical_data, in_batch, n_batch.
     """
     if how not in ("full_outer", "left_outer"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -129,7 +131,7 @@ def snapshot_merge(
     # plain names, and an unprefixed reference inside a lambda could bind to
     # such an alias (lateral column alias resolution).
     n = pick_latest_new(new).select(
-        "id", *[F.col(c).alias(f"n_{c}") for c in NEW_PICK_ORDER], F.lit(True).alias("in_batch"))
+        "id", *[F.col(c).alias(f"n_{c}") for c in NEW_PICK_ORDER], "n_batch", F.lit(True).alias("in_batch"))
     o = history_by_id(history_versions(history, run_date))
     j = n.join(o, "id", how)
     new_vals = {f: F.col(f"n_{f}") for f in CHANGE_FIELDS}
@@ -145,6 +147,7 @@ def snapshot_merge(
         F.col("n_likes").alias("likes"),
         _history_column(F.col("n_segmento"), new_vals).alias("historical_data"),
         F.coalesce("in_batch", F.lit(False)).alias("in_batch"),
+        F.coalesce("n_batch", F.lit(0)).alias("n_batch"),
     )
 
 
@@ -155,17 +158,33 @@ def change_detection(new: DataFrame, history: DataFrame, run_date: str | None =
     the versions side is the large, possibly skewed one and is the streamed
     side, so AQE's skew-join split applies to it.
     """
-    n = pick_latest_new(new).select("id", *[F.col(c).alias(f"n_{c}") for c in CHANGE_FIELDS])
+    n = pick_latest_new(new).select("id", *[F.col(c).alias(f"n_{c}") for c in CHANGE_FIELDS],
+                                    F.col("segmento").alias("new_segmento"))
     v = history_versions(history, run_date)
     j = v.join(n, "id", "inner")
     flags = {f"{f}_changed": differs(F.col(f"n_{f}"), F.col(f)) for f in CHANGE_FIELDS}
-    out = j.select("id", *VERSION_COLS, *[e.alias(k) for k, e in flags.items()])
+    out = j.select("id", *VERSION_COLS, "new_segmento", *[e.alias(k) for k, e in flags.items()])
     any_changed = None
     for k in flags:
         any_changed = F.col(k) if any_changed is None else any_changed | F.col(k)
     return out.withColumn("changed", any_changed)
 
 
+def collect_history(changes: DataFrame) -> DataFrame:
+    """Group changed versions (output of :func:`change_detection`) into one
+    history array per id, ordered like the merge's history.  Only ids with at
+    least one change appear.  ``collect_list`` is the map-side-combinable
+    object aggregate; the array is the output shape, one entry per distinct
+    changed version."""
+    entry = F.struct(*VERSION_COLS, "new_segmento")
+    grouped = (changes.where("changed").groupBy("id")
+               .agg(F.array_sort(F.collect_list(entry)).alias("versions")))
+    hist = F.transform("versions", lambda v: F.struct(
+        v["title"].alias("title"), v["snippet"].alias("snippet"), v["app"].alias("app"),
+        v["new_segmento"].alias("segmento"), v["rating"].alias("rating"), v["iso_date"].alias("iso_date")))
+    return grouped.select("id", hist.cast(HISTORY_ARRAY).alias("historical_data"))
+
+
 def history_join(new: DataFrame, history: DataFrame, how: str, run_date: str | None = None) -> DataFrame:
     """Join of de-duplicated new rows with de-duplicated earlier versions.
 

@@ -3,12 +3,15 @@
 Tables ``documents`` etc. are views over the test parquet files.  The CTEs
 below restate the fixture rules of ``tessera.sources.fixtures``; text folding
 uses DuckDB's own ``strip_accents`` (an independent implementation of the
-same transliteration on the letters present in the data).
+same transliteration on the letters present in the data).  The merge is
+written the textbook way (window ``row_number`` picks, joins, ``string_agg``),
+not the way the Spark plan computes it.
 """
 
 from __future__ import annotations
 
 RUN_DATE = "20240103"
+STRIP = r"'^\s+|\s+$'"
 
 
 def fold(x: str) -> str:
@@ -39,14 +42,35 @@ bronze AS (
   FROM bronze_src
 )"""
 
-NORM = f"""
-norm AS (
+LAYOUT = """
+layout AS (
+  SELECT b.*,
+         CASE doc_id % 3 WHEN 0 THEN 'my_app' WHEN 1 THEN 'appone' ELSE 'apptwo' END AS lapp,
+         CASE WHEN doc_id % 2 = 0 THEN 'pf' ELSE 'pj' END AS lseg
+  FROM bronze b
+),
+raw_read AS (
+  SELECT avatar, date, id, iso_date, likes, rating, snippet, title,
+         lapp || '_' || lseg AS app,
+         CASE WHEN lapp = 'my_app' THEN '' ELSE lseg END AS segmento,
+         lseg
+  FROM layout
+)"""
+
+
+def norm_cte(name: str, src: str) -> str:
+    return f"""
+{name} AS (
   SELECT avatar, id, iso_date, app, segmento,
          CAST(CAST(trunc(rating) AS INTEGER) AS VARCHAR) AS rating,
          likes, {fold('title')} AS title, {fold('snippet')} AS snippet
-  FROM bronze
+  FROM {src}
 )"""
 
+
+NORM = norm_cte("norm", "bronze")
+NORM_L = norm_cte("norm_l", "raw_read")
+
 HIST = f"""
 hist AS (
   SELECT CAST(doc_id AS VARCHAR) AS id,
@@ -68,32 +92,43 @@ OLD_ORDER = ("odate_n DESC, iso_date DESC NULLS LAST, title DESC NULLS LAST, sni
              "rating DESC NULLS LAST, app DESC NULLS LAST")
 CHANGED = ("(n.title <> v.title OR n.snippet <> v.snippet OR n.rating <> v.rating "
            "OR n.iso_date <> v.iso_date)")
-ENTRY = ("concat_ws('|', v.title, v.snippet, v.app, coalesce(n.segmento, '~'), v.rating, v.iso_date)")
+ENTRY = "concat_ws('|', v.title, v.snippet, v.app, coalesce(n.segmento, '~'), v.rating, v.iso_date)"
 ENTRY_ORDER = "v.iso_date, v.title, v.snippet, v.rating, v.app"
 
-MERGE = f"""
-new1 AS (
+VALID_COLS = "id, app, segmento, rating, iso_date, title, snippet, n_hist, history"
+INVALID_COLS = "id, rating, app, iso_date, title, segmento, snippet"
+VALID_PRED = ("id IS NOT NULL AND rating IS NOT NULL AND app IS NOT NULL AND iso_date IS NOT NULL "
+              "AND title IS NOT NULL AND segmento IS NOT NULL AND snippet IS NOT NULL")
+INVALID_PRED = ("(id IS NULL OR rating IS NULL OR app IS NULL OR iso_date IS NULL OR title IS NULL "
+                "OR snippet IS NULL OR (in_batch AND segmento IS NULL))")
+
+
+def merge_ctes(src: str = "norm", s: str = "") -> str:
+    """new1, ver, old1, ent, merged, checked, valid, invalid (suffix ``s``)."""
+    return f"""
+new1{s} AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {NEW_ORDER}) AS rn
-    FROM norm WHERE id IS NOT NULL) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {NEW_ORDER}) AS rn,
+           count(*) OVER (PARTITION BY id) AS n_batch
+    FROM {src} WHERE id IS NOT NULL) WHERE rn = 1
 ),
-ver AS (
+ver{s} AS (
   SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n
   FROM hist WHERE odate < '{RUN_DATE}' AND id IS NOT NULL
   GROUP BY id, iso_date, title, snippet, rating, app
 ),
-old1 AS (
+old1{s} AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {OLD_ORDER}) AS rn FROM ver) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {OLD_ORDER}) AS rn FROM ver{s}) WHERE rn = 1
 ),
-ent AS (
+ent{s} AS (
   SELECT v.id, count(*) AS n_hist,
          string_agg({ENTRY}, ';' ORDER BY {ENTRY_ORDER}) AS history
-  FROM ver v JOIN new1 n ON n.id = v.id
+  FROM ver{s} v JOIN new1{s} n ON n.id = v.id
   WHERE {CHANGED}
   GROUP BY v.id
 ),
-merged AS (
+merged{s} AS (
   SELECT coalesce(n.id, o.id) AS id,
          n.avatar,
          coalesce(n.app, o.app) AS app,
@@ -105,9 +140,23 @@ merged AS (
          n.likes,
          CAST(coalesce(e.n_hist, 0) AS BIGINT) AS n_hist,
          coalesce(e.history, '') AS history,
-         n.id IS NOT NULL AS in_batch
-  FROM new1 n FULL OUTER JOIN old1 o ON n.id = o.id
-  LEFT JOIN ent e ON e.id = coalesce(n.id, o.id)
+         n.id IS NOT NULL AS in_batch,
+         CAST(coalesce(n.n_batch, 0) AS BIGINT) AS n_batch
+  FROM new1{s} n FULL OUTER JOIN old1{s} o ON n.id = o.id
+  LEFT JOIN ent{s} e ON e.id = coalesce(n.id, o.id)
+),
+checked{s} AS (
+  SELECT * FROM merged{s}
+  UNION ALL
+  SELECT id, avatar, app, segmento, rating, iso_date, title, snippet, likes,
+         CAST(0 AS BIGINT), '', true, CAST(1 AS BIGINT)
+  FROM {src} WHERE id IS NULL
+),
+valid{s} AS (SELECT {VALID_COLS} FROM checked{s} WHERE {VALID_PRED}),
+invalid{s} AS (
+  SELECT {INVALID_COLS} FROM checked{s} WHERE {INVALID_PRED}
+  UNION ALL
+  SELECT {INVALID_COLS} FROM {src} WHERE id IN (SELECT id FROM checked{s} WHERE n_batch > 1)
 )"""
 
 
@@ -115,14 +164,219 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-FIXTURES = (BRONZE, NORM, HIST)
+BASE = (BRONZE, NORM, HIST, merge_ctes())
+LAYOUT_BASE = (BRONZE, LAYOUT, NORM_L, HIST, merge_ctes("norm_l", "_l"))
+
+PATHS = """
+paths AS (
+  SELECT doc_id,
+         '/x/googlePlay/' || CASE WHEN doc_id % 3 = 0 THEN 'my_app' ELSE source END
+         || CASE WHEN doc_id % 2 = 0 THEN '_pf' ELSE '_pj' END
+         || CASE WHEN doc_id % 5 = 0 THEN '/dt=1' ELSE '/odate=20240101/p' END AS path
+  FROM documents
+)"""
+
+APP_RE = "'/googlePlay/(.*?)/odate='"
+SEG_RE = "'/googlePlay/[^/_]+_([pfj]+)/odate='"
+
+NULL_COLS = ["id", "rating", "app", "iso_date", "title", "snippet"]
 
 
-def snapshot_merge() -> str:
-    return with_ctes(*FIXTURES, MERGE) + "SELECT * FROM merged"
+def null_msg(prefix: str = "null_") -> str:
+    parts = ", ".join(f"CASE WHEN {prefix}{c} > 0 THEN '''{c}'': ' || CAST({prefix}{c} AS VARCHAR) END"
+                      for c in NULL_COLS)
+    return f"'Valores nulos encontrados nas colunas: {{' || concat_ws(', ', {parts}) || '}}.'"
+
+
+NULL_AGGS = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in NULL_COLS)
+INT_OF = "TRY_CAST(TRY_CAST({x} AS DOUBLE) AS INTEGER)"
+
+SUMMARY = f"""
+agg AS (
+  SELECT count(*) AS total_records,
+         count(*) FILTER (WHERE NOT in_batch) AS history_only,
+         count(*) FILTER (WHERE id IS NOT NULL AND n_batch > 1) AS duplicate_keys,
+         coalesce(sum(n_batch) FILTER (WHERE id IS NOT NULL AND n_batch > 1), 0) AS duplicate_rows,
+         {NULL_AGGS},
+         count(*) FILTER (WHERE {INT_OF.format(x='rating')} IS NULL) AS invalid_ratings,
+         count(*) FILTER (WHERE {VALID_PRED}) AS valid_count,
+         count(*) FILTER (WHERE {INVALID_PRED}) AS invalid_rows,
+         string_agg(DISTINCT coalesce(segmento, 'UNKNOWN'), ',' ORDER BY coalesce(segmento, 'UNKNOWN'))
+           FILTER (WHERE {VALID_PRED}) AS seglist
+  FROM checked
+),
+summary AS (
+  SELECT total_records, history_only, duplicate_keys, CAST(duplicate_rows AS BIGINT) AS duplicate_rows,
+         {", ".join(f"null_{c}" for c in NULL_COLS)}, invalid_ratings,
+         valid_count, invalid_rows + duplicate_rows AS invalid_count,
+         valid_count + invalid_rows + duplicate_rows AS written_total,
+         CASE WHEN valid_count + invalid_rows + duplicate_rows > 0
+              THEN valid_count / (valid_count + invalid_rows + duplicate_rows) * 100 ELSE 0.0 END AS pct_valid,
+         CASE WHEN valid_count + invalid_rows + duplicate_rows > 0
+              THEN (invalid_rows + duplicate_rows) / (valid_count + invalid_rows + duplicate_rows) * 100
+              ELSE 0.0 END AS pct_invalid,
+         duplicate_keys = 0 AS duplicate_status,
+         ({" + ".join(f"null_{c}" for c in NULL_COLS)}) = 0 AS null_status,
+         invalid_ratings = 0 AS type_status,
+         CAST((duplicate_keys = 0)::INT + ((({" + ".join(f"null_{c}" for c in NULL_COLS)}) = 0))::INT
+              + (invalid_ratings = 0)::INT AS INTEGER) AS success_count,
+         CASE WHEN valid_count = 0 THEN 'NA' ELSE upper(seglist) END AS type_client
+  FROM agg
+),
+summary2 AS (SELECT *, CAST(3 - success_count AS INTEGER) AS error_count FROM summary)"""
+
+DUP_MSG = ("CASE WHEN duplicate_keys = 0 THEN 'Nenhum registro duplicado encontrado.' "
+           "ELSE 'Registros duplicados encontrados: ' || CAST(duplicate_keys AS VARCHAR) "
+           "|| ' registros com base no ''id''.' END")
+NULL_MSG = f"CASE WHEN null_status THEN 'Nenhum valor nulo encontrado nas colunas criticas.' ELSE {null_msg()} END"
+TYPE_MSG = ("CASE WHEN type_status THEN 'Consistencia dos tipos de dados verificada com sucesso.' "
+            "ELSE 'Valores não numericos encontrados na coluna ''rating''.' END")
+
+
+def code(status: str, bad: int) -> str:
+    return f"CASE WHEN {status} THEN 200 ELSE {bad} END"
+
+
+KV = rf"""
+lines AS (
+  SELECT doc_id, line, line_no
+  FROM (SELECT doc_id, string_split(regexp_replace(text, {STRIP}, '', 'g'), chr(10)) AS arr FROM documents),
+       LATERAL (SELECT unnest(arr) AS line, generate_subscripts(arr, 1) AS line_no)
+),
+parsed AS (
+  SELECT doc_id, line_no,
+         regexp_split_to_array(regexp_replace(line, {STRIP}, '', 'g'), ' => | = ') AS parts
+  FROM lines
+  WHERE length(regexp_replace(line, {STRIP}, '', 'g')) > 0 AND NOT starts_with(line, 'Scheduling mode')
+),
+kv AS (
+  SELECT doc_id, line_no,
+         regexp_replace(parts[1], {STRIP}, '', 'g') AS key,
+         regexp_replace(parts[2], {STRIP}, '', 'g') AS value
+  FROM parsed WHERE len(parts) = 2
+)"""
 
 
 def all_sql() -> dict[str, str]:
+    b = with_ctes(*BASE)
+    lb = with_ctes(*LAYOUT_BASE)
+    raw_cols = "avatar, date, id, iso_date, likes, rating, snippet, title, app, segmento"
+    join_cols = ("coalesce(n.id, v.id) AS id, n.iso_date AS new_iso_date, n.title AS new_title, "
+                 "n.snippet AS new_snippet, n.rating AS new_rating, n.app AS new_app, "
+                 "n.segmento AS new_segmento, n.avatar AS new_avatar, n.likes AS new_likes, "
+                 "v.iso_date AS old_iso_date, v.title AS old_title, v.snippet AS old_snippet, "
+                 "v.rating AS old_rating, v.app AS old_app, v.odate_n")
+    left_join = f"{b}SELECT {join_cols} FROM new1 n LEFT JOIN ver v ON n.id = v.id"
     return {
-        "snapshot_merge": snapshot_merge(),
+        # sources
+        "bronze_scan": with_ctes(BRONZE, LAYOUT) + f"SELECT {raw_cols} FROM raw_read WHERE lseg = 'pf'",
+        "segment_union": with_ctes(BRONZE, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
+        "path_app_extract": with_ctes(PATHS) + f"SELECT doc_id, path, regexp_extract(path, {APP_RE}, 1) AS app FROM paths",
+        "path_segment_extract": with_ctes(PATHS)
+        + f"SELECT doc_id, path, regexp_extract(path, {SEG_RE}, 1) AS segmento FROM paths",
+        "history_scan": with_ctes(HIST)
+        + f"SELECT id, app, segmento, rating, iso_date, title, snippet, odate FROM hist WHERE odate < '{RUN_DATE}'",
+        "merge_no_history": with_ctes(BRONZE, NORM, HIST, merge_ctes())
+        + "SELECT id, avatar, app, segmento, rating, iso_date, title, snippet, likes, CAST(0 AS BIGINT) AS n_hist, "
+          "'' AS history, true AS in_batch, CAST(n_batch AS BIGINT) AS n_batch FROM new1",
+        # projections
+        "accent_fold": f"SELECT doc_id, {fold('text')} AS folded FROM documents",
+        "rating_truncate": with_ctes(BRONZE)
+        + "SELECT doc_id, id, iso_date, rating AS rating_in, "
+          "CAST(CAST(trunc(rating) AS INTEGER) AS VARCHAR) AS rating FROM bronze",
+        "normalize_reviews": with_ctes(BRONZE, NORM) + "SELECT * FROM norm",
+        "schema_conform": b + f"SELECT {VALID_COLS} FROM checked",
+        "sample_preview": b + f"SELECT {VALID_COLS} FROM valid ORDER BY id LIMIT 10",
+        # joins / merge
+        "history_full_outer": f"{b}SELECT {join_cols} FROM new1 n FULL OUTER JOIN ver v ON n.id = v.id",
+        "history_left_outer": left_join,
+        "salted_history_join": left_join,
+        "change_detection": b + (
+            "SELECT v.id, v.iso_date, v.title, v.snippet, v.rating, v.app, n.segmento AS new_segmento, "
+            "coalesce(n.title <> v.title, false) AS title_changed, "
+            "coalesce(n.snippet <> v.snippet, false) AS snippet_changed, "
+            "coalesce(n.rating <> v.rating, false) AS rating_changed, "
+            "coalesce(n.iso_date <> v.iso_date, false) AS iso_date_changed, "
+            f"coalesce({CHANGED}, false) AS changed "
+            "FROM ver v JOIN new1 n ON n.id = v.id"),
+        "snapshot_merge": b + "SELECT * FROM merged",
+        "history_collect": b + "SELECT id, n_hist, history FROM ent",
+        "history_explode": b + ("SELECT v.id, v.title, v.snippet, v.app, n.segmento, v.rating, v.iso_date "
+                                f"FROM ver v JOIN new1 n ON n.id = v.id WHERE {CHANGED}"),
+        "history_regroup": b + f"SELECT {VALID_COLS} FROM valid",
+        "history_empty_normalise": b + "SELECT id, n_hist, history FROM merged",
+        # checks
+        "duplicate_keys": with_ctes(BRONZE, NORM)
+        + "SELECT id, count(*) AS n FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
+        "duplicate_rows": with_ctes(BRONZE, NORM)
+        + ("SELECT * FROM norm WHERE id IN "
+           "(SELECT id FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+        "duplicate_check": with_ctes(BRONZE, NORM) + (
+            "SELECT 'duplicate_check' AS \"check\", duplicate_keys = 0 AS status, "
+            f"{code('duplicate_keys = 0', 409)} AS code, {DUP_MSG} AS message, duplicate_keys AS n_failed "
+            "FROM (SELECT count(*) AS duplicate_keys FROM "
+            "(SELECT id FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))"),
+        "null_counts": with_ctes(BRONZE, NORM) + " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM norm"
+            for c in NULL_COLS),
+        "null_check": b + (
+            "SELECT 'null_check' AS \"check\", n_failed = 0 AS status, "
+            f"{code('n_failed = 0', 400)} AS code, "
+            f"CASE WHEN n_failed = 0 THEN 'Nenhum valor nulo encontrado nas colunas criticas.' "
+            f"ELSE {null_msg()} END AS message, n_failed, "
+            + ", ".join(f"null_{c}" for c in NULL_COLS)
+            + " FROM (SELECT *, CAST(" + " + ".join(f"(null_{c} > 0)::INT" for c in NULL_COLS)
+            + f" AS BIGINT) AS n_failed FROM (SELECT {NULL_AGGS} FROM checked))"),
+        "type_check": (
+            "SELECT 'type_consistency_check' AS \"check\", n_failed = 0 AS status, "
+            f"{code('n_failed = 0', 400)} AS code, "
+            "CASE WHEN n_failed = 0 THEN 'Consistencia dos tipos de dados verificada com sucesso.' "
+            "ELSE 'Valores não numericos encontrados na coluna ''rating''.' END AS message, "
+            "n_null, n_malformed, n_failed FROM (SELECT *, n_null + n_malformed AS n_failed FROM ("
+            "SELECT count(*) FILTER (WHERE rating_raw IS NULL) AS n_null, "
+            f"count(*) FILTER (WHERE rating_raw IS NOT NULL AND {INT_OF.format(x='rating_raw')} IS NULL) "
+            "AS n_malformed FROM (SELECT CASE WHEN doc_id % 31 = 0 THEN 'n/a' WHEN doc_id % 23 = 0 THEN NULL "
+            "ELSE CAST(1 + doc_id % 5 AS VARCHAR) || '.75' END AS rating_raw FROM documents)))"),
+        "split_valid": b + "SELECT * FROM valid",
+        "split_invalid": b + "SELECT * FROM invalid",
+        "quality_summary": with_ctes(*BASE, SUMMARY) + "SELECT * FROM summary2",
+        "validation_results": with_ctes(*BASE, SUMMARY) + (
+            "SELECT 'duplicate_check' AS \"check\", duplicate_status AS status, "
+            f"{code('duplicate_status', 409)} AS code, {DUP_MSG} AS message, "
+            "CASE WHEN duplicate_status THEN 'PASSOU' ELSE 'FALHOU' END AS report FROM summary2 UNION ALL "
+            "SELECT 'null_check', null_status, " + code('null_status', 400) + f", {NULL_MSG}, "
+            "CASE WHEN null_status THEN 'PASSOU' ELSE 'FALHOU' END FROM summary2 UNION ALL "
+            "SELECT 'type_consistency_check', type_status, " + code('type_status', 400) + f", {TYPE_MSG}, "
+            "CASE WHEN type_status THEN 'PASSOU' ELSE 'FALHOU' END FROM summary2"),
+        "segment_list": with_ctes(*BASE, SUMMARY) + "SELECT type_client FROM summary2",
+        "table_size_profile": with_ctes(HIST) + (
+            "SELECT odate, segmento, count(*) AS \"rows\", CAST(sum("
+            + " + ".join(f"coalesce(strlen({c}), 0)" for c in ["id", "app", "rating", "iso_date", "title", "snippet"])
+            + ") AS BIGINT) AS text_bytes FROM hist GROUP BY odate, segmento"),
+        # sinks / job / documents
+        "silver_roundtrip": lb + (
+            "SELECT id, app, segmento, rating, iso_date, title, snippet, CAST(0 AS BIGINT) AS n_hist, "
+            "'' AS history, odate FROM hist UNION ALL "
+            f"SELECT {VALID_COLS}, '{RUN_DATE}' AS odate FROM valid_l"),
+        "quarantine_roundtrip": lb + f"SELECT {INVALID_COLS}, '{RUN_DATE}' AS odate FROM invalid_l",
+        "job_valid": lb + "SELECT * FROM valid_l",
+        "job_invalid": lb + "SELECT * FROM invalid_l",
+        "run_metrics_doc": with_ctes(*BASE, SUMMARY) + (
+            "SELECT valid_count, pct_valid AS valid_pct, invalid_count, pct_invalid AS invalid_pct, "
+            "written_total AS total_records, total_records AS checked_records, success_count, error_count, "
+            "type_client, "
+            f"duplicate_status AS duplicate_check_status, {code('duplicate_status', 409)} AS duplicate_check_code, "
+            f"{DUP_MSG} AS duplicate_check_message, "
+            f"null_status AS null_check_status, {code('null_status', 400)} AS null_check_code, "
+            f"{NULL_MSG} AS null_check_message, "
+            f"type_status AS type_consistency_check_status, {code('type_status', 400)} AS type_consistency_check_code, "
+            f"{TYPE_MSG} AS type_consistency_check_message, "
+            "'silver_reviews' AS source_app FROM summary2"),
+        "failure_doc": with_ctes(BRONZE, NORM) + (
+            "SELECT 'silver' AS layer, 'reviews' AS project, 'app_reviews_silver' AS job, '0' AS priority, "
+            "'data-platform' AS tower, "
+            "coalesce(string_agg(DISTINCT segmento, ',' ORDER BY segmento), '') AS client, "
+            "'bronze scan failed: no segment folder' AS error FROM norm"),
+        "kv_report_parse": with_ctes(KV)
+        + "SELECT doc_id, key, arg_max(value, line_no) AS value FROM kv GROUP BY doc_id, key",
     }

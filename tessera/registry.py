@@ -3,7 +3,8 @@
 Each query reads the test tables (or frames Spark derives from them) and
 returns flat, scalar columns so that it can be compared value by value with
 its SQL oracle in ``tessera.oracle``.  Nested outputs (the change history)
-are rendered as a count plus an ordered string.
+are rendered as a count plus an ordered string.  Queries that exercise a
+source or sink write to a fresh folder under the session's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -13,11 +14,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import snapshot
+from tessera.functions.paths import app_from_path, segment_from_path
+from tessera.functions.text import fold_upper
+from tessera.operators import normalize, quality, snapshot
+from tessera.plans import run_metrics as rm
+from tessera.plans import silver_job, validation
+from tessera.schemas import INVALID_COLUMNS, SILVER_SCHEMA
+from tessera.session import scratch_path
+from tessera.sinks.parquet import conform
+from tessera.sources import bronze as bronze_src
 from tessera.sources import fixtures as fx
+from tessera.sources.history import read_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MERGED_COLUMNS = ["id", "avatar", "app", "segmento", "rating", "iso_date", "title", "snippet",
+                  "likes", "n_hist", "history", "in_batch", "n_batch"]
+SILVER_FLAT = ["id", "app", "segmento", "rating", "iso_date", "title", "snippet", "n_hist", "history"]
+
 
 def history_string(c: Column) -> Column:
     """Render a history array as 'title|snippet|app|segmento|rating|iso_date;...'."""
@@ -29,19 +43,309 @@ def history_string(c: Column) -> Column:
 
 
 def flatten_history(df: DataFrame, col: str = "historical_data") -> DataFrame:
-    return (df.withColumn("n_hist", F.size(col).cast("long"))
-              .withColumn("history", history_string(F.col(col)))
+    return (df.withColumn("n_hist", F.coalesce(F.size(col), F.lit(0)).cast("long"))
+              .withColumn("history", F.coalesce(history_string(F.col(col)), F.lit("")))
               .drop(col))
 
 
-def q_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
-    return flatten_history(merged).select(
-        "id", "avatar", "app", "segmento", "rating", "iso_date", "title", "snippet",
-        "likes", "n_hist", "history", "in_batch")
+def _merged(spark, sf_dir):
+    return snapshot.snapshot_merge(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+
+
+def _validated(spark, sf_dir):
+    return validation.validate(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+
+
+# ------------------------------------------------------------------ sources
+def q_bronze_scan(spark, sf_dir):
+    base = scratch_path(spark, "bronze") + "/googlePlay"
+    fx.write_bronze_layout(spark, sf_dir, base)
+    df = bronze_src.read_reviews(spark, bronze_src.segment_paths(base, fx.RUN_DATE)[0])
+    return df.select("avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title",
+                     "app", "segmento")
+
+
+def q_segment_union(spark, sf_dir):
+    base = scratch_path(spark, "bronze") + "/googlePlay"
+    fx.write_bronze_layout(spark, sf_dir, base)
+    df = bronze_src.read_segments(spark, base, fx.RUN_DATE)
+    return df.select("avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title",
+                     "app", "segmento")
+
+
+def q_path_app_extract(spark, sf_dir):
+    p = fx.bronze_paths(spark, sf_dir)
+    return p.select("doc_id", "path", app_from_path(F.col("path")).alias("app"))
+
+
+def q_path_segment_extract(spark, sf_dir):
+    p = fx.bronze_paths(spark, sf_dir)
+    return p.select("doc_id", "path", segment_from_path(F.col("path")).alias("segmento"))
+
+
+def q_history_scan(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    fx.write_history_table(spark, sf_dir, path, late_copy_date=fx.RUN_DATE)
+    return read_history(spark, path, fx.RUN_DATE)
+
+
+def q_merge_no_history(spark, sf_dir):
+    empty = spark.createDataFrame([], fx.hist(spark, sf_dir).schema)
+    merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir), empty, fx.RUN_DATE)
+    return flatten_history(merged).select(*MERGED_COLUMNS)
+
+
+# ------------------------------------------------------------------ projections
+def q_accent_fold(spark, sf_dir):
+    return fx.documents(spark, sf_dir).select("doc_id", fold_upper("text").alias("folded"))
+
+
+def q_rating_truncate(spark, sf_dir):
+    b = fx.bronze_with_doc(spark, sf_dir).select("doc_id", "id", "iso_date", F.col("rating").alias("rating_in"))
+    return normalize.rating_truncate(b.withColumn("rating", F.col("rating_in")))
+
+
+def q_normalize_reviews(spark, sf_dir):
+    return fx.norm(spark, sf_dir)
+
+
+def q_schema_conform(spark, sf_dir):
+    checked = validation.checked_frame(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+    return flatten_history(conform(checked, SILVER_SCHEMA)).select(*SILVER_FLAT)
+
+
+def q_sample_preview(spark, sf_dir):
+    v = _validated(spark, sf_dir).valid
+    return flatten_history(v.orderBy("id").limit(10)).select(*SILVER_FLAT)
+
+
+# ------------------------------------------------------------------ joins / merge
+def q_history_full_outer(spark, sf_dir):
+    return snapshot.history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), "full_outer", fx.RUN_DATE)
+
+
+def q_history_left_outer(spark, sf_dir):
+    return snapshot.history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), "left_outer", fx.RUN_DATE)
+
+
+def q_salted_history_join(spark, sf_dir):
+    return snapshot.salted_history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), 8, fx.RUN_DATE)
+
+
+def q_change_detection(spark, sf_dir):
+    return snapshot.change_detection(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+
+
+def q_snapshot_merge(spark, sf_dir):
+    return flatten_history(_merged(spark, sf_dir)).select(*MERGED_COLUMNS)
+
+
+def q_history_collect(spark, sf_dir):
+    changes = snapshot.change_detection(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+    collected = snapshot.collect_history(changes)
+    return flatten_history(collected).select("id", "n_hist", "history")
+
+
+def q_history_explode(spark, sf_dir):
+    e = quality.history_explode(_merged(spark, sf_dir).select("id", "historical_data"))
+    return e.select("id", *[F.col(f"entry.{c}").alias(c)
+                            for c in ["title", "snippet", "app", "segmento", "rating", "iso_date"]])
+
+
+def q_history_regroup(spark, sf_dir):
+    return flatten_history(quality.history_regroup(_validated(spark, sf_dir).valid)).select(*SILVER_FLAT)
+
+
+def q_history_empty_normalise(spark, sf_dir):
+    m = quality.history_empty_normalise(_merged(spark, sf_dir))
+    return flatten_history(m.select("id", "historical_data")).select("id", "n_hist", "history")
+
+
+# ------------------------------------------------------------------ checks
+def q_duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(fx.norm(spark, sf_dir))
+
+
+def q_duplicate_rows(spark, sf_dir):
+    return quality.duplicate_rows(fx.norm(spark, sf_dir))
+
+
+def q_duplicate_check(spark, sf_dir):
+    return quality.duplicate_check(fx.norm(spark, sf_dir))
+
+
+def q_null_counts(spark, sf_dir):
+    return quality.null_counts(fx.norm(spark, sf_dir))
+
+
+def q_null_check(spark, sf_dir):
+    return quality.null_check(_validated(spark, sf_dir).checked)
+
+
+def q_type_check(spark, sf_dir):
+    return quality.type_check(fx.raw_ratings(spark, sf_dir), "rating_raw")
+
+
+def q_split_valid(spark, sf_dir):
+    return flatten_history(_validated(spark, sf_dir).valid).select(*SILVER_FLAT)
+
+
+def q_split_invalid(spark, sf_dir):
+    return _validated(spark, sf_dir).invalid.select(*INVALID_COLUMNS)
+
+
+def q_quality_summary(spark, sf_dir):
+    return validation.quality_summary(_validated(spark, sf_dir).checked).drop("valid_text_bytes")
+
+
+def q_validation_results(spark, sf_dir):
+    summary = validation.quality_summary(_validated(spark, sf_dir).checked)
+    return validation.validation_results(summary)
+
+
+def q_segment_list(spark, sf_dir):
+    summary = validation.quality_summary(_validated(spark, sf_dir).checked)
+    return summary.select("type_client")
+
+
+def q_table_size_profile(spark, sf_dir):
+    return quality.size_profile(fx.hist(spark, sf_dir), ["odate", "segmento"])
+
+
+# ------------------------------------------------------------------ sinks / job
+def _run_job(spark, sf_dir, runs: int = 2):
+    base = scratch_path(spark, "job")
+    cfg = silver_job.JobConfig(
+        bronze_base=f"{base}/bronze/googlePlay", silver_path=f"{base}/silver",
+        quarantine_path=f"{base}/quarantine", run_date=fx.RUN_DATE,
+        audit_path=f"{base}/audit/metrics", failure_path=f"{base}/audit/failures")
+    fx.write_bronze_layout(spark, sf_dir, cfg.bronze_base, fx.RUN_DATE)
+    fx.write_history_table(spark, sf_dir, cfg.silver_path, late_copy_date=None)
+    for _ in range(runs):  # the rerun must be idempotent
+        silver_job.run(spark, cfg)
+    return cfg
+
+
+def q_silver_roundtrip(spark, sf_dir):
+    cfg = _run_job(spark, sf_dir)
+    back = silver_job.read_back(spark, cfg.silver_path)
+    return flatten_history(back).select(*SILVER_FLAT, "odate")
+
+
+def q_quarantine_roundtrip(spark, sf_dir):
+    cfg = _run_job(spark, sf_dir)
+    back = silver_job.read_back(spark, cfg.quarantine_path)
+    return back.select(*INVALID_COLUMNS, "odate")
+
+
+def q_job_valid(spark, sf_dir):
+    cfg = _run_job(spark, sf_dir, runs=1)
+    back = silver_job.read_back(spark, cfg.silver_path).where(F.col("odate") == fx.RUN_DATE)
+    return flatten_history(back).select(*SILVER_FLAT)
+
+
+def q_job_invalid(spark, sf_dir):
+    cfg = _run_job(spark, sf_dir, runs=1)
+    back = silver_job.read_back(spark, cfg.quarantine_path).where(F.col("odate") == fx.RUN_DATE)
+    return back.select(*INVALID_COLUMNS)
+
+
+def q_run_metrics_doc(spark, sf_dir):
+    summary = validation.quality_summary(_validated(spark, sf_dir).checked)
+    doc = rm.metrics_document(summary, application_id="app", source_app="silver_reviews")
+    return doc.select(
+        F.col("valid_data.count").alias("valid_count"),
+        F.col("valid_data.percentage").alias("valid_pct"),
+        F.col("invalid_data.count").alias("invalid_count"),
+        F.col("invalid_data.percentage").alias("invalid_pct"),
+        "total_records", "checked_records", "success_count", "error_count", "type_client",
+        *[F.col(f"validation_results.{c}.{f}").alias(f"{c}_{f}")
+          for c in (quality.CHECK_DUPLICATE, quality.CHECK_NULL, quality.CHECK_TYPE)
+          for f in ("status", "code", "message")],
+        F.col("source.app").alias("source_app"),
+    )
+
+
+def q_failure_doc(spark, sf_dir):
+    doc = rm.failure_document(spark, "bronze scan failed: no segment folder", fx.norm(spark, sf_dir))
+    return doc.select("layer", "project", "job", "priority", "tower",
+                      F.array_join("client", ",").alias("client"), "error")
+
+
+def q_kv_report_parse(spark, sf_dir):
+    docs = fx.documents(spark, sf_dir)
+    return rm.report_to_kv(docs, "text", ["doc_id"])
+
+
+def q_stage_metrics(spark, sf_dir):
+    """Per-stage task totals of a merge run, from the event log when the
+    session writes one, else from the status tracker."""
+    sc = spark.sparkContext
+    group = scratch_path(spark, "stage-metrics").rsplit("/", 1)[-1]
+    sc.setJobGroup(group, "stage metrics probe")
+    try:
+        flatten_history(_merged(spark, sf_dir)).write.format("noop").mode("overwrite").save()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    log = rm.event_log_path(spark)
+    if log is not None:
+        return rm.stage_metrics_from_event_log(spark, log)
+    tracker = sc.statusTracker()
+    rows = []
+    for job_id in tracker.getJobIdsForGroup(group):
+        info = tracker.getJobInfo(job_id)
+        for sid in (info.stageIds if info else []):
+            st = tracker.getStageInfo(sid)
+            if st is not None:
+                rows.append((int(sid), int(st.numTasks), int(st.numCompletedTasks), int(st.numFailedTasks)))
+    return spark.createDataFrame(rows, "stage_id int, num_tasks int, completed_tasks int, failed_tasks int")
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        # sources
+        "bronze_scan": q_bronze_scan,
+        "segment_union": q_segment_union,
+        "path_app_extract": q_path_app_extract,
+        "path_segment_extract": q_path_segment_extract,
+        "history_scan": q_history_scan,
+        "merge_no_history": q_merge_no_history,
+        # projections
+        "accent_fold": q_accent_fold,
+        "rating_truncate": q_rating_truncate,
+        "normalize_reviews": q_normalize_reviews,
+        "schema_conform": q_schema_conform,
+        "sample_preview": q_sample_preview,
+        # joins / merge
+        "history_full_outer": q_history_full_outer,
+        "history_left_outer": q_history_left_outer,
+        "salted_history_join": q_salted_history_join,
+        "change_detection": q_change_detection,
         "snapshot_merge": q_snapshot_merge,
+        "history_collect": q_history_collect,
+        "history_explode": q_history_explode,
+        "history_regroup": q_history_regroup,
+        "history_empty_normalise": q_history_empty_normalise,
+        # checks
+        "duplicate_keys": q_duplicate_keys,
+        "duplicate_rows": q_duplicate_rows,
+        "duplicate_check": q_duplicate_check,
+        "null_counts": q_null_counts,
+        "null_check": q_null_check,
+        "type_check": q_type_check,
+        "split_valid": q_split_valid,
+        "split_invalid": q_split_invalid,
+        "quality_summary": q_quality_summary,
+        "validation_results": q_validation_results,
+        "segment_list": q_segment_list,
+        "table_size_profile": q_table_size_profile,
+        # sinks / job / run documents
+        "silver_roundtrip": q_silver_roundtrip,
+        "quarantine_roundtrip": q_quarantine_roundtrip,
+        "job_valid": q_job_valid,
+        "job_invalid": q_job_invalid,
+        "run_metrics_doc": q_run_metrics_doc,
+        "failure_doc": q_failure_doc,
+        "kv_report_parse": q_kv_report_parse,
+        "stage_metrics": q_stage_metrics,
     }

@@ -43,6 +43,11 @@ def _title(source: Column) -> Column:
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw reviews: avatar, date, id, iso_date, likes, rating, snippet, title,
     app, segmento (app/segmento as if already derived from the path)."""
+    return bronze_with_doc(spark, sf_dir).drop("doc_id")
+
+
+def bronze_with_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bronze`` plus the source ``doc_id``."""
     d = documents(spark, sf_dir).where(F.col("doc_id") % 7 != 3)
     first = d.withColumn("dup", F.lit(0))
     second = d.where(F.col("doc_id") % 29 == 4).withColumn("dup", F.lit(1))
@@ -63,6 +68,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("app"),
         F.when(doc_id % 41 == 0, F.lit(None).cast("string"))
          .when(doc_id % 2 == 0, F.lit("pf")).otherwise(F.lit("pj")).alias("segmento"),
+        doc_id,
     )
 
 
@@ -111,3 +117,52 @@ def bronze_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.when(doc_id % 5 == 0, F.lit("/dt=1")).otherwise(F.lit("/odate=20240101/p"))
     return documents(spark, sf_dir).select(
         "doc_id", F.concat(F.lit("/x/googlePlay/"), app, seg, tail).alias("path"))
+
+
+# ------------------------------------------------------------ written layouts
+# Bronze folders: <app>_<segment>/odate=<run date>/.  Three apps, one of them
+# with an underscore in its name (its segment does not parse from the path).
+LAYOUT_APPS = ("my_app", "appone", "apptwo")
+LAYOUT_SEGMENTS = ("pf", "pj")
+RAW_COLUMNS = ["avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title"]
+
+
+def layout_app(doc_id: Column) -> Column:
+    return (F.when(doc_id % 3 == 0, F.lit(LAYOUT_APPS[0]))
+             .when(doc_id % 3 == 1, F.lit(LAYOUT_APPS[1])).otherwise(F.lit(LAYOUT_APPS[2])))
+
+
+def layout_segment(doc_id: Column) -> Column:
+    return F.when(doc_id % 2 == 0, F.lit("pf")).otherwise(F.lit("pj"))
+
+
+def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_date: str = RUN_DATE) -> None:
+    """Write the bronze fixture as raw files in the collector's folder layout.
+
+    The folder set is fixed by rule (3 apps x 2 segments), so no distinct
+    values are collected; ``response`` is not written and reads back as null.
+    """
+    raw = bronze_with_doc(spark, sf_dir).select(
+        *RAW_COLUMNS, layout_app(F.col("doc_id")).alias("_app"), layout_segment(F.col("doc_id")).alias("_seg"))
+    base = bronze_base.rstrip("/")
+    for app in LAYOUT_APPS:
+        for seg in LAYOUT_SEGMENTS:
+            part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS)
+            part.write.mode("overwrite").parquet(f"{base}/{app}_{seg}/odate={run_date}")
+
+
+def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
+                        late_copy_date: str | None = RUN_DATE) -> None:
+    """Write ``hist`` as silver partitions (odate=20240101, 20240102).
+
+    With ``late_copy_date`` the second day is also written under that date,
+    a partition the history cut-off must exclude.
+    """
+    from tessera.operators.quality import empty_history
+    from tessera.schemas import SILVER_SCHEMA
+    h = hist(spark, sf_dir)
+    if late_copy_date:
+        h = h.unionByName(h.where(F.col("odate") == HISTORY_DATES[1]).withColumn("odate", F.lit(late_copy_date)))
+    cols = [f.name for f in SILVER_SCHEMA.fields if f.name != "historical_data"]
+    (h.select(*cols, empty_history().alias("historical_data"), "odate")
+      .write.mode("overwrite").partitionBy("odate").parquet(silver_path))
