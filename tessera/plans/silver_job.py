@@ -17,11 +17,12 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators.normalize import normalize_reviews
 from tessera.plans import run_metrics as rm
 from tessera.plans.validation import quality_summary, validate
-from tessera.schemas import SILVER_SCHEMA
+from tessera.schemas import INVALID_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA
 from tessera.sinks.parquet import save_partitioned
 from tessera.sources.bronze import read_segments
 from tessera.sources.history import read_history
@@ -95,8 +96,11 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         raise
 
 
-def read_back(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in INVALID_COLUMNS])
+
+
+def read_back(spark: SparkSession, path: str, schema: StructType = SILVER_SCHEMA) -> DataFrame:
+    """Read an output table with its declared schema; ``odate`` stays a string
+    (no partition type inference)."""
+    full = StructType(list(schema.fields) + [StructField(PARTITION_COLUMN, StringType(), True)])
+    return spark.read.schema(full).parquet(path)

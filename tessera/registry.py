@@ -234,7 +234,7 @@ def q_silver_roundtrip(spark, sf_dir):
 
 def q_quarantine_roundtrip(spark, sf_dir):
     cfg = _run_job(spark, sf_dir)
-    back = silver_job.read_back(spark, cfg.quarantine_path)
+    back = silver_job.read_back(spark, cfg.quarantine_path, silver_job.QUARANTINE_SCHEMA)
     return back.select(*INVALID_COLUMNS, "odate")
 
 
@@ -246,7 +246,7 @@ def q_job_valid(spark, sf_dir):
 
 def q_job_invalid(spark, sf_dir):
     cfg = _run_job(spark, sf_dir, runs=1)
-    back = silver_job.read_back(spark, cfg.quarantine_path).where(F.col("odate") == fx.RUN_DATE)
+    back = silver_job.read_back(spark, cfg.quarantine_path, silver_job.QUARANTINE_SCHEMA).where(F.col("odate") == fx.RUN_DATE)
     return back.select(*INVALID_COLUMNS)
 
 
