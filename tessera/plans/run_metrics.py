@@ -197,19 +197,24 @@ def _task_metric_fields(ev: DataFrame) -> set[str]:
 
 
 def event_log_path(spark: SparkSession) -> str | None:
-    """Event log folder of this application when event logging is on."""
+    """Event log of this application when event logging is on and the log is
+    plain JSON lines (single file or rolling folder); compressed logs are not
+    read (``None``)."""
     conf = spark.sparkContext.getConf()
     if conf.get("spark.eventLog.enabled", "false").lower() != "true":
         return None
+    if conf.get("spark.eventLog.compress", "true").lower() == "true":
+        return None
     base = conf.get("spark.eventLog.dir", None)
     if not base:
         return None
     app_id = spark.sparkContext.applicationId
     base = base.rstrip("/")
-    for name in (f"{app_id}.inprogress", app_id):
-        local = base[5:] if base.startswith("file:") else base
+    local = base[5:] if base.startswith("file:") else base
+    for name in (f"eventlog_v2_{app_id}", f"{app_id}.inprogress", app_id):
         if os.path.exists(os.path.join(local, name)):
-            return f"{base}/{name}"
+            path = f"{base}/{name}"
+            return f"{path}/events_*" if name.startswith("eventlog_v2_") else path
     return None
 
 

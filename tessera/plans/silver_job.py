@@ -16,7 +16,7 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators.normalize import normalize_reviews
@@ -63,28 +63,35 @@ def build(spark: SparkSession, cfg: JobConfig):
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
+    """Run one day.
+
+    Order matters: the merged frame reads the silver table (history) and is
+    persisted; writing to the silver table makes Spark refresh every cached
+    plan that reads that path.  So the quarantine output and the one-row
+    summary are produced first, and the silver write comes last.
+    """
     start = rm.RunClock.now()
     batch = None
     try:
         batch, v = build(spark, cfg)
         checked = v.checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
+            summary_row = quality_summary(checked).first().asDict()
             preview_v, preview_i = [], []
             if cfg.env == ENV_PRE:
                 preview_v = v.valid.take(10)
                 preview_i = v.invalid.take(10)
             n_valid = save_partitioned(v.valid, cfg.silver_path, cfg.run_date, "valid", schema=SILVER_SCHEMA)
-            n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
-            summary_df = quality_summary(checked)
-            summary_row = summary_df.first().asDict()
-            clock = rm.RunClock(start, rm.RunClock.now())
-            if cfg.audit_path:
-                doc = rm.metrics_document(
-                    summary_df, application_id=spark.sparkContext.applicationId,
-                    source_app=cfg.source_app, owner=cfg.owner, clock=clock)
-                rm.append_document(doc, cfg.audit_path)
         finally:
             checked.unpersist()
+        if cfg.audit_path:
+            clock = rm.RunClock(start, rm.RunClock.now())
+            summary_df = spark.createDataFrame([Row(**summary_row)])
+            doc = rm.metrics_document(
+                summary_df, application_id=spark.sparkContext.applicationId,
+                source_app=cfg.source_app, owner=cfg.owner, clock=clock)
+            rm.append_document(doc, cfg.audit_path)
         return JobResult(n_valid, n_invalid, summary_row, preview_v, preview_i)
     except Exception as err:
         log.error("silver job failed: %s", err)

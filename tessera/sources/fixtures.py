@@ -24,7 +24,22 @@ HISTORY_DATES = ("20240101", "20240102")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents table, spread over the cluster when under-partitioned.
+
+    Text folding is CPU-heavy per row.  A scan with fewer partitions than the
+    default parallelism (a small table stored as one row group) would run it
+    in a handful of tasks, so it is round-robin repartitioned first.  A large
+    table has far more partitions than cores and is left as scanned (no
+    extra shuffle).
+    """
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,9 +64,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_with_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze`` plus the source ``doc_id``."""
     d = documents(spark, sf_dir).where(F.col("doc_id") % 7 != 3)
-    first = d.withColumn("dup", F.lit(0))
-    second = d.where(F.col("doc_id") % 29 == 4).withColumn("dup", F.lit(1))
-    b = first.unionByName(second)
+    copies = F.when(F.col("doc_id") % 29 == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    b = d.select("*", F.explode(copies).alias("dup"))  # one scan; dup = 1 is the later copy
     doc_id = F.col("doc_id")
     id_col = F.when(doc_id % 97 == 0, F.lit(None).cast("string")).otherwise(doc_id.cast("string"))
     return b.select(
@@ -80,8 +94,10 @@ def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier silver rows on two days (odate 20240101, 20240102)."""
     d = documents(spark, sf_dir).where((F.col("doc_id") % 13 != 5) | (F.col("doc_id") % 7 == 3))
-    days = F.explode(F.array(F.lit(1), F.lit(2))).alias("v")
-    d = d.select("doc_id", "text", "source", days)
+    # fold once per document, then fan out to the two days
+    d = d.select("doc_id", "source", fold_upper(_title(F.col("source"))).alias("ftitle"),
+                 fold_upper(F.col("text")).alias("ftext"))
+    d = d.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("v"))
     doc_id, v = F.col("doc_id"), F.col("v")
     return d.select(
         doc_id.cast("string").alias("id"),
@@ -90,10 +106,8 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1) + (doc_id + F.when(doc_id % 5 == v, 1).otherwise(0)) % 5).cast("string").alias("rating"),
         F.concat(F.lit("2024-02-"), _day(doc_id),
                  F.when(doc_id % 11 == v, F.lit("T06:00:00Z")).otherwise(F.lit("T00:00:00Z"))).alias("iso_date"),
-        F.concat(F.when(doc_id % 3 == v, F.lit("OLD ")).otherwise(F.lit("")),
-                 fold_upper(_title(F.col("source")))).alias("title"),
-        F.concat(F.when(doc_id % 19 == v, F.lit("X ")).otherwise(F.lit("")),
-                 fold_upper(F.col("text"))).alias("snippet"),
+        F.concat(F.when(doc_id % 3 == v, F.lit("OLD ")).otherwise(F.lit("")), F.col("ftitle")).alias("title"),
+        F.concat(F.when(doc_id % 19 == v, F.lit("X ")).otherwise(F.lit("")), F.col("ftext")).alias("snippet"),
         F.concat(F.lit("2024010"), v.cast("string")).alias("odate"),
     )
 
