@@ -10,9 +10,9 @@ Plan shape (aggregate *before* joining, so the join is 1:1 on unique keys):
 
 * new side: ``groupBy(id).agg(max(struct))`` picks one row per id; partial
   aggregation collapses a hot id inside each map task before the shuffle.
-* history side: ``groupBy(id, version cols)`` de-duplicates the versions a
-  review had on many days (again partial-aggregated map side), then
-  ``groupBy(id)`` gives the latest version and the list of versions.
+* history side: one ``groupBy(id)`` with ``collect_set`` of the versions
+  (repeated daily copies of a version collapse map-side) and ``max(struct)``
+  for the latest version.
 * the two one-row-per-id sides are joined on ``id``; both are already
   hash-partitioned on ``id`` by their aggregations, so the join adds no
   exchange.  The change filter and entry construction are higher-order
@@ -67,12 +67,24 @@ def history_versions(history: DataFrame, run_date: str | None = None) -> DataFra
     )
 
 
-def history_by_id(versions: DataFrame) -> DataFrame:
-    """One row per id: latest version fields (``o_*``) and all versions."""
-    latest = F.max(F.struct("odate_n", *VERSION_COLS)).alias("o")
+def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
+    """One row per id: latest version fields (``o_*``) and the distinct versions.
+
+    A single aggregation, so the history side is shuffled once, on ``id``:
+    ``collect_set`` drops repeated versions inside each map task before the
+    shuffle (a review re-written unchanged every day collapses to one entry
+    per task), and ``max(struct(odate, ...))`` picks the latest version.
+    The set holds the distinct versions of one review, which is the size of
+    its change history, the output shape itself.
+    """
+    h = history
+    if run_date is not None:
+        h = h.where(F.col("odate") < F.lit(run_date))
+    latest = F.max(F.struct(F.col("odate").try_cast("int").alias("odate_n"), *VERSION_COLS)).alias("o")
     return (
-        versions.groupBy("id")
-        .agg(latest, F.collect_list(F.struct(*VERSION_COLS)).alias("versions"))
+        h.where(F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(latest, F.collect_set(F.struct(*VERSION_COLS)).alias("versions"))
         .select("id", *[F.col(f"o.{c}").alias(f"o_{c}") for c in VERSION_COLS], "versions")
     )
 
@@ -132,7 +144,7 @@ def snapshot_merge(
     # such an alias (lateral column alias resolution).
     n = pick_latest_new(new).select(
         "id", *[F.col(c).alias(f"n_{c}") for c in NEW_PICK_ORDER], "n_batch", F.lit(True).alias("in_batch"))
-    o = history_by_id(history_versions(history, run_date))
+    o = history_by_id(history, run_date)
     j = n.join(o, "id", how)
     new_vals = {f: F.col(f"n_{f}") for f in CHANGE_FIELDS}
     return j.select(

@@ -57,9 +57,10 @@ class JobResult:
 
 def build(spark: SparkSession, cfg: JobConfig):
     """Lazy plans of the run: (batch, Validated)."""
-    batch = normalize_reviews(read_segments(spark, cfg.bronze_base, cfg.run_date))
+    raw = read_segments(spark, cfg.bronze_base, cfg.run_date)
+    batch = normalize_reviews(raw)
     history = read_history(spark, cfg.silver_path, cfg.run_date)
-    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how)
+    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how, raw_batch=raw)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.ratings import rating_as_int
 from tessera.operators import quality as q
+from tessera.operators.normalize import normalize_reviews
 from tessera.operators.snapshot import snapshot_merge
 from tessera.schemas import CRITICAL_COLUMNS, INVALID_COLUMNS, VALID_REQUIRED
 
@@ -43,17 +44,26 @@ def checked_frame(batch: DataFrame, history: DataFrame, run_date: str | None,
     return merged.unionByName(null_ids)
 
 
-def duplicate_batch_rows(batch: DataFrame, checked: DataFrame) -> DataFrame:
+def duplicate_batch_rows(batch: DataFrame, checked: DataFrame, raw_batch: DataFrame | None = None) -> DataFrame:
     """Batch rows whose id occurs more than once (semi join on the merged ids
-    flagged by ``n_batch``; the flagged side is unique per id)."""
+    flagged by ``n_batch``; the flagged side is unique per id).
+
+    With ``raw_batch`` (the batch before normalisation) the semi join runs on
+    the raw rows and only the surviving duplicates are normalised, so the
+    text folding is not repeated for the whole batch.
+    """
     dup_ids = checked.where(F.col("n_batch") > 1).select("id")
+    if raw_batch is not None:
+        return normalize_reviews(raw_batch.join(dup_ids, "id", "left_semi"))
     return batch.join(dup_ids, "id", "left_semi")
 
 
 def validate(batch: DataFrame, history: DataFrame, run_date: str | None,
-             how: str = "full_outer") -> Validated:
+             how: str = "full_outer", raw_batch: DataFrame | None = None) -> Validated:
+    """Merge, check and split one batch.  ``raw_batch`` is the same batch
+    before ``normalize_reviews`` (optional; see :func:`duplicate_batch_rows`)."""
     checked = checked_frame(batch, history, run_date, how)
-    dups = duplicate_batch_rows(batch, checked).select(*INVALID_COLUMNS)
+    dups = duplicate_batch_rows(batch, checked, raw_batch).select(*INVALID_COLUMNS)
     return Validated(
         checked=checked,
         valid=q.split_valid(checked),

@@ -115,7 +115,7 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings as delivered text: numeric, 'n/a' or null."""
     doc_id = F.col("doc_id")
-    return documents(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         doc_id.cast("string").alias("id"),
         F.when(doc_id % 31 == 0, F.lit("n/a"))
          .when(doc_id % 23 == 0, F.lit(None).cast("string"))
@@ -129,7 +129,7 @@ def bronze_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     app = F.when(doc_id % 3 == 0, F.lit("my_app")).otherwise(F.col("source"))
     seg = F.when(doc_id % 2 == 0, F.lit("_pf")).otherwise(F.lit("_pj"))
     tail = F.when(doc_id % 5 == 0, F.lit("/dt=1")).otherwise(F.lit("/odate=20240101/p"))
-    return documents(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit("/x/googlePlay/"), app, seg, tail).alias("path"))
 
 

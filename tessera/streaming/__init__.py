@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming.
+
+The job this library re-expresses is a daily batch: it has no unbounded
+source, watermark, streaming window or stateful operator, so nothing is
+built here.  The batch job is idempotent per run date (dynamic partition
+overwrite), so it can be triggered per arriving bronze partition as is.
+"""
