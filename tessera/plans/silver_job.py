@@ -23,6 +23,7 @@ from tessera.operators.normalize import normalize_reviews
 from tessera.plans import run_metrics as rm
 from tessera.plans.validation import quality_summary, validate
 from tessera.schemas import INVALID_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA
+from tessera.session import checkpoint_dir
 from tessera.sinks.parquet import save_partitioned
 from tessera.sources.bronze import read_segments
 from tessera.sources.history import read_history
@@ -44,6 +45,10 @@ class JobConfig:
     source_app: str = "silver_reviews"
     owner: rm.Owner = field(default_factory=rm.Owner)
     merge_how: str = "full_outer"
+    # "persist": executor memory+disk, lost blocks recomputed from lineage;
+    # "checkpoint": written once under spark.checkpoint.dir, lineage cut, so a
+    # lost executor never re-runs the merge.
+    materialize: str = "persist"
 
 
 @dataclass
@@ -75,7 +80,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     batch = None
     try:
         batch, v = build(spark, cfg)
-        checked = v.checked.persist(StorageLevel.MEMORY_AND_DISK)
+        if cfg.materialize == "checkpoint":
+            checkpoint_dir(spark)  # the session's folder; a local one only when unset
+            checked = v.checked.checkpoint(eager=True)
+            v = rebuild_outputs(batch, checked, v)
+        else:
+            checked = v.checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
             summary_row = quality_summary(checked).first().asDict()
@@ -85,7 +95,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
                 preview_i = v.invalid.take(10)
             n_valid = save_partitioned(v.valid, cfg.silver_path, cfg.run_date, "valid", schema=SILVER_SCHEMA)
         finally:
-            checked.unpersist()
+            if cfg.materialize != "checkpoint":
+                checked.unpersist()
         if cfg.audit_path:
             clock = rm.RunClock(start, rm.RunClock.now())
             summary_df = spark.createDataFrame([Row(**summary_row)])
@@ -104,6 +115,15 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         raise
 
 
+def rebuild_outputs(batch, checked: DataFrame, v):
+    """Valid / invalid outputs re-derived from a materialised checked frame."""
+    from tessera.operators import quality as q
+    from tessera.plans.validation import Validated, duplicate_batch_rows
+    dups = duplicate_batch_rows(batch, checked, v.raw_batch).select(*INVALID_COLUMNS)
+    return Validated(checked=checked, valid=q.split_valid(checked), invalid=q.split_invalid(checked, dups),
+                     duplicates=dups, raw_batch=v.raw_batch)
+
+
 QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in INVALID_COLUMNS])
 
 
@@ -112,3 +132,42 @@ def read_back(spark: SparkSession, path: str, schema: StructType = SILVER_SCHEMA
     (no partition type inference)."""
     full = StructType(list(schema.fields) + [StructField(PARTITION_COLUMN, StringType(), True)])
     return spark.read.schema(full).parquet(path)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit -m tessera.plans.silver_job <env> --bronze ... --silver ... ...``
+
+    The session comes from ``getOrCreate`` (the submitter configures it).
+    Returns 0 on success; on any error logs it, writes the failure document
+    (when a path is given) and returns 1.  The session is stopped either way.
+    """
+    import argparse
+    from datetime import datetime, timezone
+
+    ap = argparse.ArgumentParser(prog="silver_job")
+    ap.add_argument("env", choices=["pre", "prod"])
+    ap.add_argument("--bronze", required=True, help="base folder holding <app>_<pf|pj>/odate=<d>/")
+    ap.add_argument("--silver", required=True)
+    ap.add_argument("--quarantine", required=True)
+    ap.add_argument("--run-date", default=datetime.now(timezone.utc).strftime("%Y%m%d"))
+    ap.add_argument("--audit", default=None)
+    ap.add_argument("--failures", default=None)
+    ap.add_argument("--materialize", choices=["persist", "checkpoint"], default="persist")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("tessera silver job").getOrCreate()
+    try:
+        run(spark, JobConfig(bronze_base=args.bronze, silver_path=args.silver,
+                             quarantine_path=args.quarantine, run_date=args.run_date,
+                             audit_path=args.audit, failure_path=args.failures, env=args.env,
+                             materialize=args.materialize))
+        return 0
+    except Exception as err:  # reported in the failure document and the log
+        log.error("job failed: %s", err)
+        return 1
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main())

@@ -31,6 +31,7 @@ class Validated:
     valid: DataFrame       # silver schema
     invalid: DataFrame     # quarantine columns
     duplicates: DataFrame  # batch rows of duplicated ids (part of invalid)
+    raw_batch: DataFrame | None = None
 
 
 def checked_frame(batch: DataFrame, history: DataFrame, run_date: str | None,
@@ -69,6 +70,7 @@ def validate(batch: DataFrame, history: DataFrame, run_date: str | None,
         valid=q.split_valid(checked),
         invalid=q.split_invalid(checked, dups),
         duplicates=dups,
+        raw_batch=raw_batch,
     )
 
 

@@ -136,3 +136,17 @@ def test_stage_metrics_from_event_log(spark):
     rows = df.collect()
     assert rows and all(r.num_tasks >= 1 for r in rows)
     assert "executor_run_time_ms" in df.columns
+
+
+def test_job_with_checkpointed_merge_equals_persisted(spark, tmp_dir):
+    from tessera.sources import fixtures as fx
+    outs = {}
+    for mode in ("persist", "checkpoint"):
+        cfg = silver_job.JobConfig(
+            bronze_base=f"{tmp_dir}/{mode}/bronze/googlePlay", silver_path=f"{tmp_dir}/{mode}/silver",
+            quarantine_path=f"{tmp_dir}/{mode}/quarantine", run_date=fx.RUN_DATE, materialize=mode)
+        fx.write_bronze_layout(spark, SF001, cfg.bronze_base)
+        fx.write_history_table(spark, SF001, cfg.silver_path, late_copy_date=None)
+        r = silver_job.run(spark, cfg)
+        outs[mode] = (r.valid_rows, r.invalid_rows, r.summary)
+    assert outs["persist"] == outs["checkpoint"]
