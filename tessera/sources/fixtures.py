@@ -36,10 +36,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # sessions without RDD access: leave the scan as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -114,3 +114,18 @@ def test_hot_history_key_many_days(spark):
     h = m["hot"]["historical_data"]
     assert sorted((e.rating, e.title) for e in h) == [("3", "T"), ("4", "T0")]
     assert len(m) == 301
+
+
+def test_result_independent_of_partitioning(spark):
+    from tests.conftest import SF001
+    from tessera.registry import flatten_history
+    from tessera.sources import fixtures as fx
+    norm, hist = fx.norm(spark, SF001), fx.hist(spark, SF001)
+    base = flatten_history(snapshot.snapshot_merge(norm, hist, fx.RUN_DATE))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        other = flatten_history(snapshot.snapshot_merge(norm.repartition(5), hist.repartition(2), fx.RUN_DATE))
+        assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
