@@ -135,7 +135,7 @@ def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession
     if not path:
         raise ValueError("audit path must not be empty")
     if isinstance(doc, DataFrame):
-        doc.coalesce(1).write.mode("append").json(path)
+        doc.write.mode("append").json(path)  # one row: one partition, one file
         return
     if isinstance(doc, str):
         try:
@@ -149,7 +149,7 @@ def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession
         raise TypeError(f"unsupported document type {type(doc).__name__}")
     if spark is None:
         raise ValueError("a session is needed to write a JSON text document")
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+    spark.createDataFrame([(text,)], "value string").write.mode("append").text(path)
 
 
 # ------------------------------------------------------------ stage metrics

@@ -40,8 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests, the bench) a
-    folder under the local temp dir is created and registered.
+    Read from the session.  Only a local-mode session (tests, the bench) may
+    fall back to a folder under the machine's temp dir when the setting is
+    unset; on a cluster that would be executor-local, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,8 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()
 
 
