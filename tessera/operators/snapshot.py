@@ -70,6 +70,9 @@ def history_versions(history: DataFrame, run_date: str | None = None) -> DataFra
 def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
     """One row per id: latest version fields (``o_*``) and the distinct versions.
 
+    ``history`` is either silver rows (with ``odate``) or compacted version
+    rows (with ``odate_n``, see ``tessera.sources.versions``).
+
     A single aggregation, so the history side is shuffled once, on ``id``:
     ``collect_set`` drops repeated versions inside each map task before the
     shuffle (a review re-written unchanged every day collapses to one entry
@@ -78,9 +81,15 @@ def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
     its change history, the output shape itself.
     """
     h = history
-    if run_date is not None:
-        h = h.where(F.col("odate") < F.lit(run_date))
-    latest = F.max(F.struct(F.col("odate").try_cast("int").alias("odate_n"), *VERSION_COLS)).alias("o")
+    if "odate" in h.columns:  # silver rows
+        if run_date is not None:
+            h = h.where(F.col("odate") < F.lit(run_date))
+        day = F.col("odate").try_cast("int")
+    else:  # compacted versions (see tessera.sources.versions)
+        if run_date is not None:
+            h = h.where(F.col("odate_n") < F.lit(int(run_date)))
+        day = F.col("odate_n")
+    latest = F.max(F.struct(day.alias("odate_n"), *VERSION_COLS)).alias("o")
     return (
         h.where(F.col("id").isNotNull())
         .groupBy("id")

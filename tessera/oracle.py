@@ -276,6 +276,9 @@ def all_sql() -> dict[str, str]:
         + f"SELECT doc_id, path, regexp_extract(path, {SEG_RE}, 1) AS segmento FROM paths",
         "history_scan": with_ctes(HIST)
         + f"SELECT id, app, segmento, rating, iso_date, title, snippet, odate FROM hist WHERE odate < '{RUN_DATE}'",
+        "history_compact": with_ctes(HIST)
+        + ("SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n "
+           f"FROM hist WHERE odate < '{RUN_DATE}' GROUP BY id, iso_date, title, snippet, rating, app"),
         "merge_no_history": with_ctes(BRONZE, NORM, HIST, merge_ctes())
         + "SELECT id, avatar, app, segmento, rating, iso_date, title, snippet, likes, CAST(0 AS BIGINT) AS n_hist, "
           "'' AS history, true AS in_batch, CAST(n_batch AS BIGINT) AS n_batch FROM new1",

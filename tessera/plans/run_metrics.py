@@ -114,7 +114,7 @@ def failure_document(spark: SparkSession, error: BaseException | str, df: DataFr
     if df is not None and "segmento" in df.columns:
         base = df.agg(F.array_sort(F.collect_set("segmento")).alias("client"))
     if base is None:
-        base = spark.range(1).select(F.array(F.lit("UNKNOWN_CLIENT")).alias("client"))
+        base = spark.range(1, numPartitions=1).select(F.array(F.lit("UNKNOWN_CLIENT")).alias("client"))
     return base.select(
         F.lit(utc_iso_millis(RunClock.now())).alias("timestamp"),
         F.lit(owner.layer).alias("layer"),

@@ -89,6 +89,15 @@ def q_history_scan(spark, sf_dir):
     return read_history(spark, path, fx.RUN_DATE)
 
 
+def q_history_compact(spark, sf_dir):
+    """Compacted history snapshot (distinct versions, last day seen) built
+    from a written silver table and read back."""
+    from tessera.sources.versions import prepare_versions
+    root = scratch_path(spark, "versions")
+    fx.write_history_table(spark, sf_dir, f"{root}/silver", late_copy_date=fx.RUN_DATE)
+    return prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
+
+
 def q_merge_no_history(spark, sf_dir):
     empty = spark.createDataFrame([], fx.hist(spark, sf_dir).schema)
     merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir), empty, fx.RUN_DATE)
@@ -309,6 +318,7 @@ def all_queries() -> dict[str, Query]:
         "path_app_extract": q_path_app_extract,
         "path_segment_extract": q_path_segment_extract,
         "history_scan": q_history_scan,
+        "history_compact": q_history_compact,
         "merge_no_history": q_merge_no_history,
         # projections
         "accent_fold": q_accent_fold,
