@@ -223,3 +223,23 @@ def report_to_kv(report: DataFrame, report_col: str = "report", keys: list[str]
     from tessera.functions.report import report_lines
     keys = keys or []
     return parse_kv_lines(report_lines(report, report_col, keys), keys)
+
+
+def stage_totals(spark: SparkSession, job_group: str) -> dict[str, str]:
+    """Totals over the stages of one job group (the run), from the status
+    tracker: a handful of numbers per run for the document's ``stages`` map."""
+    tracker = spark.sparkContext.statusTracker()
+    stages = tasks = done = failed = 0
+    jobs = tracker.getJobIdsForGroup(job_group)
+    for job_id in jobs:
+        info = tracker.getJobInfo(job_id)
+        for sid in (info.stageIds if info else []):
+            st = tracker.getStageInfo(sid)
+            if st is None:
+                continue
+            stages += 1
+            tasks += st.numTasks
+            done += st.numCompletedTasks
+            failed += st.numFailedTasks
+    return {"numJobs": str(len(jobs)), "numStages": str(stages), "numTasks": str(tasks),
+            "numCompletedTasks": str(done), "numFailedTasks": str(failed)}

@@ -13,6 +13,7 @@ recomputing its blocks from lineage.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -86,6 +87,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     """
     start = rm.RunClock.now()
     batch = None
+    sc = spark.sparkContext
+    previous_group = sc.getLocalProperty("spark.jobGroup.id")
+    group = f"tessera-silver-{cfg.run_date}-{uuid.uuid4().hex[:8]}"
+    sc.setJobGroup(group, f"silver job {cfg.run_date}")
     try:
         batch, v = build(spark, cfg)
         if cfg.materialize == "checkpoint":
@@ -110,7 +115,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             summary_df = spark.createDataFrame([Row(**summary_row)])
             doc = rm.metrics_document(
                 summary_df, application_id=spark.sparkContext.applicationId,
-                source_app=cfg.source_app, owner=cfg.owner, clock=clock)
+                source_app=cfg.source_app, owner=cfg.owner, clock=clock,
+                stages=rm.stage_totals(spark, group))
             rm.append_document(doc, cfg.audit_path)
         return JobResult(n_valid, n_invalid, summary_row, preview_v, preview_i)
     except Exception as err:
@@ -121,6 +127,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             except Exception as inner:  # the original error is what matters
                 log.error("could not write the failure document: %s", inner)
         raise
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", previous_group)
+        sc.setLocalProperty("spark.job.description", None)
 
 
 def rebuild_outputs(batch, checked: DataFrame, v):

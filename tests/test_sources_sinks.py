@@ -106,6 +106,10 @@ def test_job_end_to_end_and_rerun(spark, tmp_dir):
     docs = spark.read.json(cfg.audit_path).collect()
     assert len(docs) == 2 and docs[0].valid_data["count"] == r1.valid_rows
     assert set(docs[0].validation_results.asDict()) == {"duplicate_check", "null_check", "type_consistency_check"}
+    assert int(docs[0].stages["numStages"]) > 0 and int(docs[0].stages["numFailedTasks"]) == 0
+    # snappy-compressed, date-partitioned files
+    files = silver_job.read_back(spark, cfg.silver_path).inputFiles()
+    assert files and all(".snappy.parquet" in f and "/odate=" in f for f in files)
 
 
 def test_job_failure_writes_failure_document(spark, tmp_dir):
