@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 # --- fixed values: transliterations that canonical decomposition cannot give
 # (letter or symbol -> ASCII replacement), in code-point order.
 SPECIAL_TRANSLITERATIONS = [
-    (" ", " "),
+    ("\u00a0", " "),  # no-break space
     ("¡", "!"),
     ("«", "<<"),
     ("»", ">>"),

@@ -58,3 +58,8 @@ def test_kv_report_parse(spark):
     out = {(r.key, r.value) for r in parse_kv_lines(report_lines(df, "report", ["rid"]), ["rid"]).collect()}
     # later line wins for a repeated key
     assert out == {("a", "5"), ("b", "2 ms (3 s)")}
+
+
+def test_fold_no_break_space_and_combining_marks(spark):
+    df = spark.createDataFrame([("a\u00a0b",), ("e\u0301te\u0301",), ("été",)], "s string")
+    assert [r[0] for r in df.select(fold_upper("s")).collect()] == ["A B", "ETE", "ETE"]

@@ -96,3 +96,21 @@ def test_history_normalise_and_regroup(spark):
     assert n["1"] == []
     g = {r.id: [e.iso_date for e in r.historical_data] for r in q.history_regroup(df).collect()}
     assert g == {"1": [], "2": ["c0", "d0"]}
+
+
+def test_valid_invalid_neither_partition_the_checked_rows(spark):
+    from tests.conftest import SF001
+    from tessera.sources import fixtures as fx
+    from tessera.schemas import VALID_REQUIRED
+    from functools import reduce
+    v = validation.validate(fx.norm(spark, SF001), fx.hist(spark, SF001), fx.RUN_DATE)
+    c = v.checked
+    valid = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in VALID_REQUIRED])
+    bad = q.invalid_predicate(c)
+    row = c.agg(F.count(F.lit(1)).alias("n"), F.count_if(valid).alias("v"), F.count_if(bad).alias("i"),
+                F.count_if(valid & bad).alias("both"), F.count_if(~valid & ~bad).alias("neither"),
+                F.count_if(~valid & ~bad & F.col("in_batch")).alias("neither_batch")).first()
+    assert row.both == 0 and row.v + row.i + row.neither == row.n
+    assert row.neither_batch == 0  # every batch row ends up in an output
+    assert v.valid.count() == row.v
+    assert v.invalid.count() == row.i + v.duplicates.count()
