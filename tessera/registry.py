@@ -53,7 +53,9 @@ def _merged(spark, sf_dir):
 
 
 def _validated(spark, sf_dir):
-    return validation.validate(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
+    raw = fx.bronze(spark, sf_dir)
+    return validation.validate(normalize.normalize_reviews(raw), fx.hist(spark, sf_dir), fx.RUN_DATE,
+                               raw_batch=raw)
 
 
 # ------------------------------------------------------------------ sources
