@@ -175,16 +175,18 @@ def snapshot_merge(
 def change_detection(new: DataFrame, history: DataFrame, run_date: str | None = None) -> DataFrame:
     """Per (id, distinct earlier version): which fields changed.
 
-    Inner join of the one-row-per-id new side with the de-duplicated versions;
-    the versions side is the large, possibly skewed one and is the streamed
-    side, so AQE's skew-join split applies to it.
+    The distinct versions come from the same one-shuffle ``history_by_id``
+    as the merge; the join with the one-row-per-id new side is 1:1 (both
+    sides hash-partitioned on ``id``), and the version list is exploded
+    after it, so the rows stay partitioned by ``id`` for any later grouping.
     """
     n = pick_latest_new(new).select("id", *[F.col(c).alias(f"n_{c}") for c in CHANGE_FIELDS],
                                     F.col("segmento").alias("new_segmento"))
-    v = history_versions(history, run_date)
-    j = v.join(n, "id", "inner")
-    flags = {f"{f}_changed": differs(F.col(f"n_{f}"), F.col(f)) for f in CHANGE_FIELDS}
-    out = j.select("id", *VERSION_COLS, "new_segmento", *[e.alias(k) for k, e in flags.items()])
+    o = history_by_id(history, run_date).select("id", "versions")
+    j = o.join(n, "id", "inner").select("*", F.explode("versions").alias("v")).drop("versions")
+    flags = {f"{f}_changed": differs(F.col(f"n_{f}"), F.col(f"v.{f}")) for f in CHANGE_FIELDS}
+    out = j.select("id", *[F.col(f"v.{c}").alias(c) for c in VERSION_COLS], "new_segmento",
+                   *[e.alias(k) for k, e in flags.items()])
     any_changed = None
     for k in flags:
         any_changed = F.col(k) if any_changed is None else any_changed | F.col(k)
