@@ -243,3 +243,32 @@ def stage_totals(spark: SparkSession, job_group: str) -> dict[str, str]:
             failed += st.numFailedTasks
     return {"numJobs": str(len(jobs)), "numStages": str(stages), "numTasks": str(tasks),
             "numCompletedTasks": str(done), "numFailedTasks": str(failed)}
+
+
+def metrics_json(doc: DataFrame) -> str:
+    """The one-row run document as a JSON string."""
+    return doc.select(F.to_json(F.struct(*doc.columns))).first()[0]
+
+
+def save_metrics(kind: str, path: str, *, spark: SparkSession | None = None,
+                 error: BaseException | str | None = None, df: DataFrame | None = None,
+                 metrics_data: DataFrame | dict | str | None = None, owner: Owner | None = None) -> None:
+    """Append a success or failure document.
+
+    ``kind`` is 'success' (needs ``metrics_data``: a one-row DataFrame, a
+    dict or a JSON string) or 'fail' (needs ``error``; ``df`` gives the
+    client segments).
+    """
+    kind = (kind or "").lower()
+    if kind not in ("success", "fail"):
+        raise ValueError("kind must be 'success' or 'fail'")
+    if kind == "fail":
+        if not error:
+            raise ValueError("a 'fail' document needs an error")
+        if spark is None:
+            raise ValueError("a session is needed for a failure document")
+        append_document(failure_document(spark, error, df, owner), path)
+        return
+    if metrics_data is None or (isinstance(metrics_data, (str, dict)) and not metrics_data):
+        raise ValueError("a 'success' document needs metrics_data")
+    append_document(metrics_data, path, spark)

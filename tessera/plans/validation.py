@@ -153,3 +153,34 @@ def validation_results(summary: DataFrame) -> DataFrame:
         entry(q.CHECK_TYPE, F.col("type_status"), q.CODE_BAD_DATA, F.lit(q.MSG_TYPE_FOUND), q.MSG_TYPE_NONE),
     )
     return s.select(F.inline(checks))
+
+
+def results_dict(summary_row: dict) -> dict:
+    """The validation results as a plain dict (three checks + total_records),
+    built from the one-row summary."""
+    from tessera.operators import quality as qq
+    nulls = {c: summary_row[f"null_{c}"] for c in CRITICAL_COLUMNS if summary_row[f"null_{c}"] > 0}
+    null_text = "{" + ", ".join(f"'{c}': {n}" for c, n in nulls.items()) + "}"
+
+    def entry(ok: bool, bad_code: int, bad_msg: str, ok_msg: str) -> dict:
+        return {"message": ok_msg if ok else bad_msg, "status": bool(ok),
+                "code": qq.CODE_OK if ok else bad_code}
+
+    return {
+        qq.CHECK_DUPLICATE: entry(summary_row["duplicate_status"], qq.CODE_CONFLICT,
+                                  qq.MSG_DUP_FOUND.replace("{n}", str(summary_row["duplicate_keys"])),
+                                  qq.MSG_DUP_NONE),
+        qq.CHECK_NULL: entry(summary_row["null_status"], qq.CODE_BAD_DATA,
+                             qq.MSG_NULL_FOUND.replace("{issues}", null_text), qq.MSG_NULL_NONE),
+        qq.CHECK_TYPE: entry(summary_row["type_status"], qq.CODE_BAD_DATA, qq.MSG_TYPE_FOUND, qq.MSG_TYPE_NONE),
+        "total_records": int(summary_row["total_records"]),
+    }
+
+
+def validate_ingest(batch: DataFrame, history: DataFrame, run_date: str | None = None,
+                    raw_batch: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """``(valid, invalid, results)`` in one call; ``results`` comes from the
+    one-row summary (the only collect)."""
+    v = validate(batch, history, run_date, raw_batch=raw_batch)
+    row = quality_summary(v.checked).first().asDict()
+    return v.valid, v.invalid, results_dict(row)

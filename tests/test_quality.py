@@ -114,3 +114,12 @@ def test_valid_invalid_neither_partition_the_checked_rows(spark):
     assert row.neither_batch == 0  # every batch row ends up in an output
     assert v.valid.count() == row.v
     assert v.invalid.count() == row.i + v.duplicates.count()
+
+
+def test_validate_ingest_results_dict(spark):
+    batch = normalize_reviews(two_reviews(spark))
+    valid, invalid, res = validation.validate_ingest(batch, empty_history(spark), "20241201")
+    assert valid.count() == 2 and invalid.count() == 0
+    assert res["total_records"] == 2 and res["duplicate_check"]["code"] == 200
+    assert res["null_check"] == {"message": "Nenhum valor nulo encontrado nas colunas criticas.",
+                                 "status": True, "code": 200}

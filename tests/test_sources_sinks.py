@@ -206,3 +206,24 @@ def test_compacted_history_store_gives_same_outputs(spark, tmp_dir):
             a, b = flatten_history(a), flatten_history(b)
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_save_metrics_kinds(spark, tmp_dir):
+    with pytest.raises(ValueError):
+        rm.save_metrics("other", f"{tmp_dir}/a", spark=spark)
+    with pytest.raises(ValueError):
+        rm.save_metrics("fail", f"{tmp_dir}/a", spark=spark)
+    with pytest.raises(ValueError):
+        rm.save_metrics("success", f"{tmp_dir}/a", spark=spark)
+    rm.save_metrics("fail", f"{tmp_dir}/f", spark=spark, error=RuntimeError("boom"))
+    rm.save_metrics("success", f"{tmp_dir}/s", spark=spark, metrics_data={"valid": 1})
+    assert spark.read.json(f"{tmp_dir}/f").first().error == "boom"
+    assert spark.read.json(f"{tmp_dir}/s").first().valid == 1
+    doc = rm.metrics_document(spark.createDataFrame([{
+        "valid_count": 1, "pct_valid": 100.0, "invalid_count": 0, "pct_invalid": 0.0, "written_total": 1,
+        "total_records": 1, "valid_text_bytes": 10, "duplicate_status": True, "duplicate_keys": 0,
+        "null_status": True, **{f"null_{c}": 0 for c in ["id", "rating", "app", "iso_date", "title", "snippet"]},
+        "type_status": True, "success_count": 3, "error_count": 0, "type_client": "PF"}]),
+        application_id="a", source_app="s")
+    parsed = json.loads(rm.metrics_json(doc))
+    assert parsed["valid_data"] == {"count": 1, "percentage": 100.0} and parsed["type_client"] == "PF"
