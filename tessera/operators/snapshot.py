@@ -230,10 +230,13 @@ def salted_history_join(
 
     The versions side (many rows for a hot id) gets a deterministic salt
     ``pmod(xxhash64(version), n)``; the one-row-per-id new side is replicated
-    ``n`` times with ``explode(sequence(0, n-1))``, so each (id, salt) pair
-    still meets its partner exactly once.  The result equals the unsalted
-    ``history_join(..., 'right_outer')`` seen from the versions side plus new ids
-    without history, i.e. the left outer join new -> versions.
+    ``n`` times with ``explode(sequence(0, n-1))``, so each version still
+    meets its id's new row exactly once and a hot id's versions spread over
+    ``n`` tasks.  New ids without any version come from an anti join on the
+    (partially aggregated) distinct version ids.  The result equals
+    ``history_join(new, history, "left_outer")``.  Cost: the new side is
+    shuffled ``n`` times over; where AQE's skew-join split is available it
+    does the same job without replication.
     """
     if salt_buckets < 1:
         raise ValueError("salt_buckets must be >= 1")
