@@ -103,7 +103,7 @@ INVALID_PRED = ("(id IS NULL OR rating IS NULL OR app IS NULL OR iso_date IS NUL
                 "OR snippet IS NULL OR (in_batch AND segmento IS NULL))")
 
 
-def merge_ctes(src: str = "norm", s: str = "") -> str:
+def merge_ctes(src: str = "norm", s: str = "", hist: str = "hist", run_date: str = RUN_DATE) -> str:
     """new1, ver, old1, ent, merged, checked, valid, invalid (suffix ``s``)."""
     return f"""
 new1{s} AS (
@@ -114,7 +114,7 @@ new1{s} AS (
 ),
 ver{s} AS (
   SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n
-  FROM hist WHERE odate < '{RUN_DATE}' AND id IS NOT NULL
+  FROM {hist} WHERE odate < '{run_date}' AND id IS NOT NULL
   GROUP BY id, iso_date, title, snippet, rating, app
 ),
 old1{s} AS (
@@ -166,6 +166,14 @@ def with_ctes(*ctes: str) -> str:
 
 BASE = (BRONZE, NORM, HIST, merge_ctes())
 LAYOUT_BASE = (BRONZE, LAYOUT, NORM_L, HIST, merge_ctes("norm_l", "_l"))
+NEXT_DAY = "20240104"
+HIST4 = """
+hist4 AS (
+  SELECT id, app, segmento, rating, iso_date, title, snippet, odate FROM hist
+  UNION ALL
+  SELECT id, app, segmento, rating, iso_date, title, snippet, '20240103' AS odate FROM valid_l
+)"""
+NEXT_DAY_BASE = LAYOUT_BASE + (HIST4, merge_ctes("norm_l", "_d4", "hist4", NEXT_DAY))
 
 PATHS = """
 paths AS (
@@ -363,6 +371,7 @@ def all_sql() -> dict[str, str]:
             f"SELECT {VALID_COLS}, '{RUN_DATE}' AS odate FROM valid_l"),
         "quarantine_roundtrip": lb + f"SELECT {INVALID_COLS}, '{RUN_DATE}' AS odate FROM invalid_l",
         "job_valid": lb + "SELECT * FROM valid_l",
+        "silver_next_day": with_ctes(*NEXT_DAY_BASE) + "SELECT * FROM valid_d4",
         "job_invalid": lb + "SELECT * FROM invalid_l",
         "run_metrics_doc": with_ctes(*BASE, SUMMARY) + (
             "SELECT valid_count, pct_valid AS valid_pct, invalid_count, pct_invalid AS invalid_pct, "

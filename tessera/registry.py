@@ -224,13 +224,13 @@ def q_table_size_profile(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ sinks / job
-def _run_job(spark, sf_dir, runs: int = 2):
+def _run_job(spark, sf_dir, runs: int = 2, extra_dates: tuple[str, ...] = ()):
     base = scratch_path(spark, "job")
     cfg = silver_job.JobConfig(
         bronze_base=f"{base}/bronze/googlePlay", silver_path=f"{base}/silver",
         quarantine_path=f"{base}/quarantine", run_date=fx.RUN_DATE,
         audit_path=f"{base}/audit/metrics", failure_path=f"{base}/audit/failures")
-    fx.write_bronze_layout(spark, sf_dir, cfg.bronze_base, fx.RUN_DATE)
+    fx.write_bronze_layout(spark, sf_dir, cfg.bronze_base, fx.RUN_DATE, extra_dates)
     fx.write_history_table(spark, sf_dir, cfg.silver_path, late_copy_date=None)
     for _ in range(runs):  # the rerun must be idempotent
         silver_job.run(spark, cfg)
@@ -255,6 +255,16 @@ def q_job_valid(spark, sf_dir):
     return flatten_history(back).select(*SILVER_FLAT)
 
 
+def q_silver_next_day(spark, sf_dir):
+    """Day N's silver output is history on day N+1: run the job on two
+    consecutive days (same bronze content) and read back day N+1."""
+    cfg = _run_job(spark, sf_dir, runs=1, extra_dates=("20240104",))
+    cfg.run_date = "20240104"
+    silver_job.run(spark, cfg)
+    back = silver_job.read_back(spark, cfg.silver_path).where(F.col("odate") == "20240104")
+    return flatten_history(back).select(*SILVER_FLAT)
+
+
 def q_job_invalid(spark, sf_dir):
     cfg = _run_job(spark, sf_dir, runs=1)
     back = silver_job.read_back(spark, cfg.quarantine_path, silver_job.QUARANTINE_SCHEMA).where(F.col("odate") == fx.RUN_DATE)
@@ -356,6 +366,7 @@ def all_queries() -> dict[str, Query]:
         "quarantine_roundtrip": q_quarantine_roundtrip,
         "job_valid": q_job_valid,
         "job_invalid": q_job_invalid,
+        "silver_next_day": q_silver_next_day,
         "run_metrics_doc": q_run_metrics_doc,
         "failure_doc": q_failure_doc,
         "kv_report_parse": q_kv_report_parse,

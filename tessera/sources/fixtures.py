@@ -152,19 +152,25 @@ def layout_segment(doc_id: Column) -> Column:
     return F.when(doc_id % 2 == 0, F.lit("pf")).otherwise(F.lit("pj"))
 
 
-def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_date: str = RUN_DATE) -> None:
+def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_date: str = RUN_DATE,
+                        extra_dates: tuple[str, ...] = ()) -> None:
     """Write the bronze fixture as raw files in the collector's folder layout.
 
     The folder set is fixed by rule (3 apps x 2 segments), so no distinct
     values are collected; ``response`` is not written and reads back as null.
+    One write per folder covers every date (``partitionBy("odate")`` with
+    dynamic overwrite, so other dates already there are kept).
     """
+    dates = (run_date, *extra_dates)
     raw = bronze_with_doc(spark, sf_dir).select(
-        *RAW_COLUMNS, layout_app(F.col("doc_id")).alias("_app"), layout_segment(F.col("doc_id")).alias("_seg"))
+        *RAW_COLUMNS, layout_app(F.col("doc_id")).alias("_app"), layout_segment(F.col("doc_id")).alias("_seg"),
+        F.explode(F.array(*[F.lit(d) for d in dates])).alias("odate"))
     base = bronze_base.rstrip("/")
     for app in LAYOUT_APPS:
         for seg in LAYOUT_SEGMENTS:
-            part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS)
-            part.write.mode("overwrite").parquet(f"{base}/{app}_{seg}/odate={run_date}")
+            part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS, "odate")
+            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("odate").parquet(f"{base}/{app}_{seg}"))
 
 
 def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
