@@ -25,16 +25,15 @@ def empty_history(spark: SparkSession) -> DataFrame:
 def read_history(spark: SparkSession, silver_path: str, run_date: str | None = None) -> DataFrame:
     """All ``odate=*`` partitions of the silver table strictly before ``run_date``.
 
-    ``basePath`` keeps ``odate`` as a column; the cut-off compares the raw
+    The table folder is read with partition discovery (``odate`` stays a
+    string column, as declared in the schema); the cut-off compares the raw
     partition string (yyyyMMdd sorts as text), so it is a partition filter
-    and pruned partitions are never listed for reading.  A missing table or a
-    table without partitions gives a typed empty frame.
+    and pruned partitions are never read.  A missing table gives a typed
+    empty frame.
     """
     base = silver_path.rstrip("/")
     try:
-        df = (spark.read.schema(HISTORY_READ_SCHEMA)
-              .option("basePath", base)
-              .parquet(f"{base}/{PARTITION_COLUMN}=*"))
+        df = spark.read.schema(HISTORY_READ_SCHEMA).parquet(base)
     except AnalysisException as err:
         if is_missing_path(err):
             log.warning("no history at %s", base)
@@ -46,12 +45,12 @@ def read_history(spark: SparkSession, silver_path: str, run_date: str | None = N
 
 
 def history_exists(spark: SparkSession, silver_path: str) -> bool:
-    """Does the silver table exist and have at least one ``odate=`` partition?"""
+    """Does the silver table exist and have at least one ``odate=`` partition?
+    (file-index listing on the driver, no job)"""
     try:
-        (spark.read.schema(HISTORY_READ_SCHEMA).option("basePath", silver_path.rstrip("/"))
-         .parquet(f"{silver_path.rstrip('/')}/{PARTITION_COLUMN}=*"))
-        return True
+        files = spark.read.schema(HISTORY_READ_SCHEMA).parquet(silver_path.rstrip("/")).inputFiles()
     except AnalysisException as err:
         if is_missing_path(err):
             return False
         raise
+    return any(f"/{PARTITION_COLUMN}=" in f for f in files)

@@ -113,15 +113,25 @@ def test_job_end_to_end_and_rerun(spark, tmp_dir):
 
 
 def test_job_failure_writes_failure_document(spark, tmp_dir):
+    blocker = f"{tmp_dir}/not_a_folder"
+    with open(blocker, "w") as f:
+        f.write("x")
     cfg = silver_job.JobConfig(
-        bronze_base=f"{tmp_dir}/bronze", silver_path="", quarantine_path=f"{tmp_dir}/q",
+        bronze_base=f"{tmp_dir}/bronze", silver_path=f"{tmp_dir}/silver", quarantine_path=blocker,
         run_date="20240103", failure_path=f"{tmp_dir}/fail")
     spark.createDataFrame(BRONZE_ROWS, BRONZE_SCHEMA).drop("response").write.parquet(
         f"{tmp_dir}/bronze/x_pf/odate=20240103")
     with pytest.raises(Exception):
-        silver_job.run(spark, cfg)
+        silver_job.run(spark, cfg)  # the quarantine write fails: its path is a file
     docs = spark.read.json(cfg.failure_path).collect()
+    # the batch was read, so the client list holds its segments ('' outside the googlePlay layout)
     assert len(docs) == 1 and docs[0].layer == "silver" and docs[0].client == [""]
+    # an error before any data is read reports the unknown client
+    bad = silver_job.JobConfig(bronze_base=f"{tmp_dir}/bronze", silver_path="", quarantine_path=f"{tmp_dir}/q2",
+                               run_date="20240103", failure_path=f"{tmp_dir}/fail2")
+    with pytest.raises(Exception):
+        silver_job.run(spark, bad)
+    assert spark.read.json(bad.failure_path).first().client == ["UNKNOWN_CLIENT"]
 
 
 def test_metrics_sink_arguments(spark, tmp_dir):
