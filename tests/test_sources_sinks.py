@@ -237,3 +237,24 @@ def test_save_metrics_kinds(spark, tmp_dir):
         application_id="a", source_app="s")
     parsed = json.loads(rm.metrics_json(doc))
     assert parsed["valid_data"] == {"count": 1, "percentage": 100.0} and parsed["type_client"] == "PF"
+
+
+def test_command_line_entry(spark, tmp_dir):
+    """``python -m tessera.plans.silver_job <env> ...`` in its own process:
+    exit code 0 on success (outputs written), 1 on failure."""
+    import subprocess
+    import sys
+    from tessera.sources import fixtures as fx
+    bronze = f"{tmp_dir}/bronze/googlePlay"
+    fx.write_bronze_layout(spark, SF001, bronze)
+    args = [sys.executable, "-m", "tessera.plans.silver_job", "prod", "--bronze", bronze,
+            "--silver", f"{tmp_dir}/silver", "--quarantine", f"{tmp_dir}/quarantine",
+            "--run-date", fx.RUN_DATE, "--audit", f"{tmp_dir}/audit"]
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ok = subprocess.run(args, cwd=root, capture_output=True, timeout=600)
+    assert ok.returncode == 0, ok.stderr[-2000:]
+    assert spark.read.parquet(f"{tmp_dir}/silver").count() > 0
+    bad = subprocess.run(args[:6] + ["--silver", "", "--quarantine", f"{tmp_dir}/q2",
+                                     "--failures", f"{tmp_dir}/fail"], cwd=root, capture_output=True, timeout=600)
+    assert bad.returncode == 1
+    assert spark.read.json(f"{tmp_dir}/fail").count() == 1
