@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import read_table
+from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_examples
+from tessera.llm.pii import pseudonymise
+from tessera.llm.simhash import near_duplicates
+from tessera.llm.toxicity import crc_mod, fit_toxicity, toxicity_score
+
+#: The key of the pseudonyms; a user passes a secret of their own.
+PII_KEY = "demonstration key"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +23,31 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_examples(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; fitted on the labelled rows whose crc32 fold of five is not 0."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return toxicity_score(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints over 4-word shingles, linked at 4 or fewer differing bits."""
+    found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed by weights 1, 2, 3 in turn, no document more than three times."""
+    found = mix(read_table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3)
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values replaced, and how many there were."""
+    found = pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count_col="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing}
+    return {"op1_packing": op1_packing, "op4_toxicity": op4_toxicity, "op7_simhash": op7_simhash, "op9_mixing": op9_mixing, "op10_pii": op10_pii}
