@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read_table
+from tessera.llm.embeddings import near_duplicate_vectors
+from tessera.llm.importance import fit_ratio, resample
+from tessera.llm.langid import fit_languages, label_languages
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_examples
 from tessera.llm.pii import pseudonymise
+from tessera.llm.repeats import remove_repeats
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.toxicity import crc_mod, fit_toxicity, toxicity_score
 
@@ -23,6 +27,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_examples(read_table(spark, sf_dir, "documents"))
 
 
+def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents, sampled towards those labelled as of good quality; one row for each document."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    ratio = fit_ratio(docs, labels.filter("quality = 1"))
+    return resample(docs, ratio, fraction=0.5).select(F.col("id").alias("doc_id"), "log_weight", "key", "selected")
+
+
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated runs of 35 words removed; a digest of what is kept."""
+    found = remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; fitted on the labelled rows whose crc32 fold of five is not 0."""
     docs = read_table(spark, sf_dir, "documents")
@@ -31,12 +48,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the rows whose crc32 fold of three is not 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_languages(docs, where=crc_mod(F.col("doc_id"), 3) != 1)
+    return label_languages(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 3) == 1).alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over 4-word shingles, linked at 4 or fewer differing bits."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of equal label at cosine 0.93 or more, linked and grouped."""
+    found = near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed by weights 1, 2, 3 in turn, no document more than three times."""
     found = mix(read_table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3)
@@ -50,4 +81,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op4_toxicity": op4_toxicity, "op7_simhash": op7_simhash, "op9_mixing": op9_mixing, "op10_pii": op10_pii}
+    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op7_simhash, op8_embeddings, op9_mixing, op10_pii)}
