@@ -35,11 +35,11 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = "._-~'`*,:;/\\­​‌‍⁠"
-EDGES = " .,;:?!\"'()[]{}<>«»„“”’…-_"
-#: Costs of the channel, in nats: a look-alike, a dropped separator, a dropped repetition, a letter for a star, another character left out.
-LOOK, DROP, REPEAT, STAR, OTHER = 0.3, 0.1, 0.7, 1.5, 3.0
+EDGES = " #.,;:?!\"'()[]{}<>«»„“”’…-_"
+#: Costs of the channel, in nats: a look-alike, a dropped separator, the second of a letter dropped, a further one, a letter for a star, another character left out.
+LOOK, DROP, REPEAT, MORE, STAR, OTHER = 0.3, 0.1, 1.5, 0.2, 1.5, 6.0
 #: States of the lattice kept at a character.
-BEAM = 500
+BEAM = 16
 #: Characters of the language model: a word's edge, the letters a to z, any other letter.
 EDGE, SYMBOLS, ORDER = 0, 28, 4
 #: Lengths of the word beginnings that are features beside the whole word; a beginning carries its length as a mark.
@@ -51,7 +51,9 @@ for _i, _c in enumerate(b"abcdefghijklmnopqrstuvwxyz"):
 CODES[128:] = 27
 _TRIPLE = "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz")
 #: A word that needs decoding: a look-alike or separator beside a letter, or a letter three times.
-NOISY = f"(?i)[a-z][0-9@$!|+(<€£¡*][a-z]*|[0-9@$!|+(<€£¡*][a-z]|[a-z][._\\-~'`*,:;/\\\\\\x{{ad}}\\x{{200b}}-\\x{{200d}}\\x{{2060}}][a-z0-9@$!]|{_TRIPLE}"
+NOISY = r"[a-z][0-9@$!|+(<€£¡*]|[0-9@$!|+(<€£¡*][a-z]|[a-z][._\-~'`*,:;/\\\x{ad}\x{200b}-\x{200d}\x{2060}][a-z0-9@$!]|" + _TRIPLE
+#: Decoration at a word's end that stands for no letter.
+TAIL = r"(?:[#*!|~^=+.,:;?]|\${3,})+$"
 
 
 def crc_mod(id_: Column, mod: int) -> Column:
@@ -101,12 +103,14 @@ def decode(word: str, model: np.ndarray) -> str:
     word = word.lower()
     wrap = SYMBOLS ** (ORDER - 1)
     states: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    before = ""
+    before, times = "", 0
     for c in word:
+        times = times + 1 if c == before else 1
+        again = [] if times == 1 else [("", REPEAT if times == 2 else MORE)]
         if "a" <= c <= "z":
-            options = [(c, 0.0)] + ([("", REPEAT)] if c == before else [])
+            options = [(c, 0.0), *again]
         elif c in LOOKALIKES:
-            options = [(x, LOOK) for x in LOOKALIKES[c]] + ([("", REPEAT)] if c == before else []) + [("", OTHER)]
+            options = [*((x, LOOK) for x in LOOKALIKES[c]), *again, ("", OTHER)]
         elif c == "*":
             options = [(x, STAR) for x in "abcdefghijklmnopqrstuvwxyz"] + [("", DROP)]
         elif c in SEPARATORS:
@@ -150,8 +154,8 @@ def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) ->
     coded = flat.dictionary_encode()
     word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     raw = coded.dictionary
-    plain = pc.utf8_lower(pc.utf8_trim(raw, EDGES))
-    noisy = np.flatnonzero(pc.match_substring_regex(raw, NOISY).to_numpy(zero_copy_only=False))
+    plain = pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(raw), TAIL, ""), EDGES)
+    noisy = np.flatnonzero(pc.match_substring_regex(plain, NOISY).to_numpy(zero_copy_only=False))
     more_words: list[str] = []
     more_at: list[int] = []
 
@@ -162,10 +166,9 @@ def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) ->
             known[w] = decode(w, model)
         return known[w]
 
-    for i, w in zip(noisy.tolist(), raw.take(pa.array(noisy)).to_pylist()):
-        for form in {restore(w), restore(w.strip(EDGES))}:
-            more_at.append(i)
-            more_words.append(form)
+    for i, w in zip(noisy.tolist(), plain.take(pa.array(noisy)).to_pylist()):
+        more_at.append(i)
+        more_words.append(restore(w))
     # A restored form belongs to every document that holds the word.
     order = np.argsort(word, kind="stable")
     first = np.searchsorted(word[order], np.arange(len(raw) + 1))
