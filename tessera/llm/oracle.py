@@ -2,4 +2,72 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: Windows of 35 words that start at two places or more; the words they cover go.
+REPEATS = rf"""
+WITH docs AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM docs WHERE len(ws) >= 35),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS run FROM starts),
+repeated AS (SELECT run FROM windows GROUP BY run HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN repeated USING (run)),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM docs),
+kept AS (SELECT w.doc_id, count(*) AS n, string_agg(w.w, ' ' ORDER BY w.p) AS text
+         FROM words w ANTI JOIN covered c ON w.doc_id = c.doc_id AND w.p = c.p GROUP BY w.doc_id)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, (len(d.ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+#: The ten best documents by BM25 for every document whose id is divisible by 20.
+SEARCH = rf"""
+WITH terms AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({WORDS.replace("coalesce(text", "lower(coalesce(text").replace(", '')", ", ''))")}) AS w FROM documents) GROUP BY ALL),
+lengths AS (SELECT doc_id, len({WORDS}) AS dl FROM documents),
+stats AS (SELECT count(*) AS n_docs, sum(dl) / count(*) AS mean FROM lengths),
+idf AS (SELECT w, ln(1 + ((SELECT n_docs FROM stats) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM terms GROUP BY w),
+scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id AS id,
+         round(sum(q.n * i.idf * d.n * 2.2::DOUBLE / (d.n + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * l.dl / (SELECT mean FROM stats)))), 9) AS score
+  FROM terms q JOIN terms d USING (w) JOIN idf i USING (w) JOIN lengths l ON l.doc_id = d.doc_id
+  WHERE q.doc_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id AS doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+#: Targets by one common level under the caps; then ranks by random odds over inclusion odds, cut where a source's words are reached.
+MIXING = rf"""
+WITH m AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size,
+         ('0x' || substr(md5(concat_ws('|', 'mix', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM m GROUP BY source),
+limits AS (SELECT *, 3 * source_size / w AS lim FROM sizes),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER b, 0))::DOUBLE / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS level
+  FROM limits WINDOW b AS (ORDER BY lim, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+common AS (SELECT level FROM levels WHERE level <= lim ORDER BY lim, level LIMIT 1),
+targets AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, (SELECT level FROM common) * w) AS target FROM levels),
+due AS (
+  SELECT m.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN least(3.0::DOUBLE, t.target * 1.0::DOUBLE / t.source_size::DOUBLE) ELSE 0 END AS due
+  FROM m JOIN targets t ON m.source IS NOT DISTINCT FROM t.source),
+drawn AS (
+  SELECT *, floor(due + 1e-9::DOUBLE)::BIGINT AS whole, due - floor(due + 1e-9::DOUBLE) AS p,
+         CASE WHEN p > 1e-9::DOUBLE THEN u * (1 - p) / (u * (1 - p) + p * (1 - u)) END AS r FROM due),
+wanted AS (SELECT source, any_value(target) - sum(whole * size)::DOUBLE AS wanted FROM drawn GROUP BY source),
+classes AS (SELECT source, r, sum(size) AS words FROM drawn WHERE r IS NOT NULL GROUP BY source, r),
+running AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY r) AS upto FROM classes),
+reached AS (
+  SELECT c.source, min(c.r) AS cut, arg_min(c.upto - c.words, c.r) AS done FROM running c JOIN wanted w ON c.source IS NOT DISTINCT FROM w.source
+  WHERE w.wanted > 0 AND c.upto >= w.wanted GROUP BY c.source),
+cuts AS (
+  SELECT w.source, coalesce(x.cut, 2.0) AS cut, w.wanted - coalesce(x.done::DOUBLE, w.wanted) AS gap
+  FROM wanted w LEFT JOIN reached x ON w.source IS NOT DISTINCT FROM x.source WHERE w.wanted > 0),
+fits AS (
+  SELECT c.source, arg_min(k.r, struct_pack(off := abs(c.gap - k.words), r := k.r)) AS fit FROM cuts c JOIN classes k ON c.source IS NOT DISTINCT FROM k.source
+  WHERE k.r >= c.cut AND abs(c.gap - k.words) < c.gap GROUP BY c.source)
+SELECT d.doc_id, d.size, d.source_size, d.target,
+       (d.size * (d.whole + CASE WHEN coalesce(d.r < c.cut, false) OR coalesce(d.r = f.fit, false) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM drawn d LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN fits f ON d.source IS NOT DISTINCT FROM f.source
+"""
+
+SQL: dict[str, str] = {"op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}

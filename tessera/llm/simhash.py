@@ -107,7 +107,7 @@ def region_links(fps: np.ndarray, region: int, bits: int, radius: int, memory: i
 
 def link_classes(classes: DataFrame, distance: int) -> DataFrame:
     """(fp, root) for the distinct fingerprints ``fp`` that link with another; root is the component's smallest."""
-    spark, radius = classes.sparkSession, (distance + 1) // 2
+    radius = distance // 2
     n = classes.count()
     per_fp = sum(math.comb(64, k) for k in range(radius + 1))
     bits = min(30, max(4, math.ceil(math.log2(max(1, n * per_fp / REGION_VARIANTS)))))
@@ -139,8 +139,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null or empty texts have fingerprint 0 and link like any other.  A null id
     is never a component's id unless the component has no other; then it is
-    null.  Repeated rows each give a row.  Other columns are not read.
+    null.  Repeated rows each give a row.  An empty table gives no rows.
+    Other columns are not read.  ``distance`` must be even: half of it is the
+    radius of the variants.
     """
+    if distance < 0 or distance % 2:
+        raise ValueError("distance must be even")
     rows = materialise(fingerprints(df, id_col, text_col, shingle_words), "simhash-rows")
     classes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
     roots = link_classes(classes, distance)
