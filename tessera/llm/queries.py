@@ -15,6 +15,7 @@ from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_examples
 from tessera.llm.pii import pseudonymise
 from tessera.llm.repeats import remove_repeats
+from tessera.llm.search import search
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.toxicity import crc_mod, fit_toxicity, toxicity_score
 
@@ -56,6 +57,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 3) == 1).alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
 
 
+def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by BM25 for every document whose id is divisible by 20, its whole text the query."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = search(docs, docs.filter("doc_id % 20 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over 4-word shingles, linked at 4 or fewer differing bits."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
@@ -81,4 +89,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op7_simhash, op8_embeddings, op9_mixing, op10_pii)}
+    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii)}
