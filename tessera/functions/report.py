@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 KV_SEPARATOR = r" => | = "
 SKIPPED_PREFIX = "Scheduling mode"
 
-_STRIP = r"^\s+|\s+$"
+# --- fixed values: the white space that Python's ``str.strip()`` removes, as a character class
+_SPACE = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+_STRIP = f"^{_SPACE}+|{_SPACE}+$"
 
 
 def strip(c: Column) -> Column:
-    """Python-style ``str.strip()`` (all surrounding whitespace)."""
+    """Python-style ``str.strip()``: surrounding white space, Unicode's too."""
     return F.regexp_replace(c, _STRIP, "")
 
 
@@ -34,11 +36,11 @@ def parse_kv_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
     The per-report "last line wins" rule is a ``max_by`` per (report, key),
     i.e. one partial-aggregated shuffle on the report keys.
     """
-    parts = F.split(strip(F.col("line")), KV_SEPARATOR)
     parsed = (
         lines
-        .where((F.length(strip(F.col("line"))) > 0) & ~F.col("line").startswith(SKIPPED_PREFIX))
-        .select(*keys, "line_no", parts.alias("parts"))
+        .where(~F.col("line").startswith(SKIPPED_PREFIX))
+        # An empty line splits into one part, so the size decides for it, too.
+        .select(*keys, "line_no", F.split(strip(F.col("line")), KV_SEPARATOR).alias("parts"))
         .where(F.size("parts") == 2)
         .select(*keys, "line_no",
                 strip(F.get("parts", 0)).alias("key"),

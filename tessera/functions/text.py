@@ -2,16 +2,22 @@
 
 The replaced job transliterated titles and snippets to ASCII with a
 row-at-a-time Python UDF and then upper-cased them.  Here the same folding
-is one expression tree inside whole-stage codegen:
-
-1. multi-letter transliterations (``ß`` -> ``ss`` ...) with ``replace``;
-2. one ``translate`` for every precomposed Latin letter whose canonical
-   decomposition is an ASCII letter plus combining marks (table built from
-   ``unicodedata`` by rule, not typed in);
-3. stray combining marks removed with ``regexp_replace``;
-4. ``upper``.
-
-Strings that are pure ASCII skip steps 1-3.  Null in, null out.
+is one expression tree:
+
+1. letters and symbols with a replacement of several characters, by
+   ``replace``, only in strings that hold one of them;
+2. one ``translate`` for every letter that becomes one character;
+3. combining marks after a Latin, Greek or Cyrillic letter removed, other
+   scripts' marks kept;
+4. emoji, arrows, box drawing and other pictures removed;
+5. ``upper``.
+
+The tables are built by rule from ``unicodedata``: a character whose
+compatibility decomposition, without marks, is ASCII becomes that (accented
+letters, ordinals, fractions, full-width forms, ligatures, letter-like
+symbols).  Greek and Cyrillic letters go through their romanisation, accented
+ones by way of their base letter.  Scripts without a table stay as they are.
+Strings that are pure ASCII skip all steps.  Null in, null out.
 """
 
 from __future__ import annotations
@@ -22,93 +28,60 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: transliterations that canonical decomposition cannot give
-# (letter or symbol -> ASCII replacement), in code-point order.
+# --- fixed values: replacements that decomposition cannot give, in code-point order.
 SPECIAL_TRANSLITERATIONS = [
-    ("\u00a0", " "),  # no-break space
-    ("¡", "!"),
-    ("«", "<<"),
-    ("»", ">>"),
-    ("¿", "?"),
-    ("Æ", "AE"),
-    ("Ð", "D"),
-    ("×", "x"),
-    ("Ø", "O"),
-    ("Þ", "Th"),
-    ("ß", "ss"),
-    ("æ", "ae"),
-    ("ð", "d"),
-    ("÷", "/"),
-    ("ø", "o"),
-    ("þ", "th"),
-    ("Đ", "D"),
-    ("đ", "d"),
-    ("Ħ", "H"),
-    ("ħ", "h"),
-    ("ı", "i"),
-    ("Ĳ", "IJ"),
-    ("ĳ", "ij"),
-    ("Ł", "L"),
-    ("ł", "l"),
-    ("Œ", "OE"),
-    ("œ", "oe"),
-    ("Ŧ", "T"),
-    ("ŧ", "t"),
-    ("ſ", "s"),
-    ("–", "-"),
-    ("—", "--"),
-    ("‘", "'"),
-    ("’", "'"),
-    ("“", '"'),
-    ("”", '"'),
-    ("…", "..."),
-    ("€", "EUR"),
+    ("\u00a0", " "), ("¡", "!"), ("¢", "c"), ("£", "GBP"), ("¥", "JPY"), ("§", "S"), ("©", "(c)"), ("«", "<<"), ("®", "(r)"),
+    ("°", "deg"), ("±", "+/-"), ("·", "*"), ("»", ">>"), ("¿", "?"), ("Æ", "AE"), ("Ð", "D"), ("×", "x"), ("Ø", "O"), ("Þ", "Th"),
+    ("ß", "ss"), ("æ", "ae"), ("ð", "d"), ("÷", "/"), ("ø", "o"), ("þ", "th"), ("Đ", "D"), ("đ", "d"), ("Ħ", "H"), ("ħ", "h"),
+    ("ı", "i"), ("Ł", "L"), ("ł", "l"), ("Ŋ", "NG"), ("ŋ", "ng"), ("Œ", "OE"), ("œ", "oe"), ("Ŧ", "T"), ("ŧ", "t"), ("ẞ", "SS"),
+    ("‐", "-"), ("‑", "-"), ("‒", "-"), ("–", "-"), ("—", "--"), ("―", "--"), ("‘", "'"), ("’", "'"), ("‚", ","), ("“", '"'),
+    ("”", '"'), ("„", '"'), ("†", "+"), ("•", "*"), ("‹", "<"), ("›", ">"), ("⁄", "/"), ("€", "EUR"), ("−", "-"),
 ]
+# --- fixed values: romanisation of the Greek and Cyrillic small letters, in alphabet order.
+GREEK = list(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split()))
+CYRILLIC = list(zip("абвгдежзийклмнопрстуфхцчшщъыьэюяёђѓєѕіїјљњћќўџґ",
+                    "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch ' y ' e iu ia io dj g ie dz i i j lj nj c k u dz g".split()))
 
-# Code-point range scanned by the decomposition rule: Latin-1 Supplement,
-# Latin Extended-A and Latin Extended-B.
-_RULE_RANGE = (0x00C0, 0x0250)
+# Ranges of the decomposition rule: Latin-1 to Latin Extended-B, Greek to Cyrillic, Latin and Greek
+# Extended, super- and subscripts, letter-like symbols and number forms, ligatures, full-width forms.
+_RULE_RANGES = [(0x00A0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000), (0x2024, 0x2027), (0x2070, 0x20A0),
+                (0x2100, 0x2190), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
+# Arrows to dingbats, further symbols, variation selectors, joiners and emoji.
+_PICTURES = "[\\x{200D}\\x{2190}-\\x{27BF}\\x{2900}-\\x{2BFF}\\x{FE0E}\\x{FE0F}\\x{1F000}-\\x{1FAFF}]"
+_MARKS = r"([\x00-\x7F\p{IsLatin}\p{IsGreek}\p{IsCyrillic}])\p{M}+"
 
 
 @lru_cache(maxsize=1)
-def _translate_table() -> tuple[str, str]:
-    """(from, to) strings for ``translate``: one char to one char.
-
-    A character qualifies when its NFD form is one ASCII letter followed only
-    by combining marks; single-character specials are appended.
-    """
-    src, dst = [], []
-    special = dict(SPECIAL_TRANSLITERATIONS)
-    for cp in range(*_RULE_RANGE):
-        ch = chr(cp)
-        if ch in special:
-            continue
-        nfd = unicodedata.normalize("NFD", ch)
-        base, marks = nfd[0], nfd[1:]
-        if (len(nfd) > 1 and base.isascii() and base.isalpha()
-                and all(unicodedata.combining(m) for m in marks)):
-            src.append(ch)
-            dst.append(base)
-    for ch, rep in SPECIAL_TRANSLITERATIONS:
-        if len(rep) == 1:
-            src.append(ch)
-            dst.append(rep)
-    return "".join(src), "".join(dst)
-
-
-def _multi_char_specials() -> list[tuple[str, str]]:
-    return [(ch, rep) for ch, rep in SPECIAL_TRANSLITERATIONS if len(rep) != 1]
+def replacements() -> dict[str, str]:
+    """Every character with an ASCII replacement."""
+    out = dict(SPECIAL_TRANSLITERATIONS)
+    for small, latin in [*GREEK, *CYRILLIC]:
+        out.setdefault(small, latin)
+        if small.upper() != small:
+            out.setdefault(small.upper(), latin.capitalize())
+    for first, end in _RULE_RANGES:
+        for ch in map(chr, range(first, end)):
+            if ch in out:
+                continue
+            plain = [c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)]
+            ascii_ = "".join(out.get(c, c) for c in plain)
+            if plain and ascii_.isascii() and ascii_ != ch:
+                out[ch] = ascii_
+    return out
 
 
 def fold_accents(c: Column | str) -> Column:
     """ASCII-fold a string column (keeps case)."""
     col = F.col(c) if isinstance(c, str) else c
-    folded = col
-    for ch, rep in _multi_char_specials():
-        folded = F.replace(folded, F.lit(ch), F.lit(rep))
-    src, dst = _translate_table()
-    folded = F.translate(folded, src, dst)
-    folded = F.regexp_replace(folded, r"\p{M}+", "")
+    single = {k: v for k, v in replacements().items() if len(v) == 1}
+    several = {k: v for k, v in replacements().items() if len(v) != 1}
+    longer = col
+    for ch, rep in several.items():
+        longer = F.replace(longer, F.lit(ch), F.lit(rep))
+    folded = F.when(col.rlike("[" + "".join(several) + "]"), longer).otherwise(col)
+    folded = F.translate(folded, "".join(single), "".join(single.values()))
+    folded = F.regexp_replace(folded, _MARKS, "$1")
+    folded = F.regexp_replace(folded, _PICTURES, "")
     return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 
 

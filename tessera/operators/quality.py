@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ratings import rating_as_int, rating_is_malformed
+from tessera.functions.ratings import rating_is_malformed
 from tessera.schemas import (
     CRITICAL_COLUMNS,
     HISTORY_ARRAY,
@@ -42,6 +42,15 @@ def _any(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols)
 
 
+def duplicate_message(n: Column) -> Column:
+    return F.format_string(MSG_DUP_FOUND.replace("{n}", "%d"), n)
+
+
+def null_message(counts: dict[str, Column]) -> Column:
+    before, after = MSG_NULL_FOUND.split("{issues}")
+    return F.concat(F.lit(before), null_issues_text(counts), F.lit(after))
+
+
 # ---------------------------------------------------------------- duplicates
 def duplicate_keys(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Keys that occur more than once (NULL keys excluded): ``keys + [n]``.
@@ -74,7 +83,7 @@ def duplicate_check(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row: check, status, code, message, n_failed (= duplicated keys)."""
     n = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n_failed"))
     return n.select(*_status_columns(CHECK_DUPLICATE, F.col("n_failed"), CODE_CONFLICT,
-                                     F.format_string(MSG_DUP_FOUND.replace("{n}", "%d"), F.col("n_failed")),
+                                     duplicate_message(F.col("n_failed")),
                                      F.lit(MSG_DUP_NONE)),
                     "n_failed")
 
@@ -104,9 +113,7 @@ def null_check(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     wide = df.agg(*null_count_columns(cols))
     counts = {c: F.col(f"null_{c}") for c in cols}
     n_bad = reduce(lambda a, b: a + b, [F.when(n > 0, 1).otherwise(0) for n in counts.values()])
-    msg = F.concat(F.lit(MSG_NULL_FOUND.split("{issues}")[0]), null_issues_text(counts),
-                   F.lit(MSG_NULL_FOUND.split("{issues}")[1]))
-    return wide.select(*_status_columns(CHECK_NULL, n_bad, CODE_BAD_DATA, msg, F.lit(MSG_NULL_NONE)),
+    return wide.select(*_status_columns(CHECK_NULL, n_bad, CODE_BAD_DATA, null_message(counts), F.lit(MSG_NULL_NONE)),
                        n_bad.cast("long").alias("n_failed"), *counts.values())
 
 
@@ -170,16 +177,13 @@ def history_regroup(df: DataFrame, keys: list[str] | None = None, col: str = "hi
     segmento), so the result does not depend on shuffle order.
     """
     keys = keys or ["id", "app", "segmento", "rating", "iso_date", "title", "snippet"]
-    with_hist = df.where(~history_is_empty(col))
-    without = df.where(history_is_empty(col)).select(*keys, empty_history().alias(col))
     order = ["iso_date", "title", "snippet", "rating", "app", "segmento"]
-    exploded = history_explode(with_hist.select(*keys, col), col)
-    regrouped = (exploded.groupBy(*keys)
-                 .agg(F.array_sort(F.collect_list(F.struct(*[F.col(f"entry.{c}").alias(c) for c in order])))
-                      .alias("_sorted"))
-                 .select(*keys, F.transform("_sorted", lambda e: F.struct(
-                     *[e[f.name].alias(f.name) for f in HISTORY_ARRAY.elementType.fields])).alias(col)))
-    return without.unionByName(regrouped)
+    # One pass: a row without history gives one null entry, which collect_list leaves out.
+    exploded = df.select(*keys, F.explode_outer(col).alias("entry"))
+    entry = F.when(F.col("entry").isNotNull(), F.struct(*[F.col(f"entry.{c}").alias(c) for c in order]))
+    grouped = exploded.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_sorted"))
+    return grouped.select(*keys, F.transform("_sorted", lambda e: F.struct(
+        *[e[f.name].alias(f.name) for f in HISTORY_ARRAY.elementType.fields])).cast(HISTORY_ARRAY).alias(col))
 
 
 def split_valid(checked: DataFrame) -> DataFrame:
@@ -197,27 +201,20 @@ def invalid_predicate(df: DataFrame) -> Column:
 
 
 def split_invalid(checked: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
-    """Quarantine rows (fixed column order), plus the rows of duplicated ids."""
-    bad = checked.where(invalid_predicate(checked)).select(*INVALID_COLUMNS)
+    """Quarantine rows (fixed column order): rows that fail a check, and the batch rows of duplicated ids.
+
+    With ``duplicates`` every batch row lands here once at most: a duplicated
+    id comes as its batch rows only, not as its merged row as well.
+    """
+    pred = invalid_predicate(checked)
+    if duplicates is not None and "n_batch" in checked.columns:
+        pred = pred & (F.col("n_batch") <= 1)
+    bad = checked.where(pred).select(*INVALID_COLUMNS)
     if duplicates is not None:
         bad = bad.unionByName(duplicates.select(*INVALID_COLUMNS))
     return bad
 
 
-# ---------------------------------------------------------------- summary
-def check_aggregates(checked: DataFrame) -> list[Column]:
-    """Single-pass counters over the checked frame."""
-    valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VALID_REQUIRED])
-    return [
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(~F.col("in_batch")).alias("history_only"),
-        *null_count_columns(CRITICAL_COLUMNS),
-        F.count_if(rating_as_int(F.col("rating")).isNull()).alias("invalid_ratings"),
-        F.count_if(valid).alias("valid_count"),
-        F.count_if(invalid_predicate(checked)).alias("invalid_rows"),
-    ]
-
-
 # ---------------------------------------------------------------- size
 def size_profile(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows and UTF-8 bytes of all string columns per group: a data-based

@@ -229,24 +229,19 @@ def salted_history_join(
     """Left outer join of new rows with earlier versions, salted against skew.
 
     The versions side (many rows for a hot id) gets a deterministic salt
-    ``pmod(xxhash64(version), n)``; the one-row-per-id new side is replicated
-    ``n`` times with ``explode(sequence(0, n-1))``, so each version still
-    meets its id's new row exactly once and a hot id's versions spread over
-    ``n`` tasks.  New ids without any version come from an anti join on the
-    (partially aggregated) distinct version ids.  The result equals
-    ``history_join(new, history, "left_outer")``.  Cost: the new side is
-    shuffled ``n`` times over; where AQE's skew-join split is available it
-    does the same job without replication.
+    ``pmod(xxhash64(version), n)``.  The one-row-per-id new side is joined to
+    the distinct (id, salt) pairs that exist, so it is replicated only as often
+    as its versions need, and an id without versions stays once, unsalted.
+    Each version then meets its id's new row exactly once, and a hot id's
+    versions spread over ``n`` tasks.  The result equals
+    ``history_join(new, history, "left_outer")``.
     """
     if salt_buckets < 1:
         raise ValueError("salt_buckets must be >= 1")
     n = pick_latest_new(new).select("id", *[F.col(c).alias(f"new_{c}") for c in NEW_PICK_ORDER])
     v = history_versions(history, run_date).select(
         "id", *[F.col(c).alias(f"old_{c}") for c in VERSION_COLS], "odate_n")
-    v_salted = v.withColumn(
+    salted = v.withColumn(
         "salt", F.pmod(F.xxhash64(*[F.col(f"old_{c}") for c in VERSION_COLS]), F.lit(salt_buckets)).cast("int"))
-    n_replicated = n.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    matched = n_replicated.join(v_salted, ["id", "salt"], "inner").drop("salt")
-    # New ids with no earlier version at all: anti join on id only (no salt).
-    unmatched = n.join(v.select("id").distinct(), "id", "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    pairs = salted.select("id", "salt").distinct()
+    return n.join(pairs, "id", "left").join(salted, ["id", "salt"], "left").drop("salt")

@@ -20,12 +20,17 @@ def fold(x: str) -> str:
 
 DAY = "lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')"
 
-BRONZE = f"""
+#: Documents of both sides, and all of them for queries on one side.
+NEW_SIDE, OLD_SIDE, EVERY = "d.doc_id % 7 <> 3", "(doc_id % 13 <> 5 OR doc_id % 7 = 3)", "true"
+
+
+def bronze_cte(which: str) -> str:
+    return f"""
 bronze_src AS (
   SELECT d.*, t.dup,
          CASE WHEN d.doc_id % 97 = 0 THEN NULL ELSE CAST(d.doc_id AS VARCHAR) END AS rid
   FROM documents d, (VALUES (0), (1)) t(dup)
-  WHERE d.doc_id % 7 <> 3 AND (t.dup = 0 OR d.doc_id % 29 = 4)
+  WHERE {which} AND (t.dup = 0 OR d.doc_id % 29 = 4)
 ),
 bronze AS (
   SELECT 'avatar' || rid AS avatar,
@@ -42,6 +47,9 @@ bronze AS (
   FROM bronze_src
 )"""
 
+
+BRONZE, BRONZE_EVERY = bronze_cte(NEW_SIDE), bronze_cte(EVERY)
+
 LAYOUT = """
 layout AS (
   SELECT b.*,
@@ -71,7 +79,9 @@ def norm_cte(name: str, src: str) -> str:
 NORM = norm_cte("norm", "bronze")
 NORM_L = norm_cte("norm_l", "raw_read")
 
-HIST = f"""
+
+def hist_cte(which: str) -> str:
+    return f"""
 hist AS (
   SELECT CAST(doc_id AS VARCHAR) AS id,
          source AS app,
@@ -82,9 +92,12 @@ hist AS (
          CASE WHEN doc_id % 19 = v THEN 'X ' ELSE '' END || {fold('text')} AS snippet,
          '2024010' || CAST(v AS VARCHAR) AS odate
   FROM documents, (VALUES (1), (2)) t(v)
-  WHERE doc_id % 13 <> 5 OR doc_id % 7 = 3
+  WHERE {which}
 )"""
 
+
+HIST, HIST_EVERY = hist_cte(OLD_SIDE), hist_cte(EVERY)
+
 NEW_ORDER = ("iso_date DESC NULLS LAST, title DESC NULLS LAST, snippet DESC NULLS LAST, "
              "rating DESC NULLS LAST, app DESC NULLS LAST, segmento DESC NULLS LAST, "
              "avatar DESC NULLS LAST, likes DESC NULLS LAST")
@@ -154,9 +167,10 @@ checked{s} AS (
 ),
 valid{s} AS (SELECT {VALID_COLS} FROM checked{s} WHERE {VALID_PRED}),
 invalid{s} AS (
-  SELECT {INVALID_COLS} FROM checked{s} WHERE {INVALID_PRED}
+  SELECT {INVALID_COLS} FROM checked{s}
+  WHERE {INVALID_PRED} AND (id IS NULL OR id NOT IN (SELECT id FROM {src} WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))
   UNION ALL
-  SELECT {INVALID_COLS} FROM {src} WHERE id IN (SELECT id FROM checked{s} WHERE n_batch > 1)
+  SELECT {INVALID_COLS} FROM (SELECT *, count(*) OVER (PARTITION BY id) AS copies FROM {src} WHERE id IS NOT NULL) WHERE copies > 1
 )"""
 
 
@@ -208,21 +222,19 @@ agg AS (
          {NULL_AGGS},
          count(*) FILTER (WHERE {INT_OF.format(x='rating')} IS NULL) AS invalid_ratings,
          count(*) FILTER (WHERE {VALID_PRED}) AS valid_count,
-         count(*) FILTER (WHERE {INVALID_PRED}) AS invalid_rows,
+         count(*) FILTER (WHERE {INVALID_PRED} AND n_batch <= 1) AS invalid_rows,
+         (SELECT count(*) FROM norm) AS batch_rows,
          string_agg(DISTINCT coalesce(segmento, 'UNKNOWN'), ',' ORDER BY coalesce(segmento, 'UNKNOWN'))
            FILTER (WHERE {VALID_PRED}) AS seglist
   FROM checked
 ),
 summary AS (
-  SELECT total_records, history_only, duplicate_keys, CAST(duplicate_rows AS BIGINT) AS duplicate_rows,
+  SELECT total_records, history_only, batch_rows, duplicate_keys, CAST(duplicate_rows AS BIGINT) AS duplicate_rows,
          {", ".join(f"null_{c}" for c in NULL_COLS)}, invalid_ratings,
          valid_count, invalid_rows + duplicate_rows AS invalid_count,
          valid_count + invalid_rows + duplicate_rows AS written_total,
-         CASE WHEN valid_count + invalid_rows + duplicate_rows > 0
-              THEN valid_count / (valid_count + invalid_rows + duplicate_rows) * 100 ELSE 0.0 END AS pct_valid,
-         CASE WHEN valid_count + invalid_rows + duplicate_rows > 0
-              THEN (invalid_rows + duplicate_rows) / (valid_count + invalid_rows + duplicate_rows) * 100
-              ELSE 0.0 END AS pct_invalid,
+         CASE WHEN batch_rows > 0 THEN valid_count / batch_rows * 100 ELSE 0.0 END AS pct_valid,
+         CASE WHEN batch_rows > 0 THEN (invalid_rows + duplicate_rows) / batch_rows * 100 ELSE 0.0 END AS pct_invalid,
          duplicate_keys = 0 AS duplicate_status,
          ({" + ".join(f"null_{c}" for c in NULL_COLS)}) = 0 AS null_status,
          invalid_ratings = 0 AS type_status,
@@ -265,6 +277,17 @@ kv AS (
 )"""
 
 
+#: Versions of a full scan of the history before 20240103.
+STORE = ("SELECT id, iso_date, title, snippet, rating, {app} AS app, max(CAST(odate AS INTEGER)) AS odate_n "
+         "FROM hist GROUP BY ALL")
+#: What each class of endings folds to, by ``doc_id`` (the endings stand in ``tessera.registry``).
+WIDE_ENDINGS = [
+    ("ordinals", "1O LUGAR, 2A VEZ"), ("fractions and signs", "1/2 2 TM (C)"), ("emoji", "OTIMO !"), ("full width", "ABC12"),
+    ("Cyrillic", "KHOROSHO, SPASIBO"), ("Greek", "ELLADA"), ("Devanagari", "हिन्दी"), ("Thai", "ภาษาไทยดี"),
+    ("combining marks", "ETE N"), ("ligature and quotes", 'FIM DE "ASPAS" - JA...'), ("degree and currency", "25DEG +/-1 EUR5"), ("ASCII", "PLAIN"),
+]
+
+
 def all_sql() -> dict[str, str]:
     b = with_ctes(*BASE)
     lb = with_ctes(*LAYOUT_BASE)
@@ -277,26 +300,38 @@ def all_sql() -> dict[str, str]:
     left_join = f"{b}SELECT {join_cols} FROM new1 n LEFT JOIN ver v ON n.id = v.id"
     return {
         # sources
-        "bronze_scan": with_ctes(BRONZE, LAYOUT) + f"SELECT {raw_cols} FROM raw_read WHERE lseg = 'pf'",
-        "segment_union": with_ctes(BRONZE, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
+        "bronze_scan": with_ctes(BRONZE_EVERY, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
+        "segment_union": with_ctes(BRONZE_EVERY, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
         "path_app_extract": with_ctes(PATHS) + f"SELECT doc_id, path, regexp_extract(path, {APP_RE}, 1) AS app FROM paths",
         "path_segment_extract": with_ctes(PATHS)
         + f"SELECT doc_id, path, regexp_extract(path, {SEG_RE}, 1) AS segmento FROM paths",
-        "history_scan": with_ctes(HIST)
+        "history_scan": with_ctes(HIST_EVERY)
         + f"SELECT id, app, segmento, rating, iso_date, title, snippet, odate FROM hist WHERE odate < '{RUN_DATE}'",
-        "history_compact": with_ctes(HIST)
+        "store_first_day": with_ctes(HIST_EVERY) + (
+            "SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n, as_of "
+            "FROM hist JOIN (VALUES ('20240101'), ('20240102'), ('20240103')) a(as_of) ON odate < as_of "
+            "GROUP BY id, iso_date, title, snippet, rating, app, as_of"),
+        "store_late_partition": with_ctes(HIST_EVERY) + STORE.format(app="app"),
+        "store_rewritten_day": with_ctes(HIST_EVERY) + STORE.format(app="CASE WHEN odate = '20240101' THEN 'fixed ' ELSE '' END || app"),
+        "history_compact": with_ctes(HIST_EVERY)
         + ("SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n "
            f"FROM hist WHERE odate < '{RUN_DATE}' GROUP BY id, iso_date, title, snippet, rating, app"),
-        "merge_no_history": with_ctes(BRONZE, NORM, HIST, merge_ctes())
+        "merge_no_history": with_ctes(BRONZE_EVERY, NORM, HIST, merge_ctes())
         + "SELECT id, avatar, app, segmento, rating, iso_date, title, snippet, likes, CAST(0 AS BIGINT) AS n_hist, "
           "'' AS history, true AS in_batch, CAST(n_batch AS BIGINT) AS n_batch FROM new1",
         # projections
         "accent_fold": f"SELECT doc_id, {fold('text')} AS folded FROM documents",
-        "rating_truncate": with_ctes(BRONZE)
+        "accent_fold_wide": (
+            f"SELECT doc_id, {fold('text')} || ' ' || (["
+            + ", ".join("'" + x.replace("'", "''") + "'" for _, x in WIDE_ENDINGS)
+            + f"])[doc_id % {len(WIDE_ENDINGS)} + 1] AS folded FROM documents"),
+        "rating_truncate": with_ctes(BRONZE_EVERY)
         + "SELECT doc_id, id, iso_date, rating AS rating_in, "
           "CAST(CAST(trunc(rating) AS INTEGER) AS VARCHAR) AS rating FROM bronze",
-        "normalize_reviews": with_ctes(BRONZE, NORM) + "SELECT * FROM norm",
-        "schema_conform": b + f"SELECT {VALID_COLS} FROM checked",
+        "normalize_reviews": with_ctes(BRONZE_EVERY, NORM) + "SELECT * FROM norm",
+        "schema_conform": b + (
+            "SELECT id, CAST(length(app) + 0.5::DOUBLE AS VARCHAR) AS app, segmento, rating, iso_date, title, snippet, n_hist, history, "
+            "'string' AS id_type, 'string' AS rating_type, 'string' AS app_type FROM checked"),
         "sample_preview": b + f"SELECT {VALID_COLS} FROM valid ORDER BY id LIMIT 10",
         # joins / merge
         "history_full_outer": f"{b}SELECT {join_cols} FROM new1 n FULL OUTER JOIN ver v ON n.id = v.id",
@@ -314,20 +349,26 @@ def all_sql() -> dict[str, str]:
         "history_collect": b + "SELECT id, n_hist, history FROM ent",
         "history_explode": b + ("SELECT v.id, v.title, v.snippet, v.app, n.segmento, v.rating, v.iso_date "
                                 f"FROM ver v JOIN new1 n ON n.id = v.id WHERE {CHANGED}"),
-        "history_regroup": b + f"SELECT {VALID_COLS} FROM valid",
-        "history_empty_normalise": b + "SELECT id, n_hist, history FROM merged",
+        "history_regroup": b + (
+            "SELECT v.id, v.app, v.segmento, v.rating, v.iso_date, v.title, v.snippet, "
+            "CAST(coalesce(t.n, 0) AS BIGINT) AS n_hist, coalesce(t.history, '') AS history FROM valid v LEFT JOIN ("
+            f"SELECT v.id, count(*) AS n, string_agg({ENTRY}, ';' ORDER BY {ENTRY_ORDER}) AS history "
+            f"FROM ver v JOIN new1 n ON n.id = v.id, (VALUES (1), (2)) c(copy) WHERE {CHANGED} GROUP BY v.id) t ON t.id = v.id"),
+        "history_empty_normalise": b + (
+            "SELECT id, CASE WHEN CAST(id AS BIGINT) % 2 <> 0 THEN n_hist ELSE 0 END AS n_hist, "
+            "CASE WHEN CAST(id AS BIGINT) % 2 <> 0 THEN history ELSE '' END AS history, true AS has_array FROM merged"),
         # checks
-        "duplicate_keys": with_ctes(BRONZE, NORM)
+        "duplicate_keys": with_ctes(BRONZE_EVERY, NORM)
         + "SELECT id, count(*) AS n FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
-        "duplicate_rows": with_ctes(BRONZE, NORM)
+        "duplicate_rows": with_ctes(BRONZE_EVERY, NORM)
         + ("SELECT * FROM norm WHERE id IN "
            "(SELECT id FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
-        "duplicate_check": with_ctes(BRONZE, NORM) + (
+        "duplicate_check": with_ctes(BRONZE_EVERY, NORM) + (
             "SELECT 'duplicate_check' AS \"check\", duplicate_keys = 0 AS status, "
             f"{code('duplicate_keys = 0', 409)} AS code, {DUP_MSG} AS message, duplicate_keys AS n_failed "
             "FROM (SELECT count(*) AS duplicate_keys FROM "
             "(SELECT id FROM norm WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))"),
-        "null_counts": with_ctes(BRONZE, NORM) + " UNION ALL ".join(
+        "null_counts": with_ctes(BRONZE_EVERY, NORM) + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM norm"
             for c in NULL_COLS),
         "null_check": b + (
@@ -360,7 +401,7 @@ def all_sql() -> dict[str, str]:
             "SELECT 'type_consistency_check', type_status, " + code('type_status', 400) + f", {TYPE_MSG}, "
             "CASE WHEN type_status THEN 'PASSOU' ELSE 'FALHOU' END FROM summary2"),
         "segment_list": with_ctes(*BASE, SUMMARY) + "SELECT type_client FROM summary2",
-        "table_size_profile": with_ctes(HIST) + (
+        "table_size_profile": with_ctes(HIST_EVERY) + (
             "SELECT odate, segmento, count(*) AS \"rows\", CAST(sum("
             + " + ".join(f"coalesce(strlen({c}), 0)" for c in ["id", "app", "rating", "iso_date", "title", "snippet"])
             + ") AS BIGINT) AS text_bytes FROM hist GROUP BY odate, segmento"),
@@ -370,6 +411,8 @@ def all_sql() -> dict[str, str]:
             "'' AS history, odate FROM hist UNION ALL "
             f"SELECT {VALID_COLS}, '{RUN_DATE}' AS odate FROM valid_l"),
         "quarantine_roundtrip": lb + f"SELECT {INVALID_COLS}, '{RUN_DATE}' AS odate FROM invalid_l",
+        "rerun_empty_quarantine": b + (
+            f"SELECT {INVALID_COLS}, '20240102' AS odate, CAST((SELECT count(*) FROM invalid) AS INTEGER) AS rows_kept, 0 AS rows_again FROM invalid"),
         "job_valid": lb + "SELECT * FROM valid_l",
         "silver_next_day": with_ctes(*NEXT_DAY_BASE) + "SELECT * FROM valid_d4",
         "job_invalid": lb + "SELECT * FROM invalid_l",
@@ -383,12 +426,12 @@ def all_sql() -> dict[str, str]:
             f"{NULL_MSG} AS null_check_message, "
             f"type_status AS type_consistency_check_status, {code('type_status', 400)} AS type_consistency_check_code, "
             f"{TYPE_MSG} AS type_consistency_check_message, "
-            "'silver_reviews' AS source_app FROM summary2"),
-        "failure_doc": with_ctes(BRONZE, NORM) + (
+            "'silver_reviews' AS source_app, '1.50 min' AS total_processing_time FROM summary2, (VALUES (1), (2)) written(n)"),
+        "failure_doc": with_ctes(BRONZE_EVERY, NORM) + (
             "SELECT 'silver' AS layer, 'reviews' AS project, 'app_reviews_silver' AS job, '0' AS priority, "
-            "'data-platform' AS tower, "
-            "coalesce(string_agg(DISTINCT segmento, ',' ORDER BY segmento), '') AS client, "
-            "'bronze scan failed: no segment folder' AS error FROM norm"),
+            "'data-platform' AS tower, client, 'bronze scan failed: no segment folder' AS error FROM ("
+            "SELECT string_agg(coalesce(segmento, 'none'), ',' ORDER BY segmento NULLS LAST) AS client "
+            "FROM (SELECT DISTINCT segmento FROM norm) UNION ALL SELECT 'UNKNOWN_CLIENT')"),
         "kv_report_parse": with_ctes(KV)
         + "SELECT doc_id, key, arg_max(value, line_no) AS value FROM kv GROUP BY doc_id, key",
     }

@@ -1,4 +1,4 @@
-"""Run documents: success metrics, failure record, stage metrics.
+"""Run documents: success metrics and failure record.
 
 Documents are one-row DataFrames built from one-row aggregates (never from
 collected data rows) and appended to audit tables as JSON lines.
@@ -7,7 +7,7 @@ collected data rows) and appended to audit tables as JSON lines.
 from __future__ import annotations
 
 import json
-import os
+import logging
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -18,6 +18,11 @@ from tessera.functions.report import parse_kv_lines
 from tessera.operators import quality as q
 from tessera.schemas import CRITICAL_COLUMNS
 
+log = logging.getLogger(__name__)
+
+#: Fixed value: the client of a run whose segments are not known.
+UNKNOWN_CLIENT = "UNKNOWN_CLIENT"
+
 
 @dataclass
 class Owner:
@@ -48,22 +53,11 @@ def utc_iso_millis(ts: datetime) -> str:
     return ts.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
 
 
-def _lit_map(d: dict[str, str]):
-    if not d:
-        return F.create_map().cast("map<string,string>")
-    items = []
-    for k, v in d.items():
-        items += [F.lit(str(k)), F.lit(str(v))]
-    return F.create_map(*items)
-
-
 def validation_struct():
     """validation_results as a struct of three {message, status, code} structs,
     from the columns of ``quality_summary``."""
-    nulls = {c: F.col(f"null_{c}") for c in CRITICAL_COLUMNS}
-    null_msg = F.concat(F.lit(q.MSG_NULL_FOUND.split("{issues}")[0]), q.null_issues_text(nulls),
-                        F.lit(q.MSG_NULL_FOUND.split("{issues}")[1]))
-    dup_msg = F.format_string(q.MSG_DUP_FOUND.replace("{n}", "%d"), F.col("duplicate_keys"))
+    null_msg = q.null_message({c: F.col(f"null_{c}") for c in CRITICAL_COLUMNS})
+    dup_msg = q.duplicate_message(F.col("duplicate_keys"))
 
     def one(ok, bad_code, bad_msg, ok_msg):
         return F.struct(
@@ -80,10 +74,16 @@ def validation_struct():
 
 def metrics_document(summary: DataFrame, *, application_id: str, source_app: str,
                      source_search: str = "google_play", owner: Owner | None = None,
-                     clock: RunClock | None = None, stages: dict[str, str] | None = None) -> DataFrame:
-    """The success document of a run, one row with nested fields."""
+                     clock: RunClock | None = None) -> DataFrame:
+    """The success document of a run, one row with nested fields.
+
+    ``clock`` brackets the run; without a finished one there is no processing
+    time to report, so it is an error.
+    """
     owner = owner or Owner()
-    clock = clock or RunClock(RunClock.now(), RunClock.now())
+    if clock is None or clock.start is None or clock.end is None:
+        raise ValueError("a run document needs the run's start and end")
+    # --- fixed values: the field names of the run document
     return summary.select(
         F.lit(application_id).alias("application_id"),
         F.struct(F.lit(owner.team).alias("team"), F.lit(owner.project).alias("project"),
@@ -94,7 +94,6 @@ def metrics_document(summary: DataFrame, *, application_id: str, source_app: str
         F.col("total_records").alias("checked_records"),
         F.lit(clock.minutes_text()).alias("total_processing_time"),
         (F.col("valid_text_bytes") / (1024 * 1024)).alias("memory_used"),
-        _lit_map(stages or {}).alias("stages"),
         validation_struct().alias("validation_results"),
         "success_count", "error_count", "type_client",
         F.struct(F.lit(source_app).alias("app"), F.lit(source_search).alias("search")).alias("source"),
@@ -104,25 +103,39 @@ def metrics_document(summary: DataFrame, *, application_id: str, source_app: str
     )
 
 
-def failure_document(spark: SparkSession, error: BaseException | str, df: DataFrame | None = None,
+def client_segments(df: DataFrame) -> list[str | None]:
+    """Distinct segments of ``df`` in order, a null one last: a handful of folder names."""
+    rows = df.select("segmento").distinct().collect()
+    return sorted((r[0] for r in rows if r[0] is not None)) + [None] * any(r[0] is None for r in rows)
+
+
+def failure_document(spark: SparkSession, error: BaseException | str, client: DataFrame | list | None = None,
                      owner: Owner | None = None) -> DataFrame:
-    """One-row failure record; ``client`` = distinct segments of ``df``."""
+    """One-row failure record.
+
+    ``client`` are the run's segments, or a frame that has them.  If there is
+    none, or its segments cannot be read (the batch itself may be what
+    failed), the client is ``UNKNOWN_CLIENT``; the document never depends on
+    the data being readable.
+    """
     if not error:
         raise ValueError("a failure document needs an error")
     owner = owner or Owner()
-    base = None
-    if df is not None and "segmento" in df.columns:
-        base = df.agg(F.array_sort(F.collect_set("segmento")).alias("client"))
-    if base is None:
-        base = spark.range(1, numPartitions=1).select(F.array(F.lit("UNKNOWN_CLIENT")).alias("client"))
-    return base.select(
+    if isinstance(client, DataFrame):
+        try:
+            client = client_segments(client) if "segmento" in client.columns else None
+        except Exception as err:  # whatever is wrong with the batch, the record is written
+            log.warning("segments of the failed run are not readable: %s", err)
+            client = None
+    names = [F.lit(c).cast("string") for c in (client or [UNKNOWN_CLIENT])]
+    return spark.range(1, numPartitions=1).select(
         F.lit(utc_iso_millis(RunClock.now())).alias("timestamp"),
         F.lit(owner.layer).alias("layer"),
         F.lit(owner.project).alias("project"),
         F.lit(owner.job).alias("job"),
         F.lit(owner.priority).alias("priority"),
         F.lit(owner.tower).alias("tower"),
-        "client",
+        F.array(*names).alias("client"),
         F.lit(str(error) or "unknown error").alias("error"),
     )
 
@@ -130,7 +143,8 @@ def failure_document(spark: SparkSession, error: BaseException | str, df: DataFr
 def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession | None = None) -> None:
     """Append a run document to a JSON-lines audit table.
 
-    Accepts a one-row DataFrame, a dict, or a JSON string (validated).
+    Accepts a one-row DataFrame, a dict, or a JSON object as a string, which is
+    written as one line however it is laid out.
     """
     if not path:
         raise ValueError("audit path must not be empty")
@@ -139,10 +153,12 @@ def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession
         return
     if isinstance(doc, str):
         try:
-            json.loads(doc)
+            parsed = json.loads(doc)
         except json.JSONDecodeError as err:
             raise ValueError("metrics document is not valid JSON") from err
-        text = doc
+        if not isinstance(parsed, dict):
+            raise ValueError("a metrics document is a JSON object")
+        text = json.dumps(parsed)
     elif isinstance(doc, dict):
         text = json.dumps(doc)
     else:
@@ -152,72 +168,6 @@ def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession
     spark.createDataFrame([(text,)], "value string").write.mode("append").text(path)
 
 
-# ------------------------------------------------------------ stage metrics
-TASK_METRICS = {
-    "executor_run_time_ms": "Executor Run Time",
-    "executor_cpu_time_ns": "Executor CPU Time",
-    "jvm_gc_time_ms": "JVM GC Time",
-    "result_size_bytes": "Result Size",
-    "memory_spilled_bytes": "Memory Bytes Spilled",
-    "disk_spilled_bytes": "Disk Bytes Spilled",
-    "peak_execution_memory_bytes": "Peak Execution Memory",
-}
-
-
-def stage_metrics_from_event_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Per-stage task totals from a Spark event log (JSON lines).
-
-    ``SparkListenerTaskEnd`` events are filtered and aggregated by stage,
-    like a stage-metrics report; the log is read as a plain JSON table.
-    """
-    ev = spark.read.json(log_path)
-    tasks = ev.where(F.col("Event") == "SparkListenerTaskEnd")
-    metrics = [F.col(f"`Task Metrics`.`{src}`").alias(name) for name, src in TASK_METRICS.items()
-               if src in _task_metric_fields(ev)]
-    io = []
-    fields = _task_metric_fields(ev)
-    if "Input Metrics" in fields:
-        io += [F.col("`Task Metrics`.`Input Metrics`.`Bytes Read`").alias("input_bytes"),
-               F.col("`Task Metrics`.`Input Metrics`.`Records Read`").alias("input_records")]
-    if "Shuffle Read Metrics" in fields:
-        io += [F.col("`Task Metrics`.`Shuffle Read Metrics`.`Remote Bytes Read`").alias("shuffle_remote_bytes"),
-               F.col("`Task Metrics`.`Shuffle Read Metrics`.`Local Bytes Read`").alias("shuffle_local_bytes")]
-    if "Shuffle Write Metrics" in fields:
-        io += [F.col("`Task Metrics`.`Shuffle Write Metrics`.`Shuffle Bytes Written`").alias("shuffle_write_bytes")]
-    flat = tasks.select(F.col("`Stage ID`").alias("stage_id"), *metrics, *io)
-    value_cols = [c for c in flat.columns if c != "stage_id"]
-    return flat.groupBy("stage_id").agg(F.count(F.lit(1)).alias("num_tasks"),
-                                        *[F.sum(c).alias(c) for c in value_cols])
-
-
-def _task_metric_fields(ev: DataFrame) -> set[str]:
-    if "Task Metrics" not in ev.columns:
-        return set()
-    return set(ev.schema["Task Metrics"].dataType.fieldNames())
-
-
-def event_log_path(spark: SparkSession) -> str | None:
-    """Event log of this application when event logging is on and the log is
-    plain JSON lines (single file or rolling folder); compressed logs are not
-    read (``None``)."""
-    conf = spark.sparkContext.getConf()
-    if conf.get("spark.eventLog.enabled", "false").lower() != "true":
-        return None
-    if conf.get("spark.eventLog.compress", "true").lower() == "true":
-        return None
-    base = conf.get("spark.eventLog.dir", None)
-    if not base:
-        return None
-    app_id = spark.sparkContext.applicationId
-    base = base.rstrip("/")
-    local = base[5:] if base.startswith("file:") else base
-    for name in (f"eventlog_v2_{app_id}", f"{app_id}.inprogress", app_id):
-        if os.path.exists(os.path.join(local, name)):
-            path = f"{base}/{name}"
-            return f"{path}/events_*" if name.startswith("eventlog_v2_") else path
-    return None
-
-
 def report_to_kv(report: DataFrame, report_col: str = "report", keys: list[str] | None = None) -> DataFrame:
     """Parse a key/value text report column into rows (see functions.report)."""
     from tessera.functions.report import report_lines
@@ -225,26 +175,6 @@ def report_to_kv(report: DataFrame, report_col: str = "report", keys: list[str]
     return parse_kv_lines(report_lines(report, report_col, keys), keys)
 
 
-def stage_totals(spark: SparkSession, job_group: str) -> dict[str, str]:
-    """Totals over the stages of one job group (the run), from the status
-    tracker: a handful of numbers per run for the document's ``stages`` map."""
-    tracker = spark.sparkContext.statusTracker()
-    stages = tasks = done = failed = 0
-    jobs = tracker.getJobIdsForGroup(job_group)
-    for job_id in jobs:
-        info = tracker.getJobInfo(job_id)
-        for sid in (info.stageIds if info else []):
-            st = tracker.getStageInfo(sid)
-            if st is None:
-                continue
-            stages += 1
-            tasks += st.numTasks
-            done += st.numCompletedTasks
-            failed += st.numFailedTasks
-    return {"numJobs": str(len(jobs)), "numStages": str(stages), "numTasks": str(tasks),
-            "numCompletedTasks": str(done), "numFailedTasks": str(failed)}
-
-
 def metrics_json(doc: DataFrame) -> str:
     """The one-row run document as a JSON string."""
     return doc.select(F.to_json(F.struct(*doc.columns))).first()[0]

@@ -13,8 +13,9 @@ recomputing its blocks from lineage.
 from __future__ import annotations
 
 import logging
-import uuid
+import re
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -66,6 +67,13 @@ class JobResult:
     preview_invalid: list = field(default_factory=list)
 
 
+def check_run_date(run_date: str) -> None:
+    """The partition value is compared as text, so only a real yyyyMMdd date will do."""
+    if not re.fullmatch(r"\d{8}", run_date or ""):
+        raise ValueError(f"run date must be yyyyMMdd, got {run_date!r}")
+    datetime.strptime(run_date, "%Y%m%d")
+
+
 def build(spark: SparkSession, cfg: JobConfig):
     """Lazy plans of the run: (batch, Validated)."""
     raw = read_segments(spark, cfg.bronze_base, cfg.run_date)
@@ -82,16 +90,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
 
     Order matters: the merged frame reads the silver table (history) and is
     persisted; writing to the silver table makes Spark refresh every cached
-    plan that reads that path.  So the quarantine output and the one-row
-    summary are produced first, and the silver write comes last.
+    plan that reads that path.  So the one-row summary and the quarantine
+    output are produced first, and the silver write comes last.  The summary
+    also knows the run's segments, should a later step fail.
     """
     start = rm.RunClock.now()
-    batch = None
-    sc = spark.sparkContext
-    previous_group = sc.getLocalProperty("spark.jobGroup.id")
-    group = f"tessera-silver-{cfg.run_date}-{uuid.uuid4().hex[:8]}"
-    sc.setJobGroup(group, f"silver job {cfg.run_date}")
+    client = None
     try:
+        check_run_date(cfg.run_date)
         batch, v = build(spark, cfg)
         if cfg.materialize == "checkpoint":
             checkpoint_dir(spark)  # the session's folder; a local one only when unset
@@ -100,8 +106,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         else:
             checked = v.checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
             summary_row = quality_summary(checked).first().asDict()
+            client = summary_row.pop("segments")
+            n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
             preview_v, preview_i = [], []
             if cfg.env == ENV_PRE:
                 preview_v = v.valid.take(10)
@@ -115,21 +122,17 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             summary_df = spark.createDataFrame([Row(**summary_row)])
             doc = rm.metrics_document(
                 summary_df, application_id=spark.sparkContext.applicationId,
-                source_app=cfg.source_app, owner=cfg.owner, clock=clock,
-                stages=rm.stage_totals(spark, group))
+                source_app=cfg.source_app, owner=cfg.owner, clock=clock)
             rm.append_document(doc, cfg.audit_path)
         return JobResult(n_valid, n_invalid, summary_row, preview_v, preview_i)
     except Exception as err:
         log.error("silver job failed: %s", err)
         if cfg.failure_path:
             try:
-                rm.append_document(rm.failure_document(spark, err, batch, cfg.owner), cfg.failure_path)
+                rm.append_document(rm.failure_document(spark, err, client, cfg.owner), cfg.failure_path)
             except Exception as inner:  # the original error is what matters
                 log.error("could not write the failure document: %s", inner)
         raise
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", previous_group)
-        sc.setLocalProperty("spark.job.description", None)
 
 
 def rebuild_outputs(batch, checked: DataFrame, v):
@@ -159,7 +162,6 @@ def main(argv: list[str] | None = None) -> int:
     (when a path is given) and returns 1.  The session is stopped either way.
     """
     import argparse
-    from datetime import datetime, timezone
 
     ap = argparse.ArgumentParser(prog="silver_job")
     ap.add_argument("env", choices=["pre", "prod"])
@@ -170,19 +172,23 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--audit", default=None)
     ap.add_argument("--failures", default=None)
     ap.add_argument("--materialize", choices=["persist", "checkpoint"], default="persist")
+    ap.add_argument("--versions", default=None, help="folder of the compacted history store")
+    ap.add_argument("--merge-how", choices=["full_outer", "left_outer"], default="full_outer")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tessera silver job").getOrCreate()
+    spark = None
     try:
+        spark = SparkSession.builder.appName("tessera silver job").getOrCreate()
         run(spark, JobConfig(bronze_base=args.bronze, silver_path=args.silver,
                              quarantine_path=args.quarantine, run_date=args.run_date,
                              audit_path=args.audit, failure_path=args.failures, env=args.env,
-                             materialize=args.materialize))
+                             materialize=args.materialize, versions_path=args.versions, merge_how=args.merge_how))
         return 0
     except Exception as err:  # reported in the failure document and the log
         log.error("job failed: %s", err)
         return 1
     finally:
-        spark.stop()
+        if spark is not None:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -90,7 +90,8 @@ def summary_aggregates(checked: DataFrame) -> list[Column]:
         *q.null_count_columns(CRITICAL_COLUMNS),
         F.count_if(rating_as_int(F.col("rating")).isNull()).alias("invalid_ratings"),
         F.count_if(valid).alias("valid_count"),
-        F.count_if(q.invalid_predicate(checked)).alias("invalid_rows"),
+        F.count_if(q.invalid_predicate(checked) & (F.col("n_batch") <= 1)).alias("invalid_rows"),
+        F.coalesce(F.sum(F.when(F.col("in_batch"), F.col("n_batch"))), F.lit(0)).alias("batch_rows"),
         F.array_sort(F.collect_set(F.when(valid, F.coalesce(F.col("segmento"), F.lit("UNKNOWN")))))
          .alias("segments"),
         F.coalesce(F.sum(F.when(valid, _text_bytes(VALID_REQUIRED))), F.lit(0)).alias("valid_text_bytes"),
@@ -102,7 +103,7 @@ def _text_bytes(cols: list[str]) -> Column:
 
 
 def quality_summary(checked: DataFrame) -> DataFrame:
-    """One row of run totals, check statuses and valid / invalid shares."""
+    """One row of run totals, check statuses, and valid / invalid shares of the batch's rows."""
     row = checked.agg(*summary_aggregates(checked))
     null_total = reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in CRITICAL_COLUMNS])
     invalid_count = F.col("invalid_rows") + F.col("duplicate_rows")
@@ -113,17 +114,17 @@ def quality_summary(checked: DataFrame) -> DataFrame:
     success = _sum_bool([dup_ok, null_ok, type_ok])
 
     def pct(x: Column) -> Column:
-        return F.when(doc_total > 0, x / doc_total * 100).otherwise(F.lit(0.0))
+        return F.when(F.col("batch_rows") > 0, x / F.col("batch_rows") * 100).otherwise(F.lit(0.0))
 
     return row.select(
-        "total_records", "history_only", "duplicate_keys", "duplicate_rows",
+        "total_records", "history_only", "batch_rows", "duplicate_keys", "duplicate_rows",
         *[f"null_{c}" for c in CRITICAL_COLUMNS], "invalid_ratings",
         "valid_count", invalid_count.alias("invalid_count"), doc_total.alias("written_total"),
         pct(F.col("valid_count")).alias("pct_valid"), pct(invalid_count).alias("pct_invalid"),
         dup_ok.alias("duplicate_status"), null_ok.alias("null_status"), type_ok.alias("type_status"),
         success.alias("success_count"), (F.lit(3) - success).alias("error_count"),
         segment_list_text(F.col("segments")).alias("type_client"),
-        F.col("valid_text_bytes").cast("long").alias("valid_text_bytes"),
+        F.col("valid_text_bytes").cast("long").alias("valid_text_bytes"), "segments",
     )
 
 
@@ -135,10 +136,8 @@ def segment_list_text(segments: Column) -> Column:
 def validation_results(summary: DataFrame) -> DataFrame:
     """The three checks as rows: check, status, code, message, report."""
     s = summary
-    nulls = {c: F.col(f"null_{c}") for c in CRITICAL_COLUMNS}
-    null_msg = F.concat(F.lit(q.MSG_NULL_FOUND.split("{issues}")[0]), q.null_issues_text(nulls),
-                        F.lit(q.MSG_NULL_FOUND.split("{issues}")[1]))
-    dup_msg = F.format_string(q.MSG_DUP_FOUND.replace("{n}", "%d"), F.col("duplicate_keys"))
+    null_msg = q.null_message({c: F.col(f"null_{c}") for c in CRITICAL_COLUMNS})
+    dup_msg = q.duplicate_message(F.col("duplicate_keys"))
 
     def entry(name, ok, bad_code, bad_msg, ok_msg):
         return F.struct(
@@ -158,21 +157,20 @@ def validation_results(summary: DataFrame) -> DataFrame:
 def results_dict(summary_row: dict) -> dict:
     """The validation results as a plain dict (three checks + total_records),
     built from the one-row summary."""
-    from tessera.operators import quality as qq
     nulls = {c: summary_row[f"null_{c}"] for c in CRITICAL_COLUMNS if summary_row[f"null_{c}"] > 0}
     null_text = "{" + ", ".join(f"'{c}': {n}" for c, n in nulls.items()) + "}"
 
     def entry(ok: bool, bad_code: int, bad_msg: str, ok_msg: str) -> dict:
         return {"message": ok_msg if ok else bad_msg, "status": bool(ok),
-                "code": qq.CODE_OK if ok else bad_code}
+                "code": q.CODE_OK if ok else bad_code}
 
     return {
-        qq.CHECK_DUPLICATE: entry(summary_row["duplicate_status"], qq.CODE_CONFLICT,
-                                  qq.MSG_DUP_FOUND.replace("{n}", str(summary_row["duplicate_keys"])),
-                                  qq.MSG_DUP_NONE),
-        qq.CHECK_NULL: entry(summary_row["null_status"], qq.CODE_BAD_DATA,
-                             qq.MSG_NULL_FOUND.replace("{issues}", null_text), qq.MSG_NULL_NONE),
-        qq.CHECK_TYPE: entry(summary_row["type_status"], qq.CODE_BAD_DATA, qq.MSG_TYPE_FOUND, qq.MSG_TYPE_NONE),
+        q.CHECK_DUPLICATE: entry(summary_row["duplicate_status"], q.CODE_CONFLICT,
+                                  q.MSG_DUP_FOUND.replace("{n}", str(summary_row["duplicate_keys"])),
+                                  q.MSG_DUP_NONE),
+        q.CHECK_NULL: entry(summary_row["null_status"], q.CODE_BAD_DATA,
+                             q.MSG_NULL_FOUND.replace("{issues}", null_text), q.MSG_NULL_NONE),
+        q.CHECK_TYPE: entry(summary_row["type_status"], q.CODE_BAD_DATA, q.MSG_TYPE_FOUND, q.MSG_TYPE_NONE),
         "total_records": int(summary_row["total_records"]),
     }
 

@@ -9,7 +9,9 @@ source or sink write to a fresh folder under the session's checkpoint folder.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +23,11 @@ from tessera.plans import run_metrics as rm
 from tessera.plans import silver_job, validation
 from tessera.schemas import INVALID_COLUMNS, SILVER_SCHEMA
 from tessera.session import scratch_path
-from tessera.sinks.parquet import conform
+from tessera.sinks.parquet import conform, save_partitioned
 from tessera.sources import bronze as bronze_src
 from tessera.sources import fixtures as fx
 from tessera.sources.history import read_history
+from tessera.sources.versions import VERSIONS_SCHEMA, prepare_versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,15 +64,15 @@ def _validated(spark, sf_dir):
 # ------------------------------------------------------------------ sources
 def q_bronze_scan(spark, sf_dir):
     base = scratch_path(spark, "bronze") + "/googlePlay"
-    fx.write_bronze_layout(spark, sf_dir, base)
-    df = bronze_src.read_reviews(spark, bronze_src.segment_paths(base, fx.RUN_DATE)[0])
+    fx.write_bronze_layout(spark, sf_dir, base, every=True)
+    df = bronze_src.read_reviews(spark, bronze_src.segment_paths(base, fx.RUN_DATE))
     return df.select("avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title",
                      "app", "segmento")
 
 
 def q_segment_union(spark, sf_dir):
     base = scratch_path(spark, "bronze") + "/googlePlay"
-    fx.write_bronze_layout(spark, sf_dir, base)
+    fx.write_bronze_layout(spark, sf_dir, base, every=True)
     df = bronze_src.read_segments(spark, base, fx.RUN_DATE)
     return df.select("avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title",
                      "app", "segmento")
@@ -87,22 +90,65 @@ def q_path_segment_extract(spark, sf_dir):
 
 def q_history_scan(spark, sf_dir):
     path = scratch_path(spark, "silver")
-    fx.write_history_table(spark, sf_dir, path, late_copy_date=fx.RUN_DATE)
+    fx.write_history_table(spark, sf_dir, path, late_copy_date=fx.RUN_DATE, every=True)
     return read_history(spark, path, fx.RUN_DATE)
 
 
 def q_history_compact(spark, sf_dir):
     """Compacted history snapshot (distinct versions, last day seen) built
     from a written silver table and read back."""
-    from tessera.sources.versions import prepare_versions
     root = scratch_path(spark, "versions")
-    fx.write_history_table(spark, sf_dir, f"{root}/silver", late_copy_date=fx.RUN_DATE)
+    fx.write_history_table(spark, sf_dir, f"{root}/silver", late_copy_date=fx.RUN_DATE, every=True)
     return prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
 
 
+def _ddl(schema) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _store_days(spark, sf_dir, days: list[str], root: str):
+    """Write the named days of the history fixture as silver partitions."""
+    h = fx.hist(spark, sf_dir, every=True)
+    for day in days:
+        rows = h.where(F.col("odate") == day).withColumn("historical_data", quality.empty_history())
+        save_partitioned(rows.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day)
+
+
+def q_store_first_day(spark, sf_dir):
+    """The store on a day without any earlier silver partition (no rows), then on the next two."""
+    root = scratch_path(spark, "store-first")
+    out = scratch_path(spark, "store-first-out")  # copied: a snapshot goes once two newer ones are there
+    first = prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.HISTORY_DATES[0])
+    first.withColumn("as_of", F.lit(fx.HISTORY_DATES[0])).write.parquet(out)
+    for day, before in ((fx.HISTORY_DATES[1], [fx.HISTORY_DATES[0]]), (fx.RUN_DATE, [fx.HISTORY_DATES[1]])):
+        _store_days(spark, sf_dir, before, root)
+        prepare_versions(spark, f"{root}/versions", f"{root}/silver", day).withColumn("as_of", F.lit(day)).write.mode("append").parquet(out)
+    return spark.read.schema(f"{_ddl(VERSIONS_SCHEMA)}, as_of string").parquet(out)
+
+
+def q_store_late_partition(spark, sf_dir):
+    """A partition that lands after the snapshot that should have covered it."""
+    root = scratch_path(spark, "store-late")
+    _store_days(spark, sf_dir, [fx.HISTORY_DATES[1]], root)
+    prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
+    _store_days(spark, sf_dir, [fx.HISTORY_DATES[0]], root)
+    return prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
+
+
+def q_store_rewritten_day(spark, sf_dir):
+    """A covered partition that is rewritten: what only its old files held must not be served."""
+    root = scratch_path(spark, "store-rewritten")
+    _store_days(spark, sf_dir, list(fx.HISTORY_DATES), root)
+    prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
+    fixed = fx.hist(spark, sf_dir, every=True).where(F.col("odate") == fx.HISTORY_DATES[0]).withColumns(
+        {"app": F.concat(F.lit("fixed "), "app"), "historical_data": quality.empty_history()})
+    save_partitioned(fixed.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", fx.HISTORY_DATES[0])
+    return prepare_versions(spark, f"{root}/versions", f"{root}/silver", "20240104")
+
+
 def q_merge_no_history(spark, sf_dir):
     empty = spark.createDataFrame([], fx.hist(spark, sf_dir).schema)
-    merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir), empty, fx.RUN_DATE)
+    merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir, every=True), empty, fx.RUN_DATE)
     return flatten_history(merged).select(*MERGED_COLUMNS)
 
 
@@ -111,18 +157,37 @@ def q_accent_fold(spark, sf_dir):
     return fx.documents(spark, sf_dir).select("doc_id", fold_upper("text").alias("folded"))
 
 
+#: Endings from every class of characters, by ``doc_id`` (what they fold to stands in ``tessera.oracle``).
+WIDE_ENDINGS = [
+    "1º lugar, 2ª vez", "½ ² ™ ©", "ótimo 😀👍🏽!", "ＡＢＣ１２", "Хорошо, спасибо", "Ελλάδα", "हिन्दी", "ภาษาไทยดี",
+    "e\u0301te\u0302 n\u0303", "ﬁm de “aspas” – já…", "25° ±1 €5", "plain",
+]
+
+
+def q_accent_fold_wide(spark, sf_dir):
+    """Folding of every document with an ending from one class of characters."""
+    endings = F.array(*[F.lit(e) for e in WIDE_ENDINGS])
+    ending = F.element_at(endings, (F.col("doc_id") % len(WIDE_ENDINGS) + 1).cast("int"))
+    return fx.documents(spark, sf_dir).select("doc_id", fold_upper(F.concat_ws(" ", "text", ending)).alias("folded"))
+
+
 def q_rating_truncate(spark, sf_dir):
-    b = fx.bronze_with_doc(spark, sf_dir).select("doc_id", "id", "iso_date", F.col("rating").alias("rating_in"))
+    b = fx.bronze_with_doc(spark, sf_dir, every=True).select("doc_id", "id", "iso_date", F.col("rating").alias("rating_in"))
     return normalize.rating_truncate(b.withColumn("rating", F.col("rating_in")))
 
 
 def q_normalize_reviews(spark, sf_dir):
-    return fx.norm(spark, sf_dir)
+    return fx.norm(spark, sf_dir, every=True)
 
 
 def q_schema_conform(spark, sf_dir):
+    """Integers and doubles come out as the schema's strings; the types are part of the result."""
     checked = validation.checked_frame(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE)
-    return flatten_history(conform(checked, SILVER_SCHEMA)).select(*SILVER_FLAT)
+    typed = checked.withColumns({"id": F.col("id").cast("long"), "rating": F.col("rating").cast("int"),
+                                 "app": F.length("app") + F.lit(0.5).cast("double")})
+    out = conform(typed, SILVER_SCHEMA)
+    types = [F.typeof(c).alias(f"{c}_type") for c in ("id", "rating", "app")]
+    return flatten_history(out.select("*", *types)).select(*SILVER_FLAT, "id_type", "rating_type", "app_type")
 
 
 def q_sample_preview(spark, sf_dir):
@@ -164,29 +229,34 @@ def q_history_explode(spark, sf_dir):
 
 
 def q_history_regroup(spark, sf_dir):
-    return flatten_history(quality.history_regroup(_validated(spark, sf_dir).valid)).select(*SILVER_FLAT)
+    """Every valid row comes twice and fuses into one with both histories."""
+    valid = _validated(spark, sf_dir).valid
+    twice = valid.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return flatten_history(quality.history_regroup(twice)).select(*SILVER_FLAT)
 
 
 def q_history_empty_normalise(spark, sf_dir):
-    m = quality.history_empty_normalise(_merged(spark, sf_dir))
-    return flatten_history(m.select("id", "historical_data")).select("id", "n_hist", "history")
+    """Histories of even ids are null, of other ids as merged (some empty); none may be null afterwards."""
+    m = _merged(spark, sf_dir).withColumn("historical_data", F.when(F.col("id").cast("long") % 2 != 0, F.col("historical_data")))
+    m = quality.history_empty_normalise(m.select("id", "historical_data"))
+    return flatten_history(m.withColumn("has_array", F.col("historical_data").isNotNull())).select("id", "n_hist", "history", "has_array")
 
 
 # ------------------------------------------------------------------ checks
 def q_duplicate_keys(spark, sf_dir):
-    return quality.duplicate_keys(fx.norm(spark, sf_dir))
+    return quality.duplicate_keys(fx.norm(spark, sf_dir, every=True))
 
 
 def q_duplicate_rows(spark, sf_dir):
-    return quality.duplicate_rows(fx.norm(spark, sf_dir))
+    return quality.duplicate_rows(fx.norm(spark, sf_dir, every=True))
 
 
 def q_duplicate_check(spark, sf_dir):
-    return quality.duplicate_check(fx.norm(spark, sf_dir))
+    return quality.duplicate_check(fx.norm(spark, sf_dir, every=True))
 
 
 def q_null_counts(spark, sf_dir):
-    return quality.null_counts(fx.norm(spark, sf_dir))
+    return quality.null_counts(fx.norm(spark, sf_dir, every=True))
 
 
 def q_null_check(spark, sf_dir):
@@ -206,7 +276,7 @@ def q_split_invalid(spark, sf_dir):
 
 
 def q_quality_summary(spark, sf_dir):
-    return validation.quality_summary(_validated(spark, sf_dir).checked).drop("valid_text_bytes")
+    return validation.quality_summary(_validated(spark, sf_dir).checked).drop("valid_text_bytes", "segments")
 
 
 def q_validation_results(spark, sf_dir):
@@ -220,7 +290,7 @@ def q_segment_list(spark, sf_dir):
 
 
 def q_table_size_profile(spark, sf_dir):
-    return quality.size_profile(fx.hist(spark, sf_dir), ["odate", "segmento"])
+    return quality.size_profile(fx.hist(spark, sf_dir, every=True), ["odate", "segmento"])
 
 
 # ------------------------------------------------------------------ sinks / job
@@ -249,6 +319,17 @@ def q_quarantine_roundtrip(spark, sf_dir):
     return back.select(*INVALID_COLUMNS, "odate")
 
 
+def q_rerun_empty_quarantine(spark, sf_dir):
+    """A day's quarantine of two days rewritten without rows: the other day's stay, the day itself is empty."""
+    path = scratch_path(spark, "rerun") + "/quarantine"
+    invalid = _validated(spark, sf_dir).invalid.select(*INVALID_COLUMNS)
+    kept = save_partitioned(invalid, path, "20240102", "invalid")
+    save_partitioned(invalid, path, fx.RUN_DATE, "invalid")
+    again = save_partitioned(invalid.limit(0), path, fx.RUN_DATE, "invalid")
+    back = silver_job.read_back(spark, path, silver_job.QUARANTINE_SCHEMA)
+    return back.select(*INVALID_COLUMNS, "odate", F.lit(kept).alias("rows_kept"), F.lit(again).alias("rows_again"))
+
+
 def q_job_valid(spark, sf_dir):
     cfg = _run_job(spark, sf_dir, runs=1)
     back = silver_job.read_back(spark, cfg.silver_path).where(F.col("odate") == fx.RUN_DATE)
@@ -273,7 +354,13 @@ def q_job_invalid(spark, sf_dir):
 
 def q_run_metrics_doc(spark, sf_dir):
     summary = validation.quality_summary(_validated(spark, sf_dir).checked)
-    doc = rm.metrics_document(summary, application_id="app", source_app="silver_reviews")
+    clock = rm.RunClock(datetime(2024, 1, 3, 1, tzinfo=timezone.utc), datetime(2024, 1, 3, 1, 1, 30, tzinfo=timezone.utc))
+    path = scratch_path(spark, "audit")
+    doc = rm.metrics_document(summary, application_id="app", source_app="silver_reviews", clock=clock)
+    rm.append_document(doc, path)
+    # The same document again as indented JSON text: both read back alike.
+    rm.append_document(json.dumps(json.loads(spark.read.text(path).first()[0]), indent=2), path, spark)
+    doc = spark.read.json(path)
     return doc.select(
         F.col("valid_data.count").alias("valid_count"),
         F.col("valid_data.percentage").alias("valid_pct"),
@@ -283,14 +370,19 @@ def q_run_metrics_doc(spark, sf_dir):
         *[F.col(f"validation_results.{c}.{f}").alias(f"{c}_{f}")
           for c in (quality.CHECK_DUPLICATE, quality.CHECK_NULL, quality.CHECK_TYPE)
           for f in ("status", "code", "message")],
-        F.col("source.app").alias("source_app"),
+        F.col("source.app").alias("source_app"), "total_processing_time",
     )
 
 
 def q_failure_doc(spark, sf_dir):
-    doc = rm.failure_document(spark, "bronze scan failed: no segment folder", fx.norm(spark, sf_dir))
-    return doc.select("layer", "project", "job", "priority", "tower",
-                      F.array_join("client", ",").alias("client"), "error")
+    """Two failure documents, written and read back: of a readable batch, and of one that cannot be read."""
+    path = scratch_path(spark, "failures")
+    batch = fx.norm(spark, sf_dir, every=True)
+    broken = batch.withColumn("segmento", F.raise_error(F.lit("unreadable")).cast("string"))
+    for client in (batch, broken):
+        rm.save_metrics("fail", path, spark=spark, error="bronze scan failed: no segment folder", df=client)
+    return spark.read.json(path).select("layer", "project", "job", "priority", "tower",
+                                        F.array_join("client", ",", "none").alias("client"), "error")
 
 
 def q_kv_report_parse(spark, sf_dir):
@@ -298,30 +390,6 @@ def q_kv_report_parse(spark, sf_dir):
     return rm.report_to_kv(docs, "text", ["doc_id"])
 
 
-def q_stage_metrics(spark, sf_dir):
-    """Per-stage task totals of a merge run, from the event log when the
-    session writes one, else from the status tracker."""
-    sc = spark.sparkContext
-    group = scratch_path(spark, "stage-metrics").rsplit("/", 1)[-1]
-    sc.setJobGroup(group, "stage metrics probe")
-    try:
-        flatten_history(_merged(spark, sf_dir)).write.format("noop").mode("overwrite").save()
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-    log = rm.event_log_path(spark)
-    if log is not None:
-        return rm.stage_metrics_from_event_log(spark, log)
-    tracker = sc.statusTracker()
-    rows = []
-    for job_id in tracker.getJobIdsForGroup(group):
-        info = tracker.getJobInfo(job_id)
-        for sid in (info.stageIds if info else []):
-            st = tracker.getStageInfo(sid)
-            if st is not None:
-                rows.append((int(sid), int(st.numTasks), int(st.numCompletedTasks), int(st.numFailedTasks)))
-    return spark.createDataFrame(rows, "stage_id int, num_tasks int, completed_tasks int, failed_tasks int")
-
-
 def all_queries() -> dict[str, Query]:
     return {
         # sources
@@ -331,9 +399,13 @@ def all_queries() -> dict[str, Query]:
         "path_segment_extract": q_path_segment_extract,
         "history_scan": q_history_scan,
         "history_compact": q_history_compact,
+        "store_first_day": q_store_first_day,
+        "store_late_partition": q_store_late_partition,
+        "store_rewritten_day": q_store_rewritten_day,
         "merge_no_history": q_merge_no_history,
         # projections
         "accent_fold": q_accent_fold,
+        "accent_fold_wide": q_accent_fold_wide,
         "rating_truncate": q_rating_truncate,
         "normalize_reviews": q_normalize_reviews,
         "schema_conform": q_schema_conform,
@@ -364,11 +436,11 @@ def all_queries() -> dict[str, Query]:
         # sinks / job / run documents
         "silver_roundtrip": q_silver_roundtrip,
         "quarantine_roundtrip": q_quarantine_roundtrip,
+        "rerun_empty_quarantine": q_rerun_empty_quarantine,
         "job_valid": q_job_valid,
         "job_invalid": q_job_invalid,
         "silver_next_day": q_silver_next_day,
         "run_metrics_doc": q_run_metrics_doc,
         "failure_doc": q_failure_doc,
         "kv_report_parse": q_kv_report_parse,
-        "stage_metrics": q_stage_metrics,
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,11 +63,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

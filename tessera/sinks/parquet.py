@@ -1,10 +1,10 @@
-"""Date-partitioned Parquet sink with dynamic partition overwrite."""
+"""Date-partitioned Parquet sink that replaces one partition per run."""
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
@@ -36,11 +36,11 @@ def save_partitioned(
 ) -> int:
     """Write ``df`` under ``path/<partition_column>=<run_date>/``.
 
-    Only the run's partition is replaced (dynamic overwrite), so other days
-    survive and a rerun of the same day is idempotent.  The number of rows
-    written is counted by an ``Observation`` during the write itself (no
-    second pass).  Writing an empty frame touches no partition and returns 0.
-    Errors are raised, not swallowed.
+    The run's partition folder is overwritten as a whole, so other days
+    survive and a rerun of the same day is idempotent: an empty frame leaves
+    an empty partition (a file with the schema and no rows), never the rows of
+    an earlier run.  The count comes from the written files' footers, which a
+    task that ran twice cannot distort.  Errors are raised, not swallowed.
     """
     if not isinstance(df, DataFrame):
         raise TypeError(f"expected a DataFrame, got {type(df).__name__}")
@@ -48,14 +48,10 @@ def save_partitioned(
         raise ValueError("destination path must not be empty")
     if schema is not None:
         df = conform(df, schema)
-    obs = Observation(f"rows_{label}")
-    out = df.withColumn(partition_column, F.lit(run_date)).observe(obs, F.count(F.lit(1)).alias("rows"))
-    (out.write
-        .option("compression", compression)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(partition_column)
-        .parquet(path))
-    rows = int(obs.get.get("rows", 0) or 0)
-    log.info("wrote %d %s rows to %s (%s=%s)", rows, label, path, partition_column, run_date)
+    if partition_column in df.columns:
+        df = df.drop(partition_column)
+    folder = f"{path.rstrip('/')}/{partition_column}={run_date}"
+    df.write.option("compression", compression).mode("overwrite").parquet(folder)
+    rows = df.sparkSession.read.schema(df.schema).parquet(folder).count()
+    log.info("wrote %d %s rows to %s", rows, label, folder)
     return rows

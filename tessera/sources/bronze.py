@@ -22,7 +22,7 @@ def is_missing_path(err: AnalysisException) -> bool:
     """True for 'path does not exist' (also raised for a glob without match)."""
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     name = cond() if cond else None
-    return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
+    return name == "PATH_NOT_FOUND"
 
 
 def read_reviews(spark: SparkSession, path: str | list[str],
@@ -77,6 +77,3 @@ def read_segments(spark: SparkSession, bronze_base: str, run_date: str,
         out = out.unionByName(f)
     return out
 
-
-def tag_segment(df: DataFrame, segment: str) -> DataFrame:
-    return df.withColumn("segmento", F.lit(segment))

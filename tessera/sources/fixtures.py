@@ -9,10 +9,14 @@ queries scale with the table.  The same rules are written in DuckDB SQL in
 bronze  documents with doc_id % 7 <> 3 (dup = 0), plus a second copy (dup = 1)
         of those with doc_id % 29 = 4, which is the later duplicate.
 hist    documents with doc_id % 13 <> 5 or doc_id % 7 = 3, two days v = 1, 2.
+
+The two filters make ids that only one side of a merge has.  Queries on one
+side alone pass ``every=True`` and read all documents.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,24 +28,7 @@ HISTORY_DATES = ("20240101", "20240102")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table, spread over the cluster when under-partitioned.
-
-    Text folding is CPU-heavy per row.  A scan with fewer partitions than the
-    default parallelism (a small table stored as one row group) would run it
-    in a handful of tasks, so it is round-robin repartitioned first.  A large
-    table has far more partitions than cores and is left as scanned (no
-    extra shuffle).
-    """
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # sessions without RDD access: leave the scan as is
-        return df
-    return df.repartition(target) if current < target else df
+    return table(spark, sf_dir, "documents")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,15 +44,17 @@ def _title(source: Column) -> Column:
     return F.concat(F.lit("Usuário "), source)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     """Raw reviews: avatar, date, id, iso_date, likes, rating, snippet, title,
     app, segmento (app/segmento as if already derived from the path)."""
-    return bronze_with_doc(spark, sf_dir).drop("doc_id")
+    return bronze_with_doc(spark, sf_dir, every).drop("doc_id")
 
 
-def bronze_with_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_with_doc(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     """``bronze`` plus the source ``doc_id``."""
-    d = documents(spark, sf_dir).where(F.col("doc_id") % 7 != 3)
+    d = documents(spark, sf_dir)
+    if not every:
+        d = d.where(F.col("doc_id") % 7 != 3)
     copies = F.when(F.col("doc_id") % 29 == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     b = d.select("*", F.explode(copies).alias("dup"))  # one scan; dup = 1 is the later copy
     doc_id = F.col("doc_id")
@@ -88,14 +77,16 @@ def bronze_with_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+def norm(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     """Normalised incoming batch."""
-    return normalize_reviews(bronze(spark, sf_dir))
+    return normalize_reviews(bronze(spark, sf_dir, every))
 
 
-def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hist(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     """Earlier silver rows on two days (odate 20240101, 20240102)."""
-    d = documents(spark, sf_dir).where((F.col("doc_id") % 13 != 5) | (F.col("doc_id") % 7 == 3))
+    d = documents(spark, sf_dir)
+    if not every:
+        d = d.where((F.col("doc_id") % 13 != 5) | (F.col("doc_id") % 7 == 3))
     # fold once per document, then fan out to the two days
     d = d.select("doc_id", "source", fold_upper(_title(F.col("source"))).alias("ftitle"),
                  fold_upper(F.col("text")).alias("ftext"))
@@ -153,7 +144,7 @@ def layout_segment(doc_id: Column) -> Column:
 
 
 def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_date: str = RUN_DATE,
-                        extra_dates: tuple[str, ...] = ()) -> None:
+                        extra_dates: tuple[str, ...] = (), every: bool = False) -> None:
     """Write the bronze fixture as raw files in the collector's folder layout.
 
     The folder set is fixed by rule (3 apps x 2 segments), so no distinct
@@ -162,19 +153,21 @@ def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_
     dynamic overwrite, so other dates already there are kept).
     """
     dates = (run_date, *extra_dates)
-    raw = bronze_with_doc(spark, sf_dir).select(
+    raw = bronze_with_doc(spark, sf_dir, every).select(
         *RAW_COLUMNS, layout_app(F.col("doc_id")).alias("_app"), layout_segment(F.col("doc_id")).alias("_seg"),
         F.explode(F.array(*[F.lit(d) for d in dates])).alias("odate"))
     base = bronze_base.rstrip("/")
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)  # one scan for the six folders
     for app in LAYOUT_APPS:
         for seg in LAYOUT_SEGMENTS:
             part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS, "odate")
             (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("odate").parquet(f"{base}/{app}_{seg}"))
+    raw.unpersist()
 
 
 def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
-                        late_copy_date: str | None = RUN_DATE) -> None:
+                        late_copy_date: str | None = RUN_DATE, every: bool = False) -> None:
     """Write ``hist`` as silver partitions (odate=20240101, 20240102).
 
     With ``late_copy_date`` the second day is also written under that date,
@@ -182,7 +175,7 @@ def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
     """
     from tessera.operators.quality import empty_history
     from tessera.schemas import SILVER_SCHEMA
-    h = hist(spark, sf_dir)
+    h = hist(spark, sf_dir, every)
     if late_copy_date:
         h = h.unionByName(h.where(F.col("odate") == HISTORY_DATES[1]).withColumn("odate", F.lit(late_copy_date)))
     cols = [f.name for f in SILVER_SCHEMA.fields if f.name != "historical_data"]

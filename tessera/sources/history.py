@@ -46,11 +46,14 @@ def read_history(spark: SparkSession, silver_path: str, run_date: str | None = N
 
 def history_exists(spark: SparkSession, silver_path: str) -> bool:
     """Does the silver table exist and have at least one ``odate=`` partition?
-    (file-index listing on the driver, no job)"""
+
+    The largest partition value is asked for; it comes from the partition
+    column alone, so no file names travel to Python.
+    """
     try:
-        files = spark.read.schema(HISTORY_READ_SCHEMA).parquet(silver_path.rstrip("/")).inputFiles()
+        df = spark.read.schema(HISTORY_READ_SCHEMA).parquet(silver_path.rstrip("/"))
     except AnalysisException as err:
         if is_missing_path(err):
             return False
         raise
-    return any(f"/{PARTITION_COLUMN}=" in f for f in files)
+    return df.agg(F.max(PARTITION_COLUMN)).first()[0] is not None

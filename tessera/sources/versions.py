@@ -3,27 +3,31 @@
 The merge needs, per id, the distinct earlier versions and the latest one.
 Silver keeps a full copy of every review every day, so scanning all earlier
 partitions costs O(days x reviews) and grows each day.  This store keeps one
-row per (id, version) with the last day it was seen (``odate_n``), written
-as a snapshot partition ``asof=<run date>`` that covers silver partitions
-strictly before that date:
-
-    versions(asof=R) = compact(versions(asof=A) + silver partitions A <= odate < R)
-
-where A is the latest snapshot at or before R.  The merge result is the same
-as with the full scan (tested); a run reads one snapshot plus the partitions
-written since it.  Reruns of the same day read their own snapshot.
+row per (id, version) with the last day it was seen (``odate_n``), as a
+snapshot ``data/asof=<run date>``, and beside it a manifest of the silver
+partitions that the snapshot covers, with the number, size and newest time of
+their files:
+
+    versions(asof=R) = compact(versions(asof=A) + silver partitions < R not in A's manifest)
+
+where A is the latest snapshot at or before R.  A snapshot serves only if every
+partition in its manifest still has the same files; if one was rewritten or
+removed, the versions are computed from all partitions again.  Partitions that
+arrive late are not in the manifest, so they are added.  The merge result is
+always that of the full scan.
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tessera.operators.snapshot import VERSION_COLS
+from tessera.operators.snapshot import VERSION_COLS, history_versions
+from tessera.schemas import PARTITION_COLUMN
 from tessera.sinks.parquet import save_partitioned
+from tessera.sources.bronze import is_missing_path
 from tessera.sources.history import read_history
 
 ASOF = "asof"
@@ -32,58 +36,102 @@ VERSIONS_SCHEMA = StructType(
     + [StructField(c, StringType(), True) for c in VERSION_COLS]
     + [StructField("odate_n", IntegerType(), True)]
 )
+MANIFEST_SCHEMA = f"{PARTITION_COLUMN} string, files long, bytes long, modified timestamp"
+#: Snapshots kept; older ones are removed once a newer one is complete.
+KEEP = 2
 
 
 def compact(rows: DataFrame) -> DataFrame:
-    """Distinct (id, version) rows with the last day each was seen.
+    """Distinct (id, version) rows with the last day each was seen, from silver rows or compacted rows."""
+    if PARTITION_COLUMN in rows.columns:
+        return history_versions(rows)
+    return rows.groupBy("id", *VERSION_COLS).agg(F.max("odate_n").alias("odate_n"))
+
+
+def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if is_missing_path(err):
+            return None
+        raise
+
+
+def coverage(spark: SparkSession, silver_path: str, run_date: str) -> DataFrame:
+    """One row for each silver partition before ``run_date``: its files' number, bytes and newest time.
 
-    Accepts silver rows (``odate``) or already compacted rows (``odate_n``);
-    partial aggregation removes repeated daily copies before the shuffle.
+    Only file listings are read, by Spark; the files' contents are not.
     """
-    day = F.col("odate").try_cast("int") if "odate" in rows.columns else F.col("odate_n")
-    return (rows.where(F.col("id").isNotNull())
-                .select("id", *VERSION_COLS, day.alias("odate_n"))
-                .groupBy("id", *VERSION_COLS)
-                .agg(F.max("odate_n").alias("odate_n")))
+    base = silver_path.rstrip("/")
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(base)
+    except AnalysisException as err:
+        if is_missing_path(err):
+            return spark.createDataFrame([], MANIFEST_SCHEMA)
+        raise
+    if PARTITION_COLUMN not in files.columns:  # a folder without partitions
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    odate = F.col(PARTITION_COLUMN).cast("string")
+    return files.groupBy(odate.alias(PARTITION_COLUMN)).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified")
+    ).where(F.col(PARTITION_COLUMN) < run_date)
 
 
 def latest_snapshot(spark: SparkSession, versions_path: str, run_date: str) -> str | None:
-    """Latest ``asof`` at or before ``run_date`` (file-index metadata, no job)."""
-    try:
-        files = spark.read.schema(VERSIONS_SCHEMA).parquet(versions_path).inputFiles()
-    except Exception:  # missing store: no snapshot yet
+    """Latest ``asof`` at or before ``run_date`` that has a manifest (it is written last)."""
+    manifest = _read(spark, f"{versions_path.rstrip('/')}/manifest", f"{MANIFEST_SCHEMA}, {ASOF} string")
+    if manifest is None:
         return None
-    dates = {m.group(1) for f in files for m in [re.search(rf"/{ASOF}=(\d{{8}})/", f)] if m}
-    eligible = sorted(d for d in dates if d <= run_date)
-    return eligible[-1] if eligible else None
+    return manifest.where(F.col(ASOF) <= run_date).agg(F.max(ASOF)).first()[0]
 
 
-def read_versions(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> DataFrame:
-    """History versions for a run on ``run_date`` (compacted rows, ``odate_n``)."""
-    base_date = latest_snapshot(spark, versions_path, run_date)
-    silver = read_history(spark, silver_path, run_date)
-    if base_date is None:
-        return compact(silver)
-    base = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{versions_path.rstrip('/')}/{ASOF}={base_date}")
-    delta = silver.where(F.col("odate") >= F.lit(base_date))
-    return compact(base.unionByName(compact(delta)))
-
+def read_versions(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> tuple[DataFrame, list | None]:
+    """History versions for a run on ``run_date``, and the manifest rows to store with them.
 
-def write_versions(versions: DataFrame, versions_path: str, run_date: str) -> int:
-    """Store the versions used by the run on ``run_date`` as its snapshot."""
-    return save_partitioned(versions.select(*VERSIONS_SCHEMA.fieldNames()), versions_path, run_date,
-                            "versions", partition_column=ASOF)
+    The manifest is None if the run's own snapshot is up to date and served.
+    """
+    base = versions_path.rstrip("/")
+    silver = read_history(spark, silver_path, run_date)
+    now = {r[PARTITION_COLUMN]: r for r in coverage(spark, silver_path, run_date).collect()}  # a row a day
+    asof = latest_snapshot(spark, versions_path, run_date)
+    if asof is not None:
+        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/manifest/{ASOF}={asof}").collect()
+        held = {r[PARTITION_COLUMN]: r for r in manifest if r[PARTITION_COLUMN] is not None}
+        if all(now.get(d) == r for d, r in held.items()):
+            stored = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/data/{ASOF}={asof}")
+            added = sorted(set(now) - set(held))
+            if not added and asof == run_date:
+                return stored, None
+            delta = silver.where(F.col(PARTITION_COLUMN).isin(added)) if added else silver.limit(0)
+            return compact(stored.unionByName(compact(delta))), list(now.values())
+    return compact(silver), list(now.values())
+
+
+def drop_old(spark: SparkSession, versions_path: str, keep: int = KEEP) -> None:
+    """Remove all but the newest ``keep`` snapshots, manifests first, and the folder for snapshots being made."""
+    base = versions_path.rstrip("/")
+    manifest = _read(spark, f"{base}/manifest", f"{MANIFEST_SCHEMA}, {ASOF} string")
+    dates = sorted(r[0] for r in manifest.select(ASOF).distinct().collect()) if manifest is not None else []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = [f"{base}/{kind}/{ASOF}={date}" for date in dates[:-keep] for kind in ("manifest", "data")]
+    for folder in [*old, f"{base}/next"]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def prepare_versions(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> DataFrame:
-    """Make sure the snapshot ``asof=run_date`` exists and return it.
-
-    It is computed once (from the previous snapshot and the newer silver
-    partitions), written, and read back, so the merge reads compact rows.  A
-    rerun of the same day finds its snapshot and reuses it (silver partitions
-    before the run date do not change on a rerun).  A backfill of an earlier
-    day makes later snapshots stale; remove those before re-running later days.
-    """
-    if latest_snapshot(spark, versions_path, run_date) != run_date:
-        write_versions(read_versions(spark, versions_path, silver_path, run_date), versions_path, run_date)
-    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{versions_path.rstrip('/')}/{ASOF}={run_date}")
+    """The snapshot ``asof=run_date``, written first unless it is there and still true to the silver table."""
+    base = versions_path.rstrip("/")
+    versions, manifest = read_versions(spark, versions_path, silver_path, run_date)
+    if manifest is not None:
+        # Written aside first: the run's own outdated snapshot may be part of the plan.
+        rows = versions.select(*VERSIONS_SCHEMA.fieldNames())
+        save_partitioned(rows, f"{base}/next", run_date, "versions", partition_column=ASOF)
+        ready = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/next/{ASOF}={run_date}")
+        save_partitioned(ready, f"{base}/data", run_date, "versions", partition_column=ASOF)
+        # A snapshot that covers nothing has a manifest, too: one row without a partition.
+        listed = [tuple(r) for r in manifest] or [(None, 0, 0, None)]
+        save_partitioned(spark.createDataFrame(listed, MANIFEST_SCHEMA), f"{base}/manifest", run_date, "manifest", partition_column=ASOF)
+        drop_old(spark, versions_path)
+    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/data/{ASOF}={run_date}")
