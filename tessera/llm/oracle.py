@@ -26,7 +26,7 @@ stats AS (SELECT count(*) AS n_docs, sum(dl) / count(*) AS mean FROM lengths),
 idf AS (SELECT w, ln(1 + ((SELECT n_docs FROM stats) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM terms GROUP BY w),
 scored AS (
   SELECT q.doc_id AS query_id, d.doc_id AS id,
-         round(sum(q.n * i.idf * d.n * 2.2::DOUBLE / (d.n + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * l.dl / (SELECT mean FROM stats)))), 9) AS score
+         round(sum(q.n * i.idf * d.n * 2.2::DOUBLE / (d.n + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * l.dl / (SELECT mean FROM stats)))), 6) AS score
   FROM terms q JOIN terms d USING (w) JOIN idf i USING (w) JOIN lengths l ON l.doc_id = d.doc_id
   WHERE q.doc_id % 20 = 0 GROUP BY ALL)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id AS doc_id, score
