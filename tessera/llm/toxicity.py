@@ -22,10 +22,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from tessera.llm.common import split_words, text_slices
 
@@ -359,9 +361,6 @@ def toxicity_score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
 
 def without_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` that score below ``threshold``, all columns unchanged."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     scorer = _scorer(df.sparkSession, model)
 
     @pandas_udf("double")
