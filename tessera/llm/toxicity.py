@@ -183,10 +183,13 @@ def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) ->
     spaced = np.flatnonzero(pc.match_substring_regex(texts, r"(?:^|[\s])\S \S \S \S(?:$|[\s.,;:?!])").fill_null(False).to_numpy(zero_copy_only=False))
     for d in spaced.tolist():
         for run in _SPACED.findall(texts[d].as_py()):
-            more_words.append(restore(run.replace(" ", "")))
-            docs.append(np.array([d]))
-            words.append(np.array([at]))
-            at += 1
+            letters = run.replace(" ", "")
+            # A one-letter word may stand before or behind the spaced one.
+            for form in (letters, letters[1:], letters[:-1], letters[1:-1]):
+                more_words.append(restore(form))
+                docs.append(np.array([d]))
+                words.append(np.array([at]))
+                at += 1
     merged = pa.concat_arrays([plain, pa.array(more_words, plain.type)])
     return Words(merged, np.concatenate(docs), np.concatenate(words))
 
@@ -250,7 +253,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
-                 folds: int = 5, held_out: int = 0, rows_of_class: int = 50_000, max_features: int = 100_000, prior: float = 5.0) -> ToxicityModel:
+                 folds: int = 5, held_out: int = 0, rows_of_class: int = 50_000, max_features: int = 100_000, prior: float = 2.0) -> ToxicityModel:
     """Fit on the rows of ``df`` whose id has a label and whose crc32 fold is not ``held_out``.
 
     The character model counts the texts of all of ``df``.  At most

@@ -65,8 +65,8 @@ def test_held_out_rows(fitted):
     assert all(0 <= s <= 1 for s in scores.values())
 
 
-def test_obfuscated_documents_are_caught_and_clean_ones_left(spark, fitted):
-    docs, model = fitted
+def test_obfuscated_documents_are_caught_and_clean_ones_left(spark):
+    model = fit_toxicity(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
     clean = "Of the thing and heen anon er ou the stonti in and with that."
     rows = [(1, f"{clean} what an 1d10t {clean}"), (2, f"{clean} such a m 0 r 0 n {clean}"), (3, f"{clean} p@th3tic!!! {clean}"), (4, clean), (5, f"{clean} mail8.example.com 12.5 3e8 a b c d {clean}")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
