@@ -77,7 +77,7 @@ def log_weights(df: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_c
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 1):
             bucket, doc = ngram_buckets(batch.column(1))
-            weight = np.bincount(doc, shared.value[bucket], batch.num_rows)
+            weight = np.bincount(doc, shared.value[bucket], batch.num_rows).astype(float)  # of an empty batch it counts in integers
             u = ((batch.column(2).to_numpy().view(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
             key = weight / temperature - np.log(-np.log(u))
             bits = key.view(np.int64)
