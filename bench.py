@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,11 +43,10 @@ def run_noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     n = int(cpus) if cpus.isdigit() else os.cpu_count() or 8
     spark = local_session(cpus, max(8, 2 * n), app_name="tessera-bench", extra={
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-        "spark.local.dir": tempfile.mkdtemp(prefix="tessera-bench-local-"),
     })
     queries = registry.all_queries()
 
@@ -71,7 +69,7 @@ def main() -> None:
     fx.write_bronze_layout(spark, sf_dir, cfg.bronze_base)
     fx.write_history_table(spark, sf_dir, cfg.silver_path, late_copy_date=None)
     best = float("inf")
-    for _ in range(max(repeats, 3)):  # the first runs of the job path still warm up
+    for _ in range(repeats):
         t0 = time.perf_counter()
         silver_job.run(spark, cfg)
         best = min(best, time.perf_counter() - t0)
