@@ -11,8 +11,9 @@ Plan shape (aggregate *before* joining, so the join is 1:1 on unique keys):
 * new side: ``groupBy(id).agg(max(struct))`` picks one row per id; partial
   aggregation collapses a hot id inside each map task before the shuffle.
 * history side: one ``groupBy(id)`` with ``collect_set`` of the versions
-  (repeated daily copies of a version collapse map-side) and ``max(struct)``
-  for the latest version.
+  (equal versions collapse; each day still sends its own copy to the shuffle,
+  which ``tessera.sources.versions`` avoids) and ``max(struct)`` for the latest
+  version.
 * the two one-row-per-id sides are joined on ``id``; both are already
   hash-partitioned on ``id`` by their aggregations, so the join adds no
   exchange.  The change filter and entry construction are higher-order
@@ -74,9 +75,9 @@ def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
     rows (with ``odate_n``, see ``tessera.sources.versions``).
 
     A single aggregation, so the history side is shuffled once, on ``id``:
-    ``collect_set`` drops repeated versions inside each map task before the
-    shuffle (a review re-written unchanged every day collapses to one entry
-    per task), and ``max(struct(odate, ...))`` picks the latest version.
+    ``collect_set`` drops equal versions, within a map task before the shuffle
+    and across tasks after it, and ``max(struct(odate, ...))`` picks the latest
+    version.
     The set holds the distinct versions of one review, which is the size of
     its change history, the output shape itself.
     """

@@ -75,14 +75,18 @@ def check_run_date(run_date: str) -> None:
 
 
 def build(spark: SparkSession, cfg: JobConfig):
-    """Lazy plans of the run: (batch, Validated)."""
-    raw = read_segments(spark, cfg.bronze_base, cfg.run_date)
-    batch = normalize_reviews(raw)
+    """Plans of the run: (batch, Validated).
+
+    The normalised batch is marked for persisting, so the merge, the rows
+    without an id and the rows of duplicated ids share one bronze scan; the
+    caller releases it.
+    """
+    batch = normalize_reviews(read_segments(spark, cfg.bronze_base, cfg.run_date)).persist(StorageLevel.MEMORY_AND_DISK)
     if cfg.versions_path:
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:
         history = read_history(spark, cfg.silver_path, cfg.run_date)
-    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how, raw_batch=raw)
+    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
@@ -95,7 +99,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     also knows the run's segments, should a later step fail.
     """
     start = rm.RunClock.now()
-    client = None
+    batch = client = None
     try:
         check_run_date(cfg.run_date)
         batch, v = build(spark, cfg)
@@ -133,6 +137,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             except Exception as inner:  # the original error is what matters
                 log.error("could not write the failure document: %s", inner)
         raise
+    finally:
+        if batch is not None:
+            batch.unpersist()
 
 
 def rebuild_outputs(batch, checked: DataFrame, v):
