@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SLICE_BYTES, text_slices
+from tessera.llm.common import text_slices
 
 #: White space as the pre-tokeniser's \s sees it; a blank before one of these is not a word's own blank.
 SPACES = "[\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -224,7 +224,7 @@ def pack_examples(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     col.append(x)
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
 
-        for batch in text_slices(batches, 1, 2 * SLICE_BYTES):
+        for batch in text_slices(batches, 1):
             for doc, first, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), encoder.batch(batch.column(1))):
                 packer.add((doc, np.append(ids, np.uint32(end_id))), len(ids) + 1, max(first or 0, 0))
             if len(packer.out) >= 5000:
