@@ -107,11 +107,9 @@ def word_table(words: pa.Array) -> WordTable:
             h = (h * np.uint64(0x100000001B3)) ^ raw[starts + j]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        buckets.append((h >> np.uint64(48)).astype(np.int64))
-        owners.append(owner_of[starts])
-    bucket, owner = np.concatenate(buckets), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return WordTable(script, letter, length, bucket[order], owner[order])
+        buckets.append((h >> np.uint64(48)).astype(np.int32))
+        owners.append(owner_of[starts].astype(np.int32))
+    return WordTable(script, letter, length, np.concatenate(buckets), np.concatenate(owners))
 
 
 @dataclass
@@ -229,7 +227,7 @@ def label_languages(df: DataFrame, model: LanguageModel, id_col: str = "doc_id",
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, log_p, written, penalty, scale = shared.value
         names = pa.array([*languages, UNKNOWN])
-        for batch in text_slices(batches, 1, 8 << 20):
+        for batch in text_slices(batches, 1):
             n = batch.num_rows
             flat, offsets = split_words(batch.column(1))
             words = flat.dictionary_encode()
