@@ -3,7 +3,7 @@
 Words written in look-alike characters, with separators, spaced letters or
 repeated letters are restored first: their characters span a lattice (a
 look-alike may be one of several letters, a separator or a repetition may be
-nothing), and Viterbi decoding finds the cheapest path under the channel's
+nothing, a blank nothing or a word's edge), and Viterbi decoding finds the cheapest path under the channel's
 costs and a character language model counted over the whole corpus.  The
 restored words are then scored.
 
@@ -51,9 +51,10 @@ CODES = np.zeros(256, np.int64)
 for _i, _c in enumerate(b"abcdefghijklmnopqrstuvwxyz"):
     CODES[_c] = CODES[_c - 32] = _i + 1
 CODES[128:] = 27
-_TRIPLE = "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz")
-#: A word that needs decoding: a look-alike or separator beside a letter, or a letter three times.
-NOISY = r"[a-z][0-9@$!|+(<€£¡*]|[0-9@$!|+(<€£¡*][a-z]|[a-z][._\-~'`*,:;/\\\x{ad}\x{200b}-\x{200d}\x{2060}][a-z0-9@$!]|" + _TRIPLE
+_DOUBLE = "|".join(c * 2 for c in "abcdefghijklmnopqrstuvwxyz")
+_LOOK, _BREAK = "0-9@$!|+(<€£¡*", r"._\-~'`*,:;/\\\x{ad}\x{200b}-\x{200d}\x{2060}\p{Z}"
+#: A word that needs decoding: a look-alike beside a letter, any run of separators between them, or a letter twice.
+NOISY = f"[a-z][{_BREAK}]*[{_LOOK}]|[{_LOOK}][{_BREAK}]*[a-z]|[a-z][{_BREAK}]+[a-z]|{_DOUBLE}"
 #: Decoration at a word's end that stands for no letter.
 TAIL = r"(?:[#*!|~^=+.,:;?]|\${3,})+$"
 
@@ -101,13 +102,15 @@ def character_model(counts: np.ndarray, strength: float = 5.0) -> np.ndarray:
 
 
 def decode(word: str, model: np.ndarray) -> str:
-    """The most likely letters behind an obfuscated word, lower case."""
-    word = word.lower()
+    """The most likely letters behind an obfuscated word, lower case; blanks stand between words if there are several."""
+    word = " ".join(word.lower().split())
     wrap = SYMBOLS ** (ORDER - 1)
-    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    # Each state's cost and letters, the last one first: (letter, (letter before, ...)).
+    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
     before, times = "", 0
     for c in word:
-        times = times + 1 if c == before else 1
+        hidden = c in SEPARATORS or c == " "  # a letter counts as repeated across these
+        times = times if hidden else times + 1 if c == before else 1
         again = [] if times == 1 else [("", REPEAT if times == 2 else MORE)]
         if "a" <= c <= "z":
             options = [(c, 0.0), *again]
@@ -115,24 +118,35 @@ def decode(word: str, model: np.ndarray) -> str:
             options = [*((x, LOOK) for x in LOOKALIKES[c]), *again, ("", OTHER)]
         elif c == "*":
             options = [(x, STAR) for x in "abcdefghijklmnopqrstuvwxyz"] + [("", DROP)]
+        elif c == " ":
+            options = [("", DROP), (" ", 0.0)]
         elif c in SEPARATORS:
             options = [("", DROP)]
         else:
             options = [(c, 0.0)] if c.isalpha() else [("", OTHER)]
-        best: dict[int, tuple[float, str]] = {}
+        best: dict[int, tuple[float, tuple]] = {}
         for state, (cost, out) in states.items():
             for x, extra in options:
-                if x:
+                if x == " ":
+                    if not state:
+                        continue  # no word before this edge
+                    new, total = 0, cost + extra - float(model[state, EDGE])
+                elif x:
                     symbol = ord(x) - 96 if "a" <= x <= "z" else 27
                     new, total = (state * SYMBOLS + symbol) % wrap, cost + extra - float(model[state, symbol])
                 else:
                     new, total = state, cost + extra
                 if new not in best or total < best[new][0]:
-                    best[new] = (total, out + x)
+                    best[new] = (total, (x, out) if x else out)
         if len(best) > BEAM:  # only stars make so many states
-            best = dict(sorted(best.items(), key=lambda s: s[1])[:BEAM])
-        states, before = best, c
-    return min((cost - float(model[s, EDGE]), out) for s, (cost, out) in states.items())[1]
+            best = dict(sorted(best.items(), key=lambda s: s[1][0])[:BEAM])
+        states, before = best, before if hidden else c
+    _, out = min(((cost - float(model[s, EDGE]) if s or not out else cost, out) for s, (cost, out) in states.items()), key=lambda s: s[0])
+    letters = []
+    while out:
+        letters.append(out[0])
+        out = out[1]
+    return "".join(reversed(letters)).strip()
 
 
 # ---- words of texts, restored
@@ -146,11 +160,25 @@ class Words:
     word: np.ndarray
 
 
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+]) (?:(?:[^\W_]|[@$!|+]) ){2,}(?:[^\W_]|[@$!|+])(?![^\W_])")
+_MARKS = "".join(f"\\{c}" if c in "#.,-;:?\"')[]{}>'`~/\\" else c for c in dict.fromkeys(EDGES + SEPARATORS) if c not in " !(<*")
+_SIGNS = "@$!|+(<€£¡*"
+#: A run of single characters: white space, and maybe marks, between any two of them.
+_SINGLE = rf"(?:[^\W_]|[{_SIGNS}])"
+_SPACED = re.compile(rf"(?<![^\W_]){_SINGLE}(?:[!|+*]{{0,8}}[{_MARKS}]*\s[{_MARKS}\s]*{_SINGLE})+(?![^\W_])")
+#: A text that may hold such a run.
+SPACED = rf"(?:^|[^\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}{_SIGNS}][!|+*]{{0,8}}[{_MARKS}]*[\s\p{{Z}}\x0b\x1c-\x1f\x{{85}}][{_MARKS}\s\p{{Z}}\x0b\x1c-\x1f\x{{85}}]*[\p{{L}}\p{{N}}{_SIGNS}](?:$|[^\p{{L}}\p{{N}}])"
+
+
+def spaced_runs(text: str) -> Iterator[str]:
+    """The runs of single characters: two or more with white space alone between them, or four or more."""
+    for run in _SPACED.findall(text):
+        parts = run.split()
+        if all(len(p) == 1 for p in parts) or sum(bool(re.search(_SINGLE, p)) for p in parts) >= 4:
+            yield run
 
 
 def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) -> Words:
-    """The words of every text; obfuscated ones as decoded, and runs of four or more single characters joined."""
+    """The words of every text; obfuscated ones as decoded, and the words that runs of single characters spell."""
     flat, offsets = split_words(texts)
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     coded = flat.dictionary_encode()
@@ -161,16 +189,19 @@ def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) ->
     more_words: list[str] = []
     more_at: list[int] = []
 
-    def restore(w: str) -> str:
+    def restore(w: str) -> list[str]:
+        if len(w) > 100:  # too long to remember
+            return decode(w, model).split()
         if w not in known:
             if len(known) > 200_000:
                 known.clear()
             known[w] = decode(w, model)
-        return known[w]
+        return known[w].split()
 
     for i, w in zip(noisy.tolist(), plain.take(pa.array(noisy)).to_pylist()):
-        more_at.append(i)
-        more_words.append(restore(w))
+        for form in restore(w):
+            more_at.append(i)
+            more_words.append(form)
     # A restored form belongs to every document that holds the word.
     order = np.argsort(word, kind="stable")
     first = np.searchsorted(word[order], np.arange(len(raw) + 1))
@@ -180,13 +211,11 @@ def restored_words(texts: pa.Array, model: np.ndarray, known: dict[str, str]) ->
         docs.append(held)
         words.append(np.full(len(held), len(raw) + j))
     at = len(raw) + len(more_words)
-    spaced = np.flatnonzero(pc.match_substring_regex(texts, r"(?:^|[\s])\S \S \S \S(?:$|[\s.,;:?!])").fill_null(False).to_numpy(zero_copy_only=False))
+    spaced = np.flatnonzero(pc.match_substring_regex(texts, SPACED).fill_null(False).to_numpy(zero_copy_only=False))
     for d in spaced.tolist():
-        for run in _SPACED.findall(texts[d].as_py()):
-            letters = run.replace(" ", "")
-            # A one-letter word may stand before or behind the spaced one.
-            for form in (letters, letters[1:], letters[:-1], letters[1:-1]):
-                more_words.append(restore(form))
+        for run in spaced_runs(texts[d].as_py()):
+            for form in restore(run):
+                more_words.append(form)
                 docs.append(np.array([d]))
                 words.append(np.array([at]))
                 at += 1

@@ -56,6 +56,17 @@ def test_viterbi_finds_the_cheapest_of_all_paths():
     assert decode(word, model) == "".join(x for x, _ in best)
 
 
+def test_any_separators_blanks_and_doubled_letters(fitted):
+    """Every form reaches the lattice, and blanks in it are dropped or word edges."""
+    model = fitted[1].characters
+    forms = ("i--d--i--o--t", "i..d..i..o..t", "iiddiioott", "i d i o t", "i  d  i  o  t", "i\nd\ni\no\nt", "i\td\ti\to\tt", "i\u00a0d\u00a0i\u00a0o\u00a0t",
+             "i, d, i, o, t", "i - d - i - o - t", "(1 d ! 0 t)")
+    for form in forms:
+        assert "idiot" in restored_words(pa.array([f"so {form}."]), model, {}).words.to_pylist(), form
+    assert {"idiot", "moron"} <= set(restored_words(pa.array(["i d i o t m o r o n"]), model, {}).words.to_pylist())
+    assert "cat" in restored_words(pa.array(["c a t"]), character_model(np.ones(SYMBOLS**ORDER)), {}).words.to_pylist()
+
+
 def test_held_out_rows(fitted):
     docs, model = fitted
     labels = dict(frame(SF01, "SELECT doc_id, toxic FROM labels").itertuples(index=False))
