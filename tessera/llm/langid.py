@@ -1,7 +1,8 @@
 """Language spans of mixed text: script ranges, word scores, Viterbi over the words.
 
 A word's script (by Unicode ranges) narrows its candidate languages to those
-that were seen in that script.  Among them it scores by the log-probability of
+that were seen in that script; letters of no listed range are one more script,
+and where no language was seen, all are candidates.  Among them it scores by the log-probability of
 its letter runs under each language's model.  A text's words then get the
 sequence of languages with the best total score, where every change of
 language costs a penalty; equal neighbours form spans.  The text's language is
@@ -144,10 +145,10 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 times = np.bincount(codes[lang_of == i], minlength=len(table.script)).astype(float)
                 counts = total.setdefault(lang, np.zeros(n_buckets))
                 counts[:BUCKETS] += np.bincount(table.bucket, times[table.owner], BUCKETS)
-                counts[BUCKETS:] += np.bincount(table.script, times, len(SCRIPTS) + 1)
+                counts[BUCKETS:] += np.bincount(table.script, times * (table.letter | (table.script > 0)), len(SCRIPTS) + 1)
         for lang, counts in total.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(counts[at].astype(np.int64))], names=["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(counts[at].astype(np.int64))], names=["lang", "bucket", "n"])
 
     counted = rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(counted.column("lang").to_pylist()))
@@ -155,23 +156,21 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     if languages:
         place = pc.index_in(counted.column("lang"), pa.array(languages)).to_numpy()
         counts[counted.column("bucket").to_numpy(), place] = counted.column("n").to_numpy()
-    runs, scripts = counts[:BUCKETS], counts[BUCKETS:].copy()
+    runs, scripts = counts[:BUCKETS], counts[BUCKETS:]
     log_p = np.log((runs + smoothing) / (runs.sum(0) + smoothing * BUCKETS)).astype(np.float32)
-    scripts[0] = 0
     written = scripts >= np.maximum(1, SCRIPT_SHARE * scripts.sum(0))
     return LanguageModel(languages, log_p, written, penalty, scale)
 
 
 def word_scores(table: WordTable, log_p: np.ndarray, written: np.ndarray, scale: float) -> np.ndarray:
-    """Score of each distinct word under each language; a word without letters or candidates scores 0 everywhere."""
+    """Score of each distinct word under each language; a word without letters scores 0 everywhere, one without candidates by its letter runs alone."""
     n, languages = len(table.script), log_p.shape[1]
     out = np.zeros((n, languages))
     for k in range(languages):
         out[:, k] = np.bincount(table.owner, log_p[table.bucket, k], n) * scale
     fits = written[table.script]
-    known = fits.any(1) & table.letter
-    out[~fits & known[:, None]] -= 1e4
-    out[~known] = 0
+    out[~fits & fits.any(1)[:, None]] -= 1e4
+    out[~table.letter] = 0
     return out
 
 

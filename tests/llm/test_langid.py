@@ -51,6 +51,16 @@ def test_scripts_narrow_the_candidates():
     assert scores[0, 0] > scores[0, 1] and scores[1, 1] > scores[1, 0] and (scores[2:] == 0).all()
 
 
+def test_scripts_not_listed_and_rarely_used(spark):
+    """Words of Oriya and Thaana letters, and of a script below the share, count by their letter runs."""
+    latin = "the cat and the dog sat on the mat with that thing " * 20
+    rows = [(latin, "en"), ("ଓଡ଼ିଆ ଭାଷା ଭାରତର ଏକ ପ୍ରାଚୀନ ଭାଷା ଅଟେ " * 20, "or"), ("ދިވެހި ބަސް ރާއްޖޭގެ ބަހެކެވެ " * 20, "dv"), (latin + "λόγος", "zz")]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    texts = spark.createDataFrame([(1, "ପ୍ରାଚୀନ ଭାଷା"), (2, "ދިވެހި ބަސް"), (3, "λόγος λόγος"), (4, "the dog 12")], "doc_id long, text string")
+    found = {r.id: r.lang_pred for r in label_languages(texts, model).collect()}
+    assert (found[1], found[2], found[3]) == ("or", "dv", "zz") and found[4] in ("en", "zz")
+
+
 def test_odd_documents(spark):
     odd = odd_documents(spark)
     model = fit_languages(odd)
