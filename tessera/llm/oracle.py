@@ -70,4 +70,50 @@ SELECT d.doc_id, d.size, d.source_size, d.target,
 FROM drawn d LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN fits f ON d.source IS NOT DISTINCT FROM f.source
 """
 
-SQL: dict[str, str] = {"op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+#: crc32 of a string of digits, eight shifts a byte.
+CRC32 = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)), lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295)"
+
+#: Levels of the leaves of every lang, levels of their subroots, and every leaf's siblings from the bottom up.
+MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos FROM (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("CASE WHEN " + CRC32.format("doc_id::VARCHAR") + " % 7 = 0 THEN n_chars + 1 ELSE n_chars END")} AS tried FROM documents)),
+nodes AS (
+  SELECT lang, 0 AS level, pos, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(digest || coalesce(next, ''))
+  FROM (SELECT *, lead(digest) OVER w AS next, count(*) OVER (PARTITION BY lang) AS m FROM nodes WINDOW w AS (PARTITION BY lang ORDER BY pos)) WHERE pos % 2 = 0 AND m > 1),
+subroots AS (SELECT lang, max(level) AS depth, arg_max(digest, level) AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes GROUP BY lang),
+upper AS (
+  SELECT 0 AS level, place AS pos, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(digest || coalesce(next, ''))
+  FROM (SELECT *, lead(digest) OVER (ORDER BY pos) AS next, count(*) OVER () AS m FROM upper) WHERE pos % 2 = 0 AND m > 1),
+top AS (SELECT max(level) AS depth, arg_max(digest, level) AS root FROM upper),
+steps AS (
+  SELECT l.lang, l.pos, h.level, CASE WHEN (l.pos >> h.level) % 2 = 1 THEN '<' ELSE '>' END || coalesce(n.digest, '') AS sibling
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, LATERAL (SELECT unnest(range(s.depth)) AS level) h
+  LEFT JOIN nodes n ON n.lang IS NOT DISTINCT FROM l.lang AND n.level = h.level AND n.pos = xor(l.pos >> h.level, 1)),
+low AS (SELECT lang, pos, list(sibling ORDER BY level) AS path FROM steps GROUP BY lang, pos),
+high AS (
+  SELECT s.lang, list(CASE WHEN (s.place >> h.level) % 2 = 1 THEN '<' ELSE '>' END || coalesce(u.digest, '') ORDER BY h.level) AS path
+  FROM subroots s, (SELECT unnest(range(depth)) AS level FROM top) h LEFT JOIN upper u ON u.level = h.level AND u.pos = xor(s.place >> h.level, 1) GROUP BY s.lang),
+paths AS (
+  SELECT l.*, s.subroot, t.root, list_concat(coalesce(a.path, []), coalesce(b.path, [])) AS path
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, top t
+  LEFT JOIN low a ON a.lang IS NOT DISTINCT FROM l.lang AND a.pos = l.pos LEFT JOIN high b ON b.lang IS NOT DISTINCT FROM l.lang),
+folded AS (
+  SELECT *, list_reduce(list_prepend(tried, path), lambda x, s: sha256(CASE WHEN s[1] = '<' THEN s[2:] || x ELSE x || s[2:] END)) AS folded_root FROM paths)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+SQL: dict[str, str] = {"op11_manifest": MANIFEST, "op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}

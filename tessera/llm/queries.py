@@ -11,6 +11,7 @@ from tessera.llm.common import read_table
 from tessera.llm.embeddings import near_duplicate_vectors
 from tessera.llm.importance import fit_ratio, resample
 from tessera.llm.langid import fit_languages, label_languages
+from tessera.llm.manifest import field_digest, fold, manifest, siblings
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_examples
 from tessera.llm.pii import pseudonymise
@@ -88,5 +89,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_replaced")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, roots and proof of every document; where 7 divides crc32(doc_id) the proof is tried on a row with one character more."""
+    docs = read_table(spark, sf_dir, "documents")
+    rest = [F.col(c) for c in ("doc_id", "source", "lang")]
+    leaf = field_digest(*rest, F.col("n_chars"), F.col("text"))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, field_digest(*rest, F.try_add("n_chars", F.lit(1)), F.col("text")))
+    found = manifest(docs, leaf, "doc_id", "lang", carry={"tampered": tampered})
+    folded = found.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii)}
+    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii, op11_manifest)}
