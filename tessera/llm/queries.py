@@ -13,6 +13,7 @@ from tessera.llm.importance import fit_ratio, resample
 from tessera.llm.langid import fit_languages, label_languages
 from tessera.llm.manifest import field_digest, fold, manifest, siblings
 from tessera.llm.mixing import mix
+from tessera.llm.negatives import hard_negatives
 from tessera.llm.packing import pack_examples
 from tessera.llm.pii import pseudonymise
 from tessera.llm.repeats import remove_repeats
@@ -101,5 +102,11 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, at 80 to 100 per cent of a positive's score; every seventh label is changed first."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), label=changed, every=100, scale=256, positives=5, negatives=5, low=80, high=100)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii, op11_manifest)}
+    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii, op11_manifest, op12_negatives)}
