@@ -130,4 +130,12 @@ FROM positives p JOIN scored s USING (anchor_id) WHERE NOT s.same AND 80 * posit
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
 """
 
-SQL: dict[str, str] = {"op12_negatives": NEGATIVES, "op11_manifest": MANIFEST, "op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}
+#: The first page of every payload of at least 100 bytes is a response, the others revisit it.
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f
+"""
+
+SQL: dict[str, str] = {"op13_warc": WARC, "op12_negatives": NEGATIVES, "op11_manifest": MANIFEST, "op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}

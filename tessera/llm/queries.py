@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read_table
+from tessera.llm.common import materialise, read_table
 from tessera.llm.embeddings import near_duplicate_vectors
 from tessera.llm.importance import fit_ratio, resample
 from tessera.llm.langid import fit_languages, label_languages
@@ -20,6 +20,8 @@ from tessera.llm.repeats import remove_repeats
 from tessera.llm.search import search
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.toxicity import crc_mod, fit_toxicity, toxicity_score
+from tessera.llm.warc import convert, read_warc, resolved, write_arc
+from tessera.session import scratch_path
 
 #: The key of the pseudonyms; a user passes a secret of their own.
 PII_KEY = "demonstration key"
@@ -108,5 +110,15 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(read_table(spark, sf_dir, "embeddings"), label=changed, every=100, scale=256, positives=5, negatives=5, low=80, high=100)
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page in a legacy archive, converted to WARC and read back."""
+    path = scratch_path(spark, "archives")
+    write_arc(read_table(spark, sf_dir, "pages"), f"{path}/arc", url=F.col("url"), payload=F.col("html"), key=F.col("page_id"), key_field="X-Page-Id")
+    convert(spark, f"{path}/arc", f"{path}/warc", key_field="X-Page-Id")
+    found = resolved(materialise(read_warc(spark, f"{path}/warc", key_field="X-Page-Id", content=False).drop("payload"), "warc-index"))
+    return found.select(F.col("key").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"),
+                        F.col("first_key").alias("refers_to"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii, op11_manifest, op12_negatives)}
+    return {f.__name__: f for f in (op1_packing, op2_importance, op3_repeats, op4_toxicity, op5_language, op6_search, op7_simhash, op8_embeddings, op9_mixing, op10_pii, op11_manifest, op12_negatives, op13_warc)}
