@@ -22,19 +22,44 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 
-# The formats looked for.
+# Length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    """Compact or in groups of four."""
+    groups, rest = divmod(length - 4, 4)
+    return "(?:" + "|".join(countries.split()) + f")[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
+
+
+# The formats looked for.  Where one could end at several places, the likelier end stands first, by
+# its shape alone, so that the pseudonym is found again.  No group repeats without a bound, and no part of an address that could hold one.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])"
+_DIGIT = rf"(?:[ .-]?\(?(?!{_ISO})[0-9]\)?)"
+_PHONE_END = r"(?![0-9]|-[0-9])"
+_CARD_END = r"(?![0-9A-Za-z]|[.-][0-9])"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}(?![A-Za-z0-9-])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "iso_date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])",
     "date": r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9]|[./][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+            + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "nanp": r"(?<![0-9A-Za-z+])(?:1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])",
+    "phone": r"(?<![0-9A-Za-z+])\+(?:1(?:" + "|".join(f"{_DIGIT}{{{n}}}{_PHONE_END}" for n in ("10", "11,14", "7,9")) + f")|[2-9]{_DIGIT}{{7,14}}{_PHONE_END})",
+    "card": r"(?<![0-9A-Za-z.+-])(?:[0-9]{13,19}" + _CARD_END + "|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?:[ -][0-9]{3}" + _CARD_END + ")?" + _CARD_END
+            + "|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}" + _CARD_END + "|(?=[0-9]{3}|[0-9](?:[ -][0-9]){12})[0-9](?:[ -]?[0-9]){12,18}" + _CARD_END + ")",
 }
+#: Four groups of four digits and one of three: sixteen digits and a check number, or nineteen digits.
+_NINETEEN = "^[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{3}$"
+#: Steps a permutation goes on at most to leave the numbers that it must not give; each is needed one time in ten.
+WALK = 16
 #: Days that both a year of the 112 from 1920 and their product form share: no century year but 2000 lies among them.
 FIRST_DAY, LAST_DAY = "1920-01-01", "2031-12-31"
 #: The days of those years are 84 x 487, those of a leap year 6 x 61, of another 5 x 73.
@@ -134,12 +159,23 @@ def mod_97(text: Column) -> Column:
 
 
 def _card(m: Column, key: str, inverse: bool) -> Column:
-    def work(d: Column) -> Column:
+    """The first sixteen of nineteen grouped digits if they are valid, else all digits, which then become none whose first sixteen are."""
+    def renewed(d: Column) -> Column:
         body = F.concat(F.substring(d, 1, 1), permute_string(F.substring(d, F.lit(2), F.length(d) - 2), "0123456789", key, F.lit("card"), inverse))
-        new = let(body, use=lambda x: F.concat(x, F.pmod(10 - luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
-        return F.when(luhn_sum(d) % 10 == 0, refill(m, "0-9", new)).otherwise(m)
+        return let(body, use=lambda x: F.concat(x, F.pmod(10 - luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
-    return let(_digits(m), use=work)
+    def work(d: Column, grouped: Column) -> Column:
+        def head_valid(x: Column) -> Column:
+            return grouped & (luhn_sum(F.substring(x, 1, 16)) % 10 == 0)
+
+        part = let(F.when(head_valid(d), F.substring(d, 1, 16)).otherwise(d), use=lambda d: F.when(luhn_sum(d) % 10 == 0, renewed(d)))
+        steps = F.sequence(F.lit(1), F.when(grouped, F.lit(WALK)).otherwise(F.lit(1)))
+        # Sixteen digits and a number behind them need no further step; nineteen go on while their first sixteen are valid.
+        new = let(part, use=lambda x: F.when(F.length(x) < F.length(d), F.concat(x, F.substring(d, 17, 3))).otherwise(
+            F.when(grouped, F.aggregate(steps, x, lambda y, _: F.when(luhn_sum(F.substring(y, 1, 16)) % 10 == 0, renewed(y)).otherwise(y))).otherwise(x)))
+        return let(new, use=lambda x: F.when(x.isNotNull(), refill(m, "0-9", x)).otherwise(m))
+
+    return let(_digits(m), F.regexp_like(m, F.lit(_NINETEEN)), use=work)
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
@@ -274,7 +310,8 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text", *, inverse: bo
     Recognised, if valid: payment cards (Luhn), IBANs (mod 97), US social
     security numbers (ranges), North American and international phone numbers,
     IPv4 addresses, calendar dates (yyyy-MM-dd, dd.MM.yyyy, dd/MM/yyyy,
-    MM/dd/yyyy) and e-mail addresses.  ``count_col`` names a column to add
+    MM/dd/yyyy) and e-mail addresses (a local part of up to 64 characters, a
+    domain of up to 127 labels of 63).  ``count_col`` names a column to add
     with the number of values replaced (it takes the place of one of that name).  ``inverse`` restores the values.
 
     A null text stays null (count 0), an empty one empty.  Texts of any length
