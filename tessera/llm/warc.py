@@ -201,7 +201,8 @@ def _archives(records: Iterator, opening, separator: bytes) -> Iterator[pa.Recor
 
 def _write(archives: DataFrame, path: str, end: str) -> None:
     """A gzip file for each row; ``end`` follows the last record."""
-    (archives.select(F.col("data").cast("string").alias("value")).write.option("lineSep", end).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
+    (archives.select(F.col("data").cast("string").alias("value")).write.option("lineSep", end).option("maxRecordsPerFile", 1).option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
