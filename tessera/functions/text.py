@@ -4,14 +4,18 @@ The replaced job transliterated titles and snippets to ASCII with a
 row-at-a-time Python UDF and then upper-cased them.  Here the same folding
 is one expression tree:
 
-1. letters and symbols with a replacement of several characters, by
-   ``replace``, only in strings that hold one of them;
-2. one ``translate`` for every letter that becomes one character;
+1. one ``translate`` for every letter that becomes one character;
+2. letters and symbols with a replacement of several characters: the text is
+   cut at them once, and each one found is looked up in a table;
 3. combining marks after a Latin, Greek or Cyrillic letter removed, other
    scripts' marks kept;
 4. emoji, arrows, box drawing and other pictures removed;
 5. ``upper``.
 
+So a text is passed over a fixed number of times, whatever the size of the
+tables.  Steps 2 to 4 are for texts that the first step has not made ASCII,
+which their length in bytes tells.
+
 The tables are built by rule from ``unicodedata``: a character whose
 compatibility decomposition, without marks, is ASCII becomes that (accented
 letters, ordinals, fractions, full-width forms, ligatures, letter-like
@@ -70,19 +74,44 @@ def replacements() -> dict[str, str]:
     return out
 
 
+def _ranges(characters: list[str]) -> str:
+    """A character class of the blocks of 32 code points that hold the characters."""
+    blocks = sorted({ord(c) >> 5 for c in characters})
+    runs: list[list[int]] = []
+    for b in blocks:
+        if runs and runs[-1][1] == b - 1:
+            runs[-1][1] = b
+        else:
+            runs.append([b, b])
+    return "[" + "".join(f"\\x{{{a << 5:X}}}-\\x{{{(b << 5) + 31:X}}}" for a, b in runs) + "]"
+
+
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
+def _several(c: Column) -> Column:
+    """The characters with a longer replacement replaced: cut at them, looked up, joined."""
+    table = {k: v for k, v in replacements().items() if len(v) != 1}
+    ranges = _ranges(list(table))
+    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    found = F.transform(F.regexp_extract_all(c, F.lit(ranges), F.lit(0)), lambda x: F.coalesce(F.element_at(lookup, x), x))
+    pieces = F.split(c, ranges, -1)
+    joined = F.array_join(F.zip_with(pieces, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(c.rlike(ranges), joined).otherwise(c)
+
+
 def fold_accents(c: Column | str) -> Column:
     """ASCII-fold a string column (keeps case)."""
     col = F.col(c) if isinstance(c, str) else c
     single = {k: v for k, v in replacements().items() if len(v) == 1}
-    several = {k: v for k, v in replacements().items() if len(v) != 1}
-    longer = col
-    for ch, rep in several.items():
-        longer = F.replace(longer, F.lit(ch), F.lit(rep))
-    folded = F.when(col.rlike("[" + "".join(several) + "]"), longer).otherwise(col)
-    folded = F.translate(folded, "".join(single), "".join(single.values()))
-    folded = F.regexp_replace(folded, _MARKS, "$1")
-    folded = F.regexp_replace(folded, _PICTURES, "")
-    return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
+    letters = F.translate(col, "".join(single), "".join(single.values()))
+
+    def plain(c: Column) -> Column:
+        return F.when(_is_ascii(c), c).otherwise(F.regexp_replace(F.regexp_replace(c, _MARKS, "$1"), _PICTURES, ""))
+
+    rest = F.element_at(F.transform(F.array(_several(letters)), plain), 1)  # an array of one, so that the text is made once
+    return F.when(_is_ascii(col), col).when(_is_ascii(letters), letters).otherwise(rest)
 
 
 def fold_upper(c: Column | str) -> Column:

@@ -29,6 +29,7 @@ from tessera.session import checkpoint_dir
 from tessera.sinks.parquet import save_partitioned
 from tessera.sources.bronze import read_segments
 from tessera.sources.history import read_history
+from tessera.sources.spread import spread
 from tessera.sources.versions import prepare_versions
 
 log = logging.getLogger(__name__)
@@ -81,7 +82,7 @@ def build(spark: SparkSession, cfg: JobConfig):
     without an id and the rows of duplicated ids share one bronze scan; the
     caller releases it.
     """
-    batch = normalize_reviews(read_segments(spark, cfg.bronze_base, cfg.run_date)).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = normalize_reviews(spread(read_segments(spark, cfg.bronze_base, cfg.run_date))).persist(StorageLevel.MEMORY_AND_DISK)
     if cfg.versions_path:
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:

@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from tessera.operators.normalize import normalize_reviews
 from tessera.functions.text import fold_upper
+from tessera.sources.spread import spread
 
 RUN_DATE = "20240103"
 HISTORY_DATES = ("20240101", "20240102")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
