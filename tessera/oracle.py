@@ -189,6 +189,29 @@ hist4 AS (
 )"""
 NEXT_DAY_BASE = LAYOUT_BASE + (HIST4, merge_ctes("norm_l", "_d4", "hist4", NEXT_DAY))
 
+#: Ten days of reviews (every document), and the set of versions of every id on every day.
+TEN_DAYS = """
+ten AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 13 = 0 AND k IN (4, 5) THEN 'X ' || source ELSE source END AS app,
+         CAST(1 + ((doc_id + k) // 7) % 5 AS VARCHAR) AS rating,
+         CASE WHEN dup = 1 THEN '2024-02-01T12:00:00Z' ELSE '2024-02-01T00:00:00Z' END AS iso_date,
+         source AS title, text AS snippet, 20240200 + k AS day
+  FROM documents, (SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS k), (VALUES (0), (1)) t(dup)
+  WHERE (doc_id + k) % 17 <> 0 AND (dup = 0 OR (doc_id % 29 = 4 AND k % 2 = 0))
+),
+sets AS (
+  SELECT g.id, g.day, s.versions FROM (SELECT DISTINCT t.id, CAST(20240201 + r.i AS INTEGER) AS day FROM ten t, range(10) r(i)) g
+  LEFT JOIN (SELECT id, day, list_sort(list(DISTINCT concat_ws('|', iso_date, title, snippet, rating, app))) AS versions FROM ten GROUP BY id, day) s
+  ON s.id = g.id AND s.day = g.day
+),
+changes AS (SELECT *, lag(versions) OVER (PARTITION BY id ORDER BY day) AS before FROM sets)"""
+
+
+def as_of(day: int) -> str:
+    return (f"SELECT id, iso_date, title, snippet, rating, app, CAST(max(day) AS INTEGER) AS odate_n, '{day}' AS as_of "
+            f"FROM ten WHERE day < {day} GROUP BY id, iso_date, title, snippet, rating, app")
+
+
 PATHS = """
 paths AS (
   SELECT doc_id,
@@ -313,6 +336,11 @@ def all_sql() -> dict[str, str]:
             "GROUP BY id, iso_date, title, snippet, rating, app, as_of"),
         "store_late_partition": with_ctes(HIST_EVERY) + STORE.format(app="app"),
         "store_rewritten_day": with_ctes(HIST_EVERY) + STORE.format(app="CASE WHEN odate = '20240101' THEN 'fixed ' ELSE '' END || app"),
+        "store_ten_days": with_ctes(TEN_DAYS) + as_of(20240206) + " UNION ALL " + as_of(20240211),
+        "store_daily_writes": with_ctes(TEN_DAYS) + (
+            "SELECT CAST(day AS INTEGER) AS day, n AS rows_written, n AS event_rows, gone AS gone_rows FROM ("
+            "SELECT day, CAST(sum(CASE WHEN versions IS NOT DISTINCT FROM before THEN 0 WHEN versions IS NULL THEN 1 ELSE len(versions) END) AS BIGINT) AS n, "
+            "count(*) FILTER (WHERE versions IS NULL AND before IS NOT NULL) AS gone FROM changes GROUP BY day)"),
         "history_compact": with_ctes(HIST_EVERY)
         + ("SELECT id, iso_date, title, snippet, rating, app, max(CAST(odate AS INTEGER)) AS odate_n "
            f"FROM hist WHERE odate < '{RUN_DATE}' GROUP BY id, iso_date, title, snippet, rating, app"),
@@ -413,6 +441,10 @@ def all_sql() -> dict[str, str]:
         "quarantine_roundtrip": lb + f"SELECT {INVALID_COLS}, '{RUN_DATE}' AS odate FROM invalid_l",
         "rerun_empty_quarantine": b + (
             f"SELECT {INVALID_COLS}, '20240102' AS odate, CAST((SELECT count(*) FROM invalid) AS INTEGER) AS rows_kept, 0 AS rows_again FROM invalid"),
+        "publish_failed_write": with_ctes(HIST_EVERY) + (
+            "SELECT id, app, segmento, rating, iso_date, title, snippet, CAST(0 AS BIGINT) AS n_hist, '' AS history, odate, true AS write_failed FROM hist"),
+        "publish_over_plain": with_ctes(HIST_EVERY) + (
+            "SELECT id, CASE WHEN odate = '20240102' THEN 'fixed ' ELSE '' END || app AS app, segmento, rating, iso_date, title, snippet, odate FROM hist"),
         "job_valid": lb + "SELECT * FROM valid_l",
         "silver_next_day": with_ctes(*NEXT_DAY_BASE) + "SELECT * FROM valid_d4",
         "job_invalid": lb + "SELECT * FROM invalid_l",

@@ -26,7 +26,7 @@ from tessera.plans import run_metrics as rm
 from tessera.plans.validation import quality_summary, validate
 from tessera.schemas import INVALID_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA
 from tessera.session import checkpoint_dir
-from tessera.sinks.parquet import save_partitioned
+from tessera.sinks.publish import publish, read_table
 from tessera.sources.bronze import read_segments
 from tessera.sources.history import read_history
 from tessera.sources.spread import spread
@@ -93,11 +93,10 @@ def build(spark: SparkSession, cfg: JobConfig):
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     """Run one day.
 
-    Order matters: the merged frame reads the silver table (history) and is
-    persisted; writing to the silver table makes Spark refresh every cached
-    plan that reads that path.  So the one-row summary and the quarantine
-    output are produced first, and the silver write comes last.  The summary
-    also knows the run's segments, should a later step fail.
+    Both outputs are published: written aside, then committed by one record
+    each, so a run that fails leaves the tables as they were.  The summary
+    comes first; it knows the run's segments, should a later step fail.  The
+    silver table, which the next run reads as history, is committed last.
     """
     start = rm.RunClock.now()
     batch = client = None
@@ -113,12 +112,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         try:
             summary_row = quality_summary(checked).first().asDict()
             client = summary_row.pop("segments")
-            n_invalid = save_partitioned(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
+            n_invalid = publish(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
             preview_v, preview_i = [], []
             if cfg.env == ENV_PRE:
                 preview_v = v.valid.take(10)
                 preview_i = v.invalid.take(10)
-            n_valid = save_partitioned(v.valid, cfg.silver_path, cfg.run_date, "valid", schema=SILVER_SCHEMA)
+            n_valid = publish(v.valid, cfg.silver_path, cfg.run_date, "valid", schema=SILVER_SCHEMA)
         finally:
             if cfg.materialize != "checkpoint":
                 checked.unpersist()
@@ -156,10 +155,10 @@ QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in INVA
 
 
 def read_back(spark: SparkSession, path: str, schema: StructType = SILVER_SCHEMA) -> DataFrame:
-    """Read an output table with its declared schema; ``odate`` stays a string
-    (no partition type inference)."""
-    full = StructType(list(schema.fields) + [StructField(PARTITION_COLUMN, StringType(), True)])
-    return spark.read.schema(full).parquet(path)
+    """Read an output table with its declared schema, as its newest commit has
+    it; ``odate`` stays a string (no partition type inference)."""
+    df = read_table(spark, path, schema)
+    return df if df is not None else spark.createDataFrame([], StructType([*schema.fields, StructField(PARTITION_COLUMN, StringType(), True)]))
 
 
 def main(argv: list[str] | None = None) -> int:

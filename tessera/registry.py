@@ -23,11 +23,13 @@ from tessera.plans import run_metrics as rm
 from tessera.plans import silver_job, validation
 from tessera.schemas import INVALID_COLUMNS, SILVER_SCHEMA
 from tessera.session import scratch_path
+from tessera.sinks.files import create_text
 from tessera.sinks.parquet import conform, save_partitioned
+from tessera.sinks.publish import LOG, current, publish
 from tessera.sources import bronze as bronze_src
 from tessera.sources import fixtures as fx
 from tessera.sources.history import read_history
-from tessera.sources.versions import VERSIONS_SCHEMA, prepare_versions
+from tessera.sources.versions import VERSIONS_SCHEMA, prepare_versions, stored_events, update
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,7 +119,7 @@ def _store_days(spark, sf_dir, days: list[str], root: str):
 def q_store_first_day(spark, sf_dir):
     """The store on a day without any earlier silver partition (no rows), then on the next two."""
     root = scratch_path(spark, "store-first")
-    out = scratch_path(spark, "store-first-out")  # copied: a snapshot goes once two newer ones are there
+    out = scratch_path(spark, "store-first-out")
     first = prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.HISTORY_DATES[0])
     first.withColumn("as_of", F.lit(fx.HISTORY_DATES[0])).write.parquet(out)
     for day, before in ((fx.HISTORY_DATES[1], [fx.HISTORY_DATES[0]]), (fx.RUN_DATE, [fx.HISTORY_DATES[1]])):
@@ -146,6 +148,33 @@ def q_store_rewritten_day(spark, sf_dir):
     return prepare_versions(spark, f"{root}/versions", f"{root}/silver", "20240104")
 
 
+def _ten_days(spark, sf_dir) -> tuple[str, list[tuple[str, int]]]:
+    """A store brought up to date on each of ten days and on the day after; the rows written each time."""
+    root = scratch_path(spark, "store-ten")
+    rows = fx.ten_days(spark, sf_dir).withColumn("historical_data", quality.empty_history()).persist()
+    written = []
+    for day, after in zip(fx.TEN_DAYS, [*fx.TEN_DAYS[1:], "20240211"]):
+        publish(rows.where(F.col("odate") == day).select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day)
+        written.append((day, update(spark, f"{root}/versions", f"{root}/silver", after)))
+    rows.unpersist()
+    return root, written
+
+
+def q_store_ten_days(spark, sf_dir):
+    """The versions that the incremental store gives after ten days, and as of the sixth."""
+    root, _ = _ten_days(spark, sf_dir)
+    sixth, last = (prepare_versions(spark, f"{root}/versions", f"{root}/silver", d).withColumn("as_of", F.lit(d)) for d in ("20240206", "20240211"))
+    return sixth.unionByName(last)
+
+
+def q_store_daily_writes(spark, sf_dir):
+    """Rows that the store wrote on each of ten days, and those it holds of that day: the changes, not the day's reviews."""
+    root, written = _ten_days(spark, sf_dir)
+    held = stored_events(spark, f"{root}/versions").groupBy("day").agg(F.count("*").alias("event_rows"), F.count_if("gone").alias("gone_rows"))
+    wrote = spark.createDataFrame([(int(d), n) for d, n in written], "day int, rows_written long")
+    return wrote.join(held, "day", "left").select("day", "rows_written", F.coalesce("event_rows", F.lit(0)).alias("event_rows"), F.coalesce("gone_rows", F.lit(0)).alias("gone_rows"))
+
+
 def q_merge_no_history(spark, sf_dir):
     empty = spark.createDataFrame([], fx.hist(spark, sf_dir).schema)
     merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir, every=True), empty, fx.RUN_DATE)
@@ -330,6 +359,35 @@ def q_rerun_empty_quarantine(spark, sf_dir):
     return back.select(*INVALID_COLUMNS, "odate", F.lit(kept).alias("rows_kept"), F.lit(again).alias("rows_again"))
 
 
+def q_publish_failed_write(spark, sf_dir):
+    """A published partition after a write that fails on its last review, a record that breaks off, and a commit of another day."""
+    path = scratch_path(spark, "publish") + "/silver"
+    rows = fx.hist(spark, sf_dir, every=True).withColumn("historical_data", quality.empty_history()).persist()
+    first, second = (rows.where(F.col("odate") == d).select(*[f.name for f in SILVER_SCHEMA.fields]) for d in fx.HISTORY_DATES)
+    publish(first, path, fx.HISTORY_DATES[0])
+    last = rows.agg(F.max(F.col("id").cast("long"))).first()[0]
+    broken = second.withColumn("title", F.when(F.col("id") == str(last), F.raise_error(F.lit("broken review")).cast("string")).otherwise(F.col("title")))
+    failed = False
+    try:
+        publish(broken, path, fx.HISTORY_DATES[0])
+    except Exception as err:
+        failed = "broken review" in str(err)
+    create_text(spark, f"{path}/{LOG}/{current(spark, path).number + 1:012d}.json", "0000\n{")
+    publish(second, path, fx.HISTORY_DATES[1])
+    rows.unpersist()
+    return flatten_history(silver_job.read_back(spark, path)).select(*SILVER_FLAT, "odate", F.lit(failed).alias("write_failed"))
+
+
+def q_publish_over_plain(spark, sf_dir):
+    """Two plain partitions, one of them published anew with other apps: the other stays as it is."""
+    path = scratch_path(spark, "publish") + "/silver"
+    fx.write_history_table(spark, sf_dir, path, late_copy_date=None, every=True)
+    fixed = fx.hist(spark, sf_dir, every=True).where(F.col("odate") == fx.HISTORY_DATES[1]).withColumns(
+        {"app": F.concat(F.lit("fixed "), "app"), "historical_data": quality.empty_history()})
+    publish(fixed.select(*[f.name for f in SILVER_SCHEMA.fields]), path, fx.HISTORY_DATES[1])
+    return read_history(spark, path, fx.RUN_DATE)
+
+
 def q_job_valid(spark, sf_dir):
     cfg = _run_job(spark, sf_dir, runs=1)
     back = silver_job.read_back(spark, cfg.silver_path).where(F.col("odate") == fx.RUN_DATE)
@@ -402,6 +460,8 @@ def all_queries() -> dict[str, Query]:
         "store_first_day": q_store_first_day,
         "store_late_partition": q_store_late_partition,
         "store_rewritten_day": q_store_rewritten_day,
+        "store_ten_days": q_store_ten_days,
+        "store_daily_writes": q_store_daily_writes,
         "merge_no_history": q_merge_no_history,
         # projections
         "accent_fold": q_accent_fold,
@@ -437,6 +497,8 @@ def all_queries() -> dict[str, Query]:
         "silver_roundtrip": q_silver_roundtrip,
         "quarantine_roundtrip": q_quarantine_roundtrip,
         "rerun_empty_quarantine": q_rerun_empty_quarantine,
+        "publish_failed_write": q_publish_failed_write,
+        "publish_over_plain": q_publish_over_plain,
         "job_valid": q_job_valid,
         "job_invalid": q_job_invalid,
         "silver_next_day": q_silver_next_day,

@@ -106,6 +106,27 @@ def hist(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     )
 
 
+#: Ten days of one table; a few reviews change, go or come back each day.
+TEN_DAYS = tuple(f"202402{k:02d}" for k in range(1, 11))
+
+
+def ten_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a review on each of ten days: its rating changes every seventh day, its app on two
+    days only (and back), it is missing on some day, and some have two rows on even days."""
+    doc_id, k = F.col("doc_id"), F.col("k")
+    d = documents(spark, sf_dir).select("doc_id", "source", "text", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("k"))
+    d = d.where((doc_id + k) % 17 != 0)
+    copies = F.when((doc_id % 29 == 4) & (k % 2 == 0), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = d.select("*", F.explode(copies).alias("dup"))
+    return d.select(
+        doc_id.cast("string").alias("id"),
+        F.when((doc_id % 13 == 0) & k.isin(4, 5), F.concat(F.lit("X "), "source")).otherwise(F.col("source")).alias("app"),
+        F.lit("pf").alias("segmento"),
+        (F.lit(1) + F.floor((doc_id + k) / 7) % 5).cast("string").alias("rating"),
+        F.when(F.col("dup") == 1, F.lit("2024-02-01T12:00:00Z")).otherwise(F.lit("2024-02-01T00:00:00Z")).alias("iso_date"),
+        F.col("source").alias("title"), F.col("text").alias("snippet"), F.format_string("202402%02d", "k").alias("odate"))
+
+
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings as delivered text: numeric, 'n/a' or null."""
     doc_id = F.col("doc_id")

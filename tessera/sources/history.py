@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.schemas import HISTORY_READ_SCHEMA, PARTITION_COLUMN
-from tessera.sources.bronze import is_missing_path
+from tessera.sinks.publish import current, plain_partitions, read_table
 
 log = logging.getLogger(__name__)
 
@@ -23,37 +21,20 @@ def empty_history(spark: SparkSession) -> DataFrame:
 
 
 def read_history(spark: SparkSession, silver_path: str, run_date: str | None = None) -> DataFrame:
-    """All ``odate=*`` partitions of the silver table strictly before ``run_date``.
+    """All ``odate`` partitions of the silver table strictly before ``run_date``.
 
-    The table folder is read with partition discovery (``odate`` stays a
-    string column, as declared in the schema); the cut-off compares the raw
-    partition string (yyyyMMdd sorts as text), so it is a partition filter
-    and pruned partitions are never read.  A missing table gives a typed
-    empty frame.
+    Published partitions come from the newest commit, plain ones by partition
+    discovery (``odate`` stays a string column, as declared in the schema).
+    The cut-off compares the partition string (yyyyMMdd sorts as text), so
+    later partitions are never read.  A missing table gives a typed empty frame.
     """
-    base = silver_path.rstrip("/")
-    try:
-        df = spark.read.schema(HISTORY_READ_SCHEMA).parquet(base)
-    except AnalysisException as err:
-        if is_missing_path(err):
-            log.warning("no history at %s", base)
-            return empty_history(spark)
-        raise
-    if run_date is not None:
-        df = df.where(F.col(PARTITION_COLUMN) < F.lit(run_date))
+    df = read_table(spark, silver_path, HISTORY_READ_SCHEMA, before=run_date)
+    if df is None:
+        log.warning("no history at %s", silver_path)
+        return empty_history(spark)
     return df.select(*HISTORY_COLUMNS)
 
 
 def history_exists(spark: SparkSession, silver_path: str) -> bool:
-    """Does the silver table exist and have at least one ``odate=`` partition?
-
-    The largest partition value is asked for; it comes from the partition
-    column alone, so no file names travel to Python.
-    """
-    try:
-        df = spark.read.schema(HISTORY_READ_SCHEMA).parquet(silver_path.rstrip("/"))
-    except AnalysisException as err:
-        if is_missing_path(err):
-            return False
-        raise
-    return df.agg(F.max(PARTITION_COLUMN)).first()[0] is not None
+    """Does the silver table exist and have at least one ``odate`` partition?  Names alone are looked at."""
+    return bool(current(spark, silver_path).partitions or plain_partitions(spark, silver_path))

@@ -1,137 +1,163 @@
-"""Compacted history: distinct review versions instead of every daily copy.
+"""Incremental history: what changed each day instead of every daily copy.
 
 The merge needs, per id, the distinct earlier versions and the latest one.
 Silver keeps a full copy of every review every day, so scanning all earlier
-partitions costs O(days x reviews) and grows each day.  This store keeps one
-row per (id, version) with the last day it was seen (``odate_n``), as a
-snapshot ``data/asof=<run date>``, and beside it a manifest of the silver
-partitions that the snapshot covers, with the number, size and newest time of
-their files:
-
-    versions(asof=R) = compact(versions(asof=A) + silver partitions < R not in A's manifest)
-
-where A is the latest snapshot at or before R.  A snapshot serves only if every
-partition in its manifest still has the same files; if one was rewritten or
-removed, the versions are computed from all partitions again.  Partitions that
-arrive late are not in the manifest, so they are added.  The merge result is
-always that of the full scan.
+partitions costs O(days x reviews) and grows each day.  This store keeps
+*events*: on day D an id's versions (nearly always one) became these, or the
+id was gone.  ``prior`` is the partition before D, the last day on which what
+stood before still stood.  An unchanged review has no event, so a day's write is
+in proportion to that day's changes, deletions included.
+
+An event's versions were last seen on the ``prior`` of the id's next event, or
+on the last day covered if there is none, so the store gives the same rows as a full scan
+(``history_versions``): every distinct (id, version) with its last day.  Events
+after a run date are left out, so a run can be repeated for an earlier day.
+
+    part=base-<day>    the events up to a day
+    part=delta-<day>   the events of later days
+
+When the deltas' bytes exceed ``RATIO`` of the base's they are merged into a
+new base.  All of that is a published table (``tessera.sinks.publish``): each step
+is one commit, whose properties list the silver partitions covered and what
+their files were.  A partition that was rewritten or removed, or that arrives before
+a covered one, lets the events be computed from all partitions again.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tessera.operators.snapshot import VERSION_COLS, history_versions
 from tessera.schemas import PARTITION_COLUMN
-from tessera.sinks.parquet import save_partitioned
-from tessera.sources.bronze import is_missing_path
+from tessera.sinks.publish import State, commit, current, plain_partitions, read_table, vacuum, write_aside
 from tessera.sources.history import read_history
 
-ASOF = "asof"
-VERSIONS_SCHEMA = StructType(
-    [StructField("id", StringType(), True)]
-    + [StructField(c, StringType(), True) for c in VERSION_COLS]
-    + [StructField("odate_n", IntegerType(), True)]
-)
-MANIFEST_SCHEMA = f"{PARTITION_COLUMN} string, files long, bytes long, modified timestamp"
-#: Snapshots kept; older ones are removed once a newer one is complete.
-KEEP = 2
+PART = "part"
+_VERSION = [StructField(c, StringType(), True) for c in VERSION_COLS]
+VERSIONS_SCHEMA = StructType([StructField("id", StringType(), True), *_VERSION, StructField("odate_n", IntegerType(), True)])
+#: An event's row for each version; ``gone`` rows have none.
+EVENTS_SCHEMA = StructType([StructField("id", StringType(), True), *_VERSION, StructField("day", IntegerType(), True),
+                            StructField("prior", IntegerType(), True), StructField("gone", BooleanType(), True)])
+#: Bytes of deltas, in base bytes, above which a new base is written.
+RATIO = 0.5
 
 
 def compact(rows: DataFrame) -> DataFrame:
-    """Distinct (id, version) rows with the last day each was seen, from silver rows or compacted rows."""
-    if PARTITION_COLUMN in rows.columns:
-        return history_versions(rows)
-    return rows.groupBy("id", *VERSION_COLS).agg(F.max("odate_n").alias("odate_n"))
+    """Distinct (id, version) rows with the last day each was seen, from silver rows."""
+    return history_versions(rows)
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:
-        if is_missing_path(err):
-            return None
-        raise
+def coverage(spark: SparkSession, silver_path: str, run_date: str) -> dict[str, str]:
+    """For each silver partition before ``run_date`` what tells its files apart: the published version, else number, bytes and newest time.
 
-
-def coverage(spark: SparkSession, silver_path: str, run_date: str) -> DataFrame:
-    """One row for each silver partition before ``run_date``: its files' number, bytes and newest time.
-
-    Only file listings are read, by Spark; the files' contents are not.
+    Only names and listings are read; the files' contents are not.
     """
     base = silver_path.rstrip("/")
-    try:
+    out = {d: x.version for d, x in current(spark, base).partitions.items() if d < run_date}
+    plain = [d for d in plain_partitions(spark, base) if d not in out and d < run_date]
+    if plain:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(base)
-    except AnalysisException as err:
-        if is_missing_path(err):
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-        raise
-    if PARTITION_COLUMN not in files.columns:  # a folder without partitions
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    odate = F.col(PARTITION_COLUMN).cast("string")
-    return files.groupBy(odate.alias(PARTITION_COLUMN)).agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified")
-    ).where(F.col(PARTITION_COLUMN) < run_date)
-
-
-def latest_snapshot(spark: SparkSession, versions_path: str, run_date: str) -> str | None:
-    """Latest ``asof`` at or before ``run_date`` that has a manifest (it is written last)."""
-    manifest = _read(spark, f"{versions_path.rstrip('/')}/manifest", f"{MANIFEST_SCHEMA}, {ASOF} string")
-    if manifest is None:
-        return None
-    return manifest.where(F.col(ASOF) <= run_date).agg(F.max(ASOF)).first()[0]
-
-
-def read_versions(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> tuple[DataFrame, list | None]:
-    """History versions for a run on ``run_date``, and the manifest rows to store with them.
-
-    The manifest is None if the run's own snapshot is up to date and served.
+        odate = F.col(PARTITION_COLUMN).cast("string")
+        found = files.groupBy(odate.alias("d")).agg(F.concat_ws(":", F.count("*"), F.sum("length"), F.max(F.unix_micros("modificationTime"))).alias("f")).where(F.col("d").isin(plain))
+        out.update({r["d"]: r["f"] for r in found.collect()})  # a row a day
+    return out
+
+
+def events(rows: DataFrame, days: list[int], known: int | None = None) -> DataFrame:
+    """Events of the rows (id, version columns, ``odate_n``) over the covered ``days``.
+
+    ``known`` is a day that stands for what the store holds already: its rows
+    are compared with, but give no events of their own.
     """
-    base = versions_path.rstrip("/")
+    spark = rows.sparkSession
+    near = spark.createDataFrame([(d, a, b) for a, d, b in zip([None, *days], days, [*days[1:], None])], "odate_n int, prior int, next int")
+    sets = rows.where(F.col("id").isNotNull()).groupBy("id", "odate_n").agg(F.array_sort(F.collect_set(F.struct(*VERSION_COLS))).alias("versions")).join(near, "odate_n")
+    w = Window.partitionBy("id").orderBy("odate_n")
+    same = (F.lag("odate_n").over(w) == F.col("prior")) & F.lag("versions").over(w).eqNullSafe(F.col("versions"))
+    seen = sets.withColumns({"same": F.coalesce(same, F.lit(False)), "left": F.col("next").isNotNull() & ~F.lead("odate_n").over(w).eqNullSafe(F.col("next"))})
+    set_here = F.transform("versions", lambda v: F.struct(*[v[c].alias(c) for c in VERSION_COLS], F.col("odate_n").alias("day"), F.col("prior").alias("prior"), F.lit(False).alias("gone")))
+    gone_next = F.struct(*[F.lit(None).cast("string").alias(c) for c in VERSION_COLS], F.col("next").alias("day"), F.col("odate_n").alias("prior"), F.lit(True).alias("gone"))
+    kind = ArrayType(StructType(EVENTS_SCHEMA.fields[1:]))
+    none = F.array().cast(kind)
+    made = F.concat(F.when(F.col("same"), none).otherwise(set_here.cast(kind)), F.when(F.col("left"), F.array(gone_next).cast(kind)).otherwise(none))
+    out = seen.select("id", F.explode(made).alias("e")).select("id", "e.*")
+    return out if known is None else out.where(F.col("day") > known)
+
+
+def standing(stored: DataFrame, day: int) -> DataFrame:
+    """The rows (id, version columns, ``odate_n`` = ``day``) that stand after the last event of each id."""
+    last = F.max("day").over(Window.partitionBy("id"))
+    return stored.withColumn("last", last).where((F.col("day") == F.col("last")) & ~F.col("gone")).select("id", *VERSION_COLS, F.lit(day).alias("odate_n"))
+
+
+def versions_of(stored: DataFrame, last_day: int) -> DataFrame:
+    """Distinct (id, version) rows with the last day each was seen; partitioned by id, so that a grouping by id needs no further exchange."""
+    later = Window.partitionBy("id").orderBy("day").rangeBetween(1, Window.unboundedFollowing)
+    until = F.coalesce(F.min(F.struct("day", "prior")).over(later)["prior"], F.lit(last_day))
+    return stored.withColumn("until", until).where(~F.col("gone")).groupBy("id", *VERSION_COLS).agg(F.max("until").alias("odate_n"))
+
+
+def stored_events(spark: SparkSession, versions_path: str) -> DataFrame:
+    df = read_table(spark, versions_path, EVENTS_SCHEMA, PART)
+    return (df if df is not None else spark.createDataFrame([], EVENTS_SCHEMA)).select(*EVENTS_SCHEMA.fieldNames())
+
+
+def _days(rows: DataFrame) -> DataFrame:
+    return rows.select("id", *VERSION_COLS, F.col(PARTITION_COLUMN).try_cast("int").alias("odate_n"))
+
+
+def _rewrite(spark: SparkSession, versions_path: str, rows: DataFrame, day: str, covered: dict[str, str]) -> None:
+    """A new base in place of all parts."""
+    made = write_aside(rows.select(*EVENTS_SCHEMA.fieldNames()), versions_path, f"base-{day}", PART)
+
+    def change(state: State) -> None:
+        state.partitions = {f"base-{day}": made}
+        state.properties = {"covered": covered}
+
+    commit(spark, versions_path, change)
+    vacuum(spark, versions_path, PART)
+
+
+def update(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> int:
+    """Bring the store up to the silver partitions before ``run_date``; the number of event rows written."""
+    now = coverage(spark, silver_path, run_date)
+    state = current(spark, versions_path)
+    held: dict[str, str] = state.properties.get("covered", {})
+    added = sorted(set(now) - set(held))
     silver = read_history(spark, silver_path, run_date)
-    now = {r[PARTITION_COLUMN]: r for r in coverage(spark, silver_path, run_date).collect()}  # a row a day
-    asof = latest_snapshot(spark, versions_path, run_date)
-    if asof is not None:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/manifest/{ASOF}={asof}").collect()
-        held = {r[PARTITION_COLUMN]: r for r in manifest if r[PARTITION_COLUMN] is not None}
-        if all(now.get(d) == r for d, r in held.items()):
-            stored = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/data/{ASOF}={asof}")
-            added = sorted(set(now) - set(held))
-            if not added and asof == run_date:
-                return stored, None
-            delta = silver.where(F.col(PARTITION_COLUMN).isin(added)) if added else silver.limit(0)
-            return compact(stored.unionByName(compact(delta))), list(now.values())
-    return compact(silver), list(now.values())
-
-
-def drop_old(spark: SparkSession, versions_path: str, keep: int = KEEP) -> None:
-    """Remove all but the newest ``keep`` snapshots, manifests first, and the folder for snapshots being made."""
-    base = versions_path.rstrip("/")
-    manifest = _read(spark, f"{base}/manifest", f"{MANIFEST_SCHEMA}, {ASOF} string")
-    dates = sorted(r[0] for r in manifest.select(ASOF).distinct().collect()) if manifest is not None else []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    old = [f"{base}/{kind}/{ASOF}={date}" for date in dates[:-keep] for kind in ("manifest", "data")]
-    for folder in [*old, f"{base}/next"]:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    if any(now.get(d) != f for d, f in held.items() if d < run_date) or (held and added and added[0] < max(held)):
+        days = [int(d) for d in sorted(now)]
+        _rewrite(spark, versions_path, events(_days(silver), days), run_date, now)
+        return sum(x.rows for x in current(spark, versions_path).partitions.values())
+    if not added:
+        return 0
+    last = int(max(held)) if held else None
+    rows = _days(silver.where(F.col(PARTITION_COLUMN).isin(added)))
+    if last is not None:
+        rows = rows.unionByName(standing(stored_events(spark, versions_path), last))
+    found = events(rows, [*([last] if last is not None else []), *map(int, added)], last)
+    part = f"delta-{added[-1]}" if held else f"base-{added[-1]}"
+    made = write_aside(found.select(*EVENTS_SCHEMA.fieldNames()), versions_path, part, PART)
+
+    def change(state: State) -> None:
+        state.partitions[part] = made
+        state.properties = {"covered": {**held, **{d: now[d] for d in added}}}
+
+    state = commit(spark, versions_path, change)
+    base = sum(x.bytes for k, x in state.partitions.items() if k.startswith("base-"))
+    if sum(x.bytes for k, x in state.partitions.items() if k.startswith("delta-")) > RATIO * base:
+        _rewrite(spark, versions_path, stored_events(spark, versions_path), added[-1], state.properties["covered"])
+    return made.rows
 
 
 def prepare_versions(spark: SparkSession, versions_path: str, silver_path: str, run_date: str) -> DataFrame:
-    """The snapshot ``asof=run_date``, written first unless it is there and still true to the silver table."""
-    base = versions_path.rstrip("/")
-    versions, manifest = read_versions(spark, versions_path, silver_path, run_date)
-    if manifest is not None:
-        # Written aside first: the run's own outdated snapshot may be part of the plan.
-        rows = versions.select(*VERSIONS_SCHEMA.fieldNames())
-        save_partitioned(rows, f"{base}/next", run_date, "versions", partition_column=ASOF)
-        ready = spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/next/{ASOF}={run_date}")
-        save_partitioned(ready, f"{base}/data", run_date, "versions", partition_column=ASOF)
-        # A snapshot that covers nothing has a manifest, too: one row without a partition.
-        listed = [tuple(r) for r in manifest] or [(None, 0, 0, None)]
-        save_partitioned(spark.createDataFrame(listed, MANIFEST_SCHEMA), f"{base}/manifest", run_date, "manifest", partition_column=ASOF)
-        drop_old(spark, versions_path)
-    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{base}/data/{ASOF}={run_date}")
+    """History versions for a run on ``run_date``, from the store brought up to date first."""
+    update(spark, versions_path, silver_path, run_date)
+    covered = [d for d in current(spark, versions_path).properties.get("covered", {}) if d < run_date]
+    if not covered:
+        return spark.createDataFrame([], VERSIONS_SCHEMA)
+    stored = stored_events(spark, versions_path).where(F.col("day") < int(run_date))
+    return versions_of(stored, int(max(covered))).select(*VERSIONS_SCHEMA.fieldNames())

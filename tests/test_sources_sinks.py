@@ -164,17 +164,6 @@ def test_run_date_is_checked(spark, tmp_dir, run_date):
     assert not os.path.exists(f"{tmp_dir}/q")
 
 
-def test_store_keeps_the_newest_snapshots(spark, tmp_dir):
-    from tessera.sources.versions import prepare_versions
-    rows = spark.createDataFrame([("1", "a", "pf", "3", "d", "t", "s")], "id string, app string, segmento string, rating string, "
-                                 "iso_date string, title string, snippet string")
-    for day in range(1, 6):
-        save_partitioned(rows.withColumn("title", F.lit(f"t{day}")), f"{tmp_dir}/silver", f"2024010{day}")
-        got = prepare_versions(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", f"2024010{day + 1}")
-        assert sorted(r.title for r in got.collect()) == [f"t{d}" for d in range(1, day + 1)]
-    assert sorted(os.listdir(f"{tmp_dir}/versions/data")) == ["asof=20240105", "asof=20240106"]
-
-
 def test_job_with_checkpointed_merge_equals_persisted(spark, tmp_dir):
     from tessera.sources import fixtures as fx
     outs = {}
@@ -212,9 +201,9 @@ def test_next_day_with_unchanged_input_reproduces_silver(spark, tmp_dir):
 
 def test_compacted_history_store_gives_same_outputs(spark, tmp_dir):
     """Two consecutive days with and without the versions store: identical
-    silver and quarantine tables; the second day reads one snapshot."""
+    silver and quarantine tables; the second day adds its changes to the store."""
     from tessera.sources import fixtures as fx
-    from tessera.sources.versions import latest_snapshot
+    from tessera.sinks.publish import current
     tables = {}
     for mode in ("scan", "store"):
         root = f"{tmp_dir}/{mode}"
@@ -226,13 +215,13 @@ def test_compacted_history_store_gives_same_outputs(spark, tmp_dir):
         fx.write_bronze_layout(spark, SF01, cfg.bronze_base, "20240104")  # a different batch on day 2
         fx.write_history_table(spark, SF001, cfg.silver_path, late_copy_date=None)
         silver_job.run(spark, cfg)
-        silver_job.run(spark, cfg)  # rerun reuses the day's snapshot
+        silver_job.run(spark, cfg)  # the rerun finds the store up to date
         cfg.run_date = "20240104"
         silver_job.run(spark, cfg)
         tables[mode] = (silver_job.read_back(spark, cfg.silver_path),
                         silver_job.read_back(spark, cfg.quarantine_path, silver_job.QUARANTINE_SCHEMA))
         if mode == "store":
-            assert latest_snapshot(spark, cfg.versions_path, "20240104") == "20240104"
+            assert sorted(current(spark, cfg.versions_path).properties["covered"]) == ["20240101", "20240102", fx.RUN_DATE]
     from tessera.registry import flatten_history
     for a, b in zip(tables["scan"], tables["store"]):
         if "historical_data" in a.columns:
@@ -276,7 +265,7 @@ def test_command_line_entry(spark, tmp_dir):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     ok = subprocess.run(args, cwd=root, capture_output=True, timeout=600)
     assert ok.returncode == 0, ok.stderr[-2000:]
-    assert spark.read.parquet(f"{tmp_dir}/silver").count() > 0
+    assert silver_job.read_back(spark, f"{tmp_dir}/silver").count() > 0
     bad = subprocess.run(args[:6] + ["--silver", "", "--quarantine", f"{tmp_dir}/q2",
                                      "--failures", f"{tmp_dir}/fail"], cwd=root, capture_output=True, timeout=600)
     assert bad.returncode == 1
