@@ -71,8 +71,8 @@ def history_versions(history: DataFrame, run_date: str | None = None) -> DataFra
 def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
     """One row per id: latest version fields (``o_*``) and the distinct versions.
 
-    ``history`` is either silver rows (with ``odate``) or compacted version
-    rows (with ``odate_n``, see ``tessera.sources.versions``).
+    ``history`` is either silver rows (with ``odate``) or version rows (with
+    ``odate_n`` and without null ids, see ``tessera.sources.versions``).
 
     A single aggregation, so the history side is shuffled once, on ``id``:
     ``collect_set`` drops equal versions, within a map task before the shuffle
@@ -85,15 +85,15 @@ def history_by_id(history: DataFrame, run_date: str | None = None) -> DataFrame:
     if "odate" in h.columns:  # silver rows
         if run_date is not None:
             h = h.where(F.col("odate") < F.lit(run_date))
+        h = h.where(F.col("id").isNotNull())
         day = F.col("odate").try_cast("int")
-    else:  # compacted versions (see tessera.sources.versions)
+    else:  # version rows (see tessera.sources.versions): no null ids, and a filter for them would cost the union of buckets its partitioning
         if run_date is not None:
             h = h.where(F.col("odate_n") < F.lit(int(run_date)))
         day = F.col("odate_n")
     latest = F.max(F.struct(day.alias("odate_n"), *VERSION_COLS)).alias("o")
     return (
-        h.where(F.col("id").isNotNull())
-        .groupBy("id")
+        h.groupBy("id")
         .agg(latest, F.collect_set(F.struct(*VERSION_COLS)).alias("versions"))
         .select("id", *[F.col(f"o.{c}").alias(f"o_{c}") for c in VERSION_COLS], "versions")
     )

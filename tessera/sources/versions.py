@@ -16,6 +16,10 @@ after a run date are left out, so a run can be repeated for an earlier day.
     part=base-<day>    the events up to a day
     part=delta-<day>   the events of later days
 
+Both lie in buckets by id, as many as the session had shuffle partitions when the
+store was begun.  So the store is read, and merged with a day's reviews, without
+an exchange of its own; if that day's session has as many shuffle partitions, the only exchange is that of the reviews.
+
 When the deltas' bytes exceed ``RATIO`` of the base's they are merged into a
 new base.  All of that is a published table (``tessera.sinks.publish``): each step
 is one commit, whose properties list the silver partitions covered and what
@@ -25,6 +29,8 @@ a covered one, lets the events be computed from all partitions again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
@@ -32,7 +38,8 @@ from pyspark.sql.window import Window
 
 from tessera.operators.snapshot import VERSION_COLS, history_versions
 from tessera.schemas import PARTITION_COLUMN
-from tessera.sinks.publish import State, commit, current, plain_partitions, read_table, vacuum, write_aside
+from tessera.sinks.buckets import read_buckets
+from tessera.sinks.publish import State, Version, commit, current, folder_of, plain_partitions, vacuum, write_aside
 from tessera.sources.history import read_history
 
 PART = "part"
@@ -96,13 +103,20 @@ def standing(stored: DataFrame, day: int) -> DataFrame:
 def versions_of(stored: DataFrame, last_day: int) -> DataFrame:
     """Distinct (id, version) rows with the last day each was seen; partitioned by id, so that a grouping by id needs no further exchange."""
     later = Window.partitionBy("id").orderBy("day").rangeBetween(1, Window.unboundedFollowing)
-    until = F.coalesce(F.min(F.struct("day", "prior")).over(later)["prior"], F.lit(last_day))
+    until = F.coalesce(F.first("prior").over(later), F.lit(last_day))
     return stored.withColumn("until", until).where(~F.col("gone")).groupBy("id", *VERSION_COLS).agg(F.max("until").alias("odate_n"))
 
 
 def stored_events(spark: SparkSession, versions_path: str) -> DataFrame:
-    df = read_table(spark, versions_path, EVENTS_SCHEMA, PART)
-    return (df if df is not None else spark.createDataFrame([], EVENTS_SCHEMA)).select(*EVENTS_SCHEMA.fieldNames())
+    """All events, partitioned by id as their buckets are."""
+    state = current(spark, versions_path)
+    parts = [read_buckets(spark, folder_of(versions_path, PART, value, x.version), EVENTS_SCHEMA, x.buckets, "id") for value, x in sorted(state.partitions.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], EVENTS_SCHEMA)
+
+
+def _write(spark: SparkSession, versions_path: str, rows: DataFrame, part: str) -> Version:
+    buckets = current(spark, versions_path).properties.get("buckets") or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return write_aside(rows.select(*EVENTS_SCHEMA.fieldNames()), versions_path, part, PART, buckets=buckets, by="id")
 
 
 def _days(rows: DataFrame) -> DataFrame:
@@ -111,11 +125,11 @@ def _days(rows: DataFrame) -> DataFrame:
 
 def _rewrite(spark: SparkSession, versions_path: str, rows: DataFrame, day: str, covered: dict[str, str]) -> None:
     """A new base in place of all parts."""
-    made = write_aside(rows.select(*EVENTS_SCHEMA.fieldNames()), versions_path, f"base-{day}", PART)
+    made = _write(spark, versions_path, rows, f"base-{day}")
 
     def change(state: State) -> None:
         state.partitions = {f"base-{day}": made}
-        state.properties = {"covered": covered}
+        state.properties = {"covered": covered, "buckets": made.buckets}
 
     commit(spark, versions_path, change)
     vacuum(spark, versions_path, PART)
@@ -140,11 +154,11 @@ def update(spark: SparkSession, versions_path: str, silver_path: str, run_date:
         rows = rows.unionByName(standing(stored_events(spark, versions_path), last))
     found = events(rows, [*([last] if last is not None else []), *map(int, added)], last)
     part = f"delta-{added[-1]}" if held else f"base-{added[-1]}"
-    made = write_aside(found.select(*EVENTS_SCHEMA.fieldNames()), versions_path, part, PART)
+    made = _write(spark, versions_path, found, part)
 
     def change(state: State) -> None:
         state.partitions[part] = made
-        state.properties = {"covered": {**held, **{d: now[d] for d in added}}}
+        state.properties = {"covered": {**held, **{d: now[d] for d in added}}, "buckets": made.buckets}
 
     state = commit(spark, versions_path, change)
     base = sum(x.bytes for k, x in state.partitions.items() if k.startswith("base-"))

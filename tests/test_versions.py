@@ -111,3 +111,25 @@ def test_events_of_a_review_that_goes_and_comes_back(spark):
     rows = rows.select("id", *[(F.col("title") if c == "title" else F.lit("x")).alias(c) for c in VERSION_COLS], "odate_n")
     found = sorted((r.day, r.prior, r.gone, r.title) for r in events(rows, [1, 2, 3, 4, 5, 6]).collect())
     assert found == [(1, None, False, "a"), (3, 2, True, None), (4, 3, False, "b"), (5, 4, False, "a"), (6, 5, True, None)]
+
+
+def test_the_merge_exchanges_the_reviews_alone(spark, tmp_dir):
+    """The store's buckets serve its window, its grouping and the merge join."""
+    from tessera.operators.snapshot import snapshot_merge
+
+    for d in (1, 2, 3):
+        publish(day_rows(spark, [(str(i), str(d if i % 9 == d else 0), "t") for i in range(50)]), f"{tmp_dir}/silver", f"2024010{d}")
+        update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", f"2024010{d + 1}")
+    assert len(current(spark, f"{tmp_dir}/versions").partitions) >= 1
+    stored = prepare_versions(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", "20240104")
+    new = day_rows(spark, [(str(i), "7", "u") for i in range(0, 60, 2)]).withColumns({"avatar": F.lit("a"), "likes": F.lit(1).cast("long")})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = snapshot_merge(new, stored, "20240104")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        full = snapshot_merge(new, read_history(spark, f"{tmp_dir}/silver", "20240104"), "20240104")
+        assert merged.exceptAll(full).count() == 0 and full.exceptAll(merged).count() == 0 and merged.count() == 55
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
