@@ -459,6 +459,11 @@ def all_sql() -> dict[str, str]:
             f"type_status AS type_consistency_check_status, {code('type_status', 400)} AS type_consistency_check_code, "
             f"{TYPE_MSG} AS type_consistency_check_message, "
             "'silver_reviews' AS source_app, '1.50 min' AS total_processing_time FROM summary2, (VALUES (1), (2)) written(n)"),
+        "run_documents_current": with_ctes(*LAYOUT_BASE) + (
+            f"SELECT 'done' AS kind, '{RUN_DATE}' AS run_date, CAST(3 AS BIGINT) AS attempt, (SELECT count(*) FROM valid_l) AS valid_count, "
+            "(SELECT count(*) FROM invalid_l) AS invalid_count, (SELECT string_agg(s, ',' ORDER BY s) FROM ("
+            "SELECT DISTINCT upper(coalesce(segmento, 'UNKNOWN')) AS s FROM valid_l)) AS type_client, NULL AS error UNION ALL "
+            "SELECT 'failed', '20240102', 2, NULL, NULL, NULL, 'unsupported join type ' || chr(39) || 'sideways' || chr(39)"),
         "failure_doc": with_ctes(BRONZE_EVERY, NORM) + (
             "SELECT 'silver' AS layer, 'reviews' AS project, 'app_reviews_silver' AS job, '0' AS priority, "
             "'data-platform' AS tower, client, 'bronze scan failed: no segment folder' AS error FROM ("

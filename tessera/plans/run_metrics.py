@@ -1,22 +1,28 @@
 """Run documents: success metrics and failure record.
 
 Documents are one-row DataFrames built from one-row aggregates (never from
-collected data rows) and appended to audit tables as JSON lines.
+collected data rows).  The job keeps one current document for each run in an
+audit table (``upsert_document``); a document on its own is appended to a
+folder of JSON lines (``append_document``).
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import re
+import zlib
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.functions.report import parse_kv_lines
 from tessera.operators import quality as q
 from tessera.schemas import CRITICAL_COLUMNS
+from tessera.sinks.publish import commit, current, publish, read_table
 
 log = logging.getLogger(__name__)
 
@@ -168,6 +174,49 @@ def append_document(doc: DataFrame | str | dict, path: str, spark: SparkSession
     spark.createDataFrame([(text,)], "value string").write.mode("append").text(path)
 
 
+#: Table of current run documents, one row (a published partition) for each job and run date.
+DOCUMENTS_SCHEMA = StructType([StructField("job", StringType()), StructField("run_date", StringType()), StructField("attempt", LongType()),
+                               StructField("document", StringType())])
+RUN_COLUMN = "run"
+
+
+def _run_key(job: str, run_date: str) -> str:
+    text = f"{job}-{run_date}"
+    plain = re.sub(r"[^A-Za-z0-9._-]", "_", text)
+    return plain if plain == text else f"{plain}-{zlib.crc32(text.encode()):08x}"
+
+
+def upsert_document(doc: DataFrame, path: str, job: str, run_date: str) -> int:
+    """Make ``doc`` (one row) the document of the run (job, run date), in place of an earlier one; the attempt, from 1.
+
+    The table has one row for each run, however often it was repeated; the
+    row is replaced by one commit, so a reader finds the earlier document or this one.
+    """
+    if not path:
+        raise ValueError("audit path must not be empty")
+    spark, key = doc.sparkSession, _run_key(job, run_date)
+    held = current_documents(spark, path).where((F.col("job") == job) & (F.col("run_date") == run_date)).agg(F.max("attempt")).first()[0]
+    attempt = (held or 0) + 1
+    row = doc.select(F.lit(job).alias("job"), F.lit(run_date).alias("run_date"), F.lit(attempt).cast("long").alias("attempt"),
+                     F.to_json(F.struct(*doc.columns)).alias("document"))
+    publish(row, path, key, "run document", column=RUN_COLUMN)
+    return attempt
+
+
+def withdraw_document(spark: SparkSession, path: str, job: str, run_date: str) -> None:
+    """Take the document of a run out of the table, as that of a failure once the run has been repeated with success."""
+    key = _run_key(job, run_date)
+    if key in current(spark, path).partitions:
+        commit(spark, path, lambda state: state.partitions.pop(key, None) and None)
+
+
+def current_documents(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """(job, run_date, attempt, document): the current document of every run, as JSON text, or parsed by ``schema``."""
+    df = read_table(spark, path, DOCUMENTS_SCHEMA, RUN_COLUMN)
+    df = (df if df is not None else spark.createDataFrame([], DOCUMENTS_SCHEMA)).select(*DOCUMENTS_SCHEMA.fieldNames())
+    return df if schema is None else df.withColumn("document", F.from_json("document", schema))
+
+
 def report_to_kv(report: DataFrame, report_col: str = "report", keys: list[str] | None = None) -> DataFrame:
     """Parse a key/value text report column into rows (see functions.report)."""
     from tessera.functions.report import report_lines

@@ -1,8 +1,9 @@
 """The daily bronze -> silver job as one DataFrame composition.
 
 read both segments -> normalise -> read earlier silver partitions -> merge
-and check -> write valid and quarantine partitions -> append the run
-document.  On error a failure document is appended and the error re-raised.
+and check -> publish valid and quarantine partitions -> record the run
+document.  On error a failure document is recorded and the error re-raised;
+a later run of that day with success takes it back.
 
 Actions per run: the bronze emptiness probes (LIMIT 1 each), one write per
 output, one summary aggregation.  The checked frame feeding all three is
@@ -127,13 +128,15 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             doc = rm.metrics_document(
                 summary_df, application_id=spark.sparkContext.applicationId,
                 source_app=cfg.source_app, owner=cfg.owner, clock=clock)
-            rm.append_document(doc, cfg.audit_path)
+            rm.upsert_document(doc, cfg.audit_path, cfg.source_app, cfg.run_date)
+        if cfg.failure_path:
+            rm.withdraw_document(spark, cfg.failure_path, cfg.source_app, cfg.run_date)
         return JobResult(n_valid, n_invalid, summary_row, preview_v, preview_i)
     except Exception as err:
         log.error("silver job failed: %s", err)
         if cfg.failure_path:
             try:
-                rm.append_document(rm.failure_document(spark, err, client, cfg.owner), cfg.failure_path)
+                rm.upsert_document(rm.failure_document(spark, err, client, cfg.owner), cfg.failure_path, cfg.source_app, cfg.run_date)
             except Exception as inner:  # the original error is what matters
                 log.error("could not write the failure document: %s", inner)
         raise

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.functions.paths import app_from_path, segment_from_path
 from tessera.functions.text import fold_upper
@@ -432,6 +433,24 @@ def q_run_metrics_doc(spark, sf_dir):
     )
 
 
+def q_run_documents_current(spark, sf_dir):
+    """A day that fails once and is then run three times, and the day before that fails twice: one current document for each."""
+    cfg = _run_job(spark, sf_dir, runs=0)
+    for date, how, runs in ((fx.HISTORY_DATES[1], "sideways", 2), (fx.RUN_DATE, "sideways", 1), (fx.RUN_DATE, "full_outer", 3)):
+        cfg.run_date, cfg.merge_how = date, how
+        for _ in range(runs):
+            try:
+                silver_job.run(spark, cfg)
+            except ValueError as err:
+                assert "join type" in str(err)
+    done = rm.current_documents(spark, cfg.audit_path, StructType.fromDDL("valid_data struct<count: long>, invalid_data struct<count: long>, type_client string"))
+    failed = rm.current_documents(spark, cfg.failure_path, StructType.fromDDL("error string"))
+    key = ["run_date", "attempt"]
+    return done.select(F.lit("done").alias("kind"), *key, F.col("document.valid_data.count").alias("valid_count"), F.col("document.invalid_data.count").alias("invalid_count"),
+                       "document.type_client", F.lit(None).cast("string").alias("error")).unionByName(
+        failed.select(F.lit("failed").alias("kind"), *key, "document.error"), allowMissingColumns=True)
+
+
 def q_failure_doc(spark, sf_dir):
     """Two failure documents, written and read back: of a readable batch, and of one that cannot be read."""
     path = scratch_path(spark, "failures")
@@ -503,6 +522,7 @@ def all_queries() -> dict[str, Query]:
         "job_invalid": q_job_invalid,
         "silver_next_day": q_silver_next_day,
         "run_metrics_doc": q_run_metrics_doc,
+        "run_documents_current": q_run_documents_current,
         "failure_doc": q_failure_doc,
         "kv_report_parse": q_kv_report_parse,
     }

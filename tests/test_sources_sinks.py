@@ -101,9 +101,11 @@ def test_job_end_to_end_and_rerun(spark, tmp_dir):
     silver = silver_job.read_back(spark, cfg.silver_path)
     counts = {r.odate: r["count"] for r in silver.groupBy("odate").count().collect()}
     assert counts[fx.RUN_DATE] == r1.valid_rows and set(counts) == {"20240101", "20240102", fx.RUN_DATE}
-    docs = spark.read.json(cfg.audit_path).collect()
-    assert len(docs) == 2 and docs[0].valid_data["count"] == r1.valid_rows
-    assert set(docs[0].validation_results.asDict()) == {"duplicate_check", "null_check", "type_consistency_check"}
+    docs = rm.current_documents(spark, cfg.audit_path).collect()
+    assert [(d.job, d.run_date, d.attempt) for d in docs] == [(cfg.source_app, fx.RUN_DATE, 2)]  # one document, of the second run
+    doc = json.loads(docs[0].document)
+    assert doc["valid_data"]["count"] == r1.valid_rows
+    assert set(doc["validation_results"]) == {"duplicate_check", "null_check", "type_consistency_check"}
     # snappy-compressed, date-partitioned files
     files = silver_job.read_back(spark, cfg.silver_path).inputFiles()
     assert files and all(".snappy.parquet" in f and "/odate=" in f for f in files)
@@ -120,15 +122,21 @@ def test_job_failure_writes_failure_document(spark, tmp_dir):
         f"{tmp_dir}/bronze/x_pf/odate=20240103")
     with pytest.raises(Exception):
         silver_job.run(spark, cfg)  # the quarantine write fails: its path is a file
-    docs = spark.read.json(cfg.failure_path).collect()
+    docs = [json.loads(d.document) for d in rm.current_documents(spark, cfg.failure_path).collect()]
     # the batch was read, so the client list holds its segments ('' outside the googlePlay layout)
-    assert len(docs) == 1 and docs[0].layer == "silver" and docs[0].client == [""]
+    assert len(docs) == 1 and docs[0]["layer"] == "silver" and docs[0]["client"] == [""]
+    with pytest.raises(Exception):
+        silver_job.run(spark, cfg)
+    assert [d.attempt for d in rm.current_documents(spark, cfg.failure_path).collect()] == [2]
+    cfg.quarantine_path = f"{tmp_dir}/quarantine"
+    silver_job.run(spark, cfg)  # the failure is taken back
+    assert rm.current_documents(spark, cfg.failure_path).count() == 0
     # an error before any data is read reports the unknown client
     bad = silver_job.JobConfig(bronze_base=f"{tmp_dir}/bronze", silver_path="", quarantine_path=f"{tmp_dir}/q2",
                                run_date="20240103", failure_path=f"{tmp_dir}/fail2")
     with pytest.raises(Exception):
         silver_job.run(spark, bad)
-    assert spark.read.json(bad.failure_path).first().client == ["UNKNOWN_CLIENT"]
+    assert json.loads(rm.current_documents(spark, bad.failure_path).first().document)["client"] == ["UNKNOWN_CLIENT"]
 
 
 def test_metrics_sink_arguments(spark, tmp_dir):
@@ -143,6 +151,19 @@ def test_metrics_sink_arguments(spark, tmp_dir):
         rm.append_document("[1]", f"{tmp_dir}/m", spark)
 
 
+def test_documents_of_several_runs(spark, tmp_dir):
+    doc = spark.range(1).select(F.lit(3).alias("n"), F.lit("é").alias("t"))
+    names = [("a", "20240101"), ("a b", "20240101"), ("a_b", "20240101"), ("a", "20240102")]
+    assert [rm.upsert_document(doc, tmp_dir, *n) for n in names] == [1, 1, 1, 1] and rm.upsert_document(doc.withColumn("n", F.lit(4)), tmp_dir, *names[1]) == 2
+    found = {(r.job, r.run_date): (r.attempt, r.document.n, r.document.t) for r in rm.current_documents(spark, tmp_dir, doc.schema).collect()}
+    assert found == {n: (2, 4, "é") if n == names[1] else (1, 3, "é") for n in names}
+    rm.withdraw_document(spark, tmp_dir, *names[0])
+    rm.withdraw_document(spark, tmp_dir, "other", "20240101")
+    assert rm.current_documents(spark, tmp_dir).count() == 3
+    with pytest.raises(ValueError):
+        rm.upsert_document(doc, "", "a", "b")
+
+
 def test_a_run_document_needs_the_run_clock(spark):
     with pytest.raises(ValueError):
         rm.metrics_document(spark.range(1), application_id="a", source_app="s")
@@ -269,4 +290,4 @@ def test_command_line_entry(spark, tmp_dir):
     bad = subprocess.run(args[:6] + ["--silver", "", "--quarantine", f"{tmp_dir}/q2",
                                      "--failures", f"{tmp_dir}/fail"], cwd=root, capture_output=True, timeout=600)
     assert bad.returncode == 1
-    assert spark.read.json(f"{tmp_dir}/fail").count() == 1
+    assert rm.current_documents(spark, f"{tmp_dir}/fail").count() == 1
