@@ -94,7 +94,7 @@ def _several(c: Column) -> Column:
     """The characters with a longer replacement replaced: cut at them, looked up, joined."""
     table = {k: v for k, v in replacements().items() if len(v) != 1}
     ranges = _ranges(list(table))
-    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    lookup = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in table.items())), F.lit("\n"), F.lit("\t"))  # one constant for the planner
     found = F.transform(F.regexp_extract_all(c, F.lit(ranges), F.lit(0)), lambda x: F.coalesce(F.element_at(lookup, x), x))
     pieces = F.split(c, ranges, -1)
     joined = F.array_join(F.zip_with(pieces, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
