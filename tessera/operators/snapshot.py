@@ -33,6 +33,8 @@ from tessera.schemas import CHANGE_FIELDS, HISTORY_ARRAY
 # Order used to pick one row among duplicates of an id: greatest first,
 # nulls lowest (Spark struct ordering puts nulls first).
 NEW_PICK_ORDER = ["iso_date", "title", "snippet", "rating", "app", "segmento", "avatar", "likes"]
+#: Rows of one id that a task of the salted join takes at most, by the sketch's counts, and items that the sketch tracks.
+ROWS_PER_TASK, SKETCH_ITEMS = 100_000, 4096
 # Value columns that identify a distinct earlier version of a review.
 VERSION_COLS = ["iso_date", "title", "snippet", "rating", "app"]
 
@@ -221,28 +223,43 @@ def history_join(new: DataFrame, history: DataFrame, how: str, run_date: str | N
     return n.join(v, "id", how)
 
 
+def heavy_hitters(df: DataFrame, key: str, rows_per_task: int, tracked: int = SKETCH_ITEMS) -> DataFrame:
+    """(key, salts) of the values that may hold more than ``rows_per_task`` rows of ``df``, with the number of tasks that their rows need.
+
+    A frequent-items sketch of each task is merged into one, so nothing is
+    grouped by the key; it names at most ``tracked`` values, which also bounds
+    what a join with them can broadcast.  With ``tracked`` items the sketch overlooks no value that
+    holds more than about 3.5 / ``tracked`` of the rows; its counts decide on tasks alone, never on results.
+    """
+    top = df.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {tracked // 2}, {tracked})").alias("t"))
+    found = top.select(F.explode("t").alias("t")).select(F.col("t.item").alias(key), F.col("t.count").alias("rows"))
+    return found.where(F.col("rows") > rows_per_task).select(key, F.ceil(F.col("rows") / rows_per_task).cast("int").alias("salts"))
+
+
 def salted_history_join(
     new: DataFrame,
     history: DataFrame,
-    salt_buckets: int = 16,
+    rows_per_task: int = ROWS_PER_TASK,
     run_date: str | None = None,
 ) -> DataFrame:
-    """Left outer join of new rows with earlier versions, salted against skew.
-
-    The versions side (many rows for a hot id) gets a deterministic salt
-    ``pmod(xxhash64(version), n)``.  The one-row-per-id new side is joined to
-    the distinct (id, salt) pairs that exist, so it is replicated only as often
-    as its versions need, and an id without versions stays once, unsalted.
-    Each version then meets its id's new row exactly once, and a hot id's
-    versions spread over ``n`` tasks.  The result equals
-    ``history_join(new, history, "left_outer")``.
+    """Left outer join of new rows with earlier versions, salted where a sketch of the versions finds skew.
+
+    The ids of more than ``rows_per_task`` versions get as many salts as tasks
+    of that size hold their versions: each such version gets the salt
+    ``pmod(xxhash64(version), salts)`` and the id's one new row a copy for every salt.
+    All other ids keep salt 0, without a copy.  A salt that no version fell on gives
+    no row, and an id without versions stays once.  The result equals
+    ``history_join(new, history, "left_outer")`` whatever the sketch says.
     """
-    if salt_buckets < 1:
-        raise ValueError("salt_buckets must be >= 1")
+    if rows_per_task < 1:
+        raise ValueError("rows_per_task must be >= 1")
     n = pick_latest_new(new).select("id", *[F.col(c).alias(f"new_{c}") for c in NEW_PICK_ORDER])
     v = history_versions(history, run_date).select(
         "id", *[F.col(c).alias(f"old_{c}") for c in VERSION_COLS], "odate_n")
-    salted = v.withColumn(
-        "salt", F.pmod(F.xxhash64(*[F.col(f"old_{c}") for c in VERSION_COLS]), F.lit(salt_buckets)).cast("int"))
-    pairs = salted.select("id", "salt").distinct()
-    return n.join(pairs, "id", "left").join(salted, ["id", "salt"], "left").drop("salt")
+    hot = heavy_hitters(v, "id", rows_per_task)
+    salted = v.join(F.broadcast(hot), "id", "left").withColumn(  # at most SKETCH_ITEMS rows
+        "salt", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*[F.col(f"old_{c}") for c in VERSION_COLS]), F.col("salts")).cast("int"))).drop("salts").withColumn("met", F.lit(True))
+    copies = n.join(F.broadcast(hot), "id", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    joined = copies.join(salted, ["id", "salt"], "left")
+    # The copies of a hot id's new row that met no version go; the id itself has versions.
+    return joined.where(F.col("salts").isNull() | F.col("met")).drop("salt", "salts", "met")

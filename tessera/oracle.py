@@ -189,6 +189,13 @@ hist4 AS (
 )"""
 NEXT_DAY_BASE = LAYOUT_BASE + (HIST4, merge_ctes("norm_l", "_d4", "hist4", NEXT_DAY))
 
+#: Every third document's versions under the id 1.
+HOT = """
+hist_hot AS (
+  SELECT CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN '1' ELSE id END AS id, app, segmento, rating, iso_date,
+         CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN title || ' ' || id ELSE title END AS title, snippet, odate FROM hist
+)"""
+
 #: Ten days of reviews (every document), and the set of versions of every id on every day.
 TEN_DAYS = """
 ten AS (
@@ -365,6 +372,9 @@ def all_sql() -> dict[str, str]:
         "history_full_outer": f"{b}SELECT {join_cols} FROM new1 n FULL OUTER JOIN ver v ON n.id = v.id",
         "history_left_outer": left_join,
         "salted_history_join": left_join,
+        "salted_hot_id": with_ctes(BRONZE_EVERY, NORM, HIST_EVERY, HOT, merge_ctes(hist="hist_hot")) + f"SELECT {join_cols} FROM new1 n LEFT JOIN ver v ON n.id = v.id",
+        "heavy_hitters": with_ctes(HIST_EVERY, HOT) + (
+            "SELECT id, true AS salted FROM (SELECT DISTINCT id, iso_date, title, snippet, rating, app FROM hist_hot WHERE odate < '" + RUN_DATE + "') GROUP BY id HAVING count(*) > 20"),
         "change_detection": b + (
             "SELECT v.id, v.iso_date, v.title, v.snippet, v.rating, v.app, n.segmento AS new_segmento, "
             "coalesce(n.title <> v.title, false) AS title_changed, "

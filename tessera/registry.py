@@ -235,7 +235,26 @@ def q_history_left_outer(spark, sf_dir):
 
 
 def q_salted_history_join(spark, sf_dir):
-    return snapshot.salted_history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), 8, fx.RUN_DATE)
+    return snapshot.salted_history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), run_date=fx.RUN_DATE)
+
+
+def _one_hot(spark, sf_dir):
+    """The history with every third document's versions under one id, of which each is a version of its own."""
+    doc_id = F.col("id").cast("long")
+    hot = doc_id % 3 == 0
+    return fx.hist(spark, sf_dir, every=True).withColumns({
+        "title": F.when(hot, F.concat("title", F.lit(" "), "id")).otherwise(F.col("title")), "id": F.when(hot, F.lit("1")).otherwise(F.col("id"))})
+
+
+def q_salted_hot_id(spark, sf_dir):
+    """The salted join with one id that holds a third of the versions, more than a task may take."""
+    return snapshot.salted_history_join(fx.norm(spark, sf_dir, every=True), _one_hot(spark, sf_dir), 20, fx.RUN_DATE)
+
+
+def q_heavy_hitters(spark, sf_dir):
+    """The ids that the sketch would salt: the hot one, and no other."""
+    versions = snapshot.history_versions(_one_hot(spark, sf_dir), fx.RUN_DATE)
+    return snapshot.heavy_hitters(versions, "id", 20).select("id", (F.col("salts") > 1).alias("salted"))
 
 
 def q_change_detection(spark, sf_dir):
@@ -493,6 +512,8 @@ def all_queries() -> dict[str, Query]:
         "history_full_outer": q_history_full_outer,
         "history_left_outer": q_history_left_outer,
         "salted_history_join": q_salted_history_join,
+        "salted_hot_id": q_salted_hot_id,
+        "heavy_hitters": q_heavy_hitters,
         "change_detection": q_change_detection,
         "snapshot_merge": q_snapshot_merge,
         "history_collect": q_history_collect,

@@ -68,13 +68,22 @@ def test_left_and_full_outer_give_same_outputs(spark):
 
 
 def test_salted_join_equals_unsalted(spark):
+    from tessera.registry import _one_hot
     from tests.conftest import SF001
     from tessera.sources import fixtures as fx
-    norm, hist = fx.norm(spark, SF001), fx.hist(spark, SF001)
-    plain = snapshot.history_join(norm, hist, "left_outer", fx.RUN_DATE)
-    for n in (1, 3, 16):
-        salted = snapshot.salted_history_join(norm, hist, n, fx.RUN_DATE).select(*plain.columns)
-        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    norm = fx.norm(spark, SF001)
+    for hist in (fx.hist(spark, SF001), _one_hot(spark, SF001)):
+        plain = snapshot.history_join(norm, hist, "left_outer", fx.RUN_DATE)
+        for rows_per_task in (1, 5, 1000):
+            salted = snapshot.salted_history_join(norm, hist, rows_per_task, fx.RUN_DATE).select(*plain.columns)
+            assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_sketch_names_the_hot_id_alone(spark):
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS id").repartition(5)
+    found = {r.id: r.salts for r in snapshot.heavy_hitters(rows.unionByName(spark.range(9).selectExpr("cast(null AS string) AS id")), "id", 1000).collect()}
+    assert set(found) == {"hot"} and 20 <= found["hot"] <= 21
+    assert snapshot.heavy_hitters(rows.limit(0), "id", 1000).count() == 0
 
 
 def test_hot_key_is_not_collapsed_into_one_group(spark):
