@@ -40,8 +40,8 @@ SEPARATORS = "._-~'`*,:;/\\­​‌‍⁠"
 EDGES = " #.,;:?!\"'()[]{}<>«»„“”’…-_"
 #: Costs of the channel, in nats: a look-alike, a dropped separator, the second of a letter dropped, a further one, a letter for a star, another character left out.
 LOOK, DROP, REPEAT, MORE, STAR, OTHER = 0.3, 0.1, 1.5, 0.2, 1.5, 6.0
-#: States of the lattice kept at a character.
-BEAM = 16
+#: States up to which they are held one by one, and characters between the kept costs of a long word.
+FEW, STRIDE = 128, 64
 #: Characters of the language model: a word's edge, the letters a to z, any other letter.
 EDGE, SYMBOLS, ORDER = 0, 28, 4
 #: Lengths of the word beginnings that are features beside the whole word; a beginning carries its length as a mark.
@@ -101,29 +101,56 @@ def character_model(counts: np.ndarray, strength: float = 5.0) -> np.ndarray:
     return np.log(p).reshape(-1, SYMBOLS).astype(np.float32)
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The most likely letters behind an obfuscated word, lower case; blanks stand between words if there are several."""
-    word = " ".join(word.lower().split())
-    wrap = SYMBOLS ** (ORDER - 1)
-    # Each state's cost and letters, the last one first: (letter, (letter before, ...)).
-    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+def lattice(word: str) -> Iterator[list[tuple[str, float]]]:
+    """For each character the letters that it may stand for, with their costs; "" leaves it out, a blank is a word's edge."""
     before, times = "", 0
     for c in word:
         hidden = c in SEPARATORS or c == " "  # a letter counts as repeated across these
         times = times if hidden else times + 1 if c == before else 1
         again = [] if times == 1 else [("", REPEAT if times == 2 else MORE)]
         if "a" <= c <= "z":
-            options = [(c, 0.0), *again]
+            yield [(c, 0.0), *again]
         elif c in LOOKALIKES:
-            options = [*((x, LOOK) for x in LOOKALIKES[c]), *again, ("", OTHER)]
+            yield [*((x, LOOK) for x in LOOKALIKES[c]), *again, ("", OTHER)]
         elif c == "*":
-            options = [(x, STAR) for x in "abcdefghijklmnopqrstuvwxyz"] + [("", DROP)]
+            yield [(x, STAR) for x in "abcdefghijklmnopqrstuvwxyz"] + [("", DROP)]
         elif c == " ":
-            options = [("", DROP), (" ", 0.0)]
+            yield [("", DROP), (" ", 0.0)]
         elif c in SEPARATORS:
-            options = [("", DROP)]
+            yield [("", DROP)]
         else:
-            options = [(c, 0.0)] if c.isalpha() else [("", OTHER)]
+            yield [(c, 0.0)] if c.isalpha() else [("", OTHER)]
+        before = before if hidden else c
+
+
+def _symbol(x: str) -> int:
+    return ord(x) - 96 if "a" <= x <= "z" else 27
+
+
+def stars_used(model: np.ndarray) -> int:
+    """Stars of one run that can stand for letters in a cheapest path.
+
+    A letter for a star costs STAR - DROP more than leaving the star out, at
+    least.  What letters before it save is confined to the ORDER - 1 symbols
+    that see them, so more letters than this never pay.
+    """
+    widest = float((model.max(axis=0) - model.min(axis=0)).max())
+    return int((ORDER - 1) * widest / (STAR - DROP)) + 1
+
+
+def decode(word: str, model: np.ndarray) -> str:
+    """The most likely letters behind an obfuscated word, lower case; blanks stand between words if there are several.
+
+    Exact: every state of the lattice is kept, in arrays once there are many.
+    A run of stars longer than a cheapest path can use is worked at that length.
+    """
+    word = " ".join(word.lower().split())
+    if "*" * 16 in word:
+        word = re.sub(r"\*+", lambda m: m.group()[: stars_used(model)], word)
+    wrap = SYMBOLS ** (ORDER - 1)
+    # Each state's cost and letters, the last one first: (letter, (letter before, ...)).
+    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+    for options in lattice(word):
         best: dict[int, tuple[float, tuple]] = {}
         for state, (cost, out) in states.items():
             for x, extra in options:
@@ -132,15 +159,15 @@ def decode(word: str, model: np.ndarray) -> str:
                         continue  # no word before this edge
                     new, total = 0, cost + extra - float(model[state, EDGE])
                 elif x:
-                    symbol = ord(x) - 96 if "a" <= x <= "z" else 27
+                    symbol = _symbol(x)
                     new, total = (state * SYMBOLS + symbol) % wrap, cost + extra - float(model[state, symbol])
                 else:
                     new, total = state, cost + extra
                 if new not in best or total < best[new][0]:
                     best[new] = (total, (x, out) if x else out)
-        if len(best) > BEAM:  # only stars make so many states
-            best = dict(sorted(best.items(), key=lambda s: s[1][0])[:BEAM])
-        states, before = best, before if hidden else c
+        states = best
+        if len(states) > FEW:
+            return _decode_dense(list(lattice(word)), model)
     _, out = min(((cost - float(model[s, EDGE]) if s or not out else cost, out) for s, (cost, out) in states.items()), key=lambda s: s[0])
     letters = []
     while out:
@@ -149,6 +176,52 @@ def decode(word: str, model: np.ndarray) -> str:
     return "".join(reversed(letters)).strip()
 
 
+def _forward(cost: np.ndarray, options: list[tuple[str, float]], model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Costs of all states after a character, and the state and the option that each came by."""
+    rest = SYMBOLS ** (ORDER - 2)
+    new, parent, chosen = np.full(len(cost), np.inf), np.zeros(len(cost), np.int32), np.zeros(len(cost), np.int8)
+    for k, (x, extra) in enumerate(options):
+        if x == " ":
+            ended = cost[1:] + extra - model[1:, EDGE]
+            at = int(np.argmin(ended))
+            if ended[at] < new[0]:
+                new[0], parent[0], chosen[0] = ended[at], at + 1, k
+        elif x:
+            total = (cost + extra - model[:, _symbol(x)]).reshape(SYMBOLS, rest)
+            first = np.argmin(total, axis=0)
+            least, to = total[first, np.arange(rest)], np.arange(rest) * SYMBOLS + _symbol(x)
+            better = least < new[to]
+            new[to[better]], parent[to[better]], chosen[to[better]] = least[better], (first * rest + np.arange(rest))[better], k
+        else:
+            better = cost + extra < new
+            new[better], parent[better], chosen[better] = (cost + extra)[better], np.flatnonzero(better), k
+    return new, parent, chosen
+
+
+def _decode_dense(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """``decode`` over arrays of all states; costs are kept every STRIDE characters, and what lies between is worked again on the way back."""
+    start = np.full(len(model), np.inf)
+    start[0] = 0.0
+    kept, cost, none = [start], start, True
+    for i, options in enumerate(steps, 1):
+        cost, _, chosen = _forward(cost, options, model)
+        none = none and options[chosen[0]][0] == ""  # state 0 without a letter before it
+        if i % STRIDE == 0:
+            kept.append(cost)
+    final = cost - model[:, EDGE]
+    final[0] = final[0] if none else cost[0]
+    state, letters = int(np.argmin(final)), []
+    for a in reversed(range(0, len(steps), STRIDE)):
+        cost, back = kept[a // STRIDE], []
+        for options in steps[a:a + STRIDE]:
+            cost, parent, chosen = _forward(cost, options, model)
+            back.append((parent, chosen))
+        for options, (parent, chosen) in zip(reversed(steps[a:a + STRIDE]), reversed(back)):
+            letters.append(options[chosen[state]][0])
+            state = int(parent[state])
+    return "".join(reversed(letters)).strip()
+
+
 # ---- words of texts, restored
 
 @dataclass
@@ -282,13 +355,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
-                 folds: int = 5, held_out: int = 0, rows_of_class: int = 50_000, max_features: int = 100_000, prior: float = 2.0) -> ToxicityModel:
+                 folds: int = 5, held_out: int = 0, rows_of_class: int = 50_000, least_documents: int = 3, prior: float = 2.0) -> ToxicityModel:
     """Fit on the rows of ``df`` whose id has a label and whose crc32 fold is not ``held_out``.
 
     The character model counts the texts of all of ``df``.  At most
     ``rows_of_class`` labelled ids of each class are used (the first by hash of
-    the id), and at most ``max_features`` features; both bounds make the model
-    small enough to broadcast.  One fold of the labelled rows is kept for the
+    the id), which bounds the model too.  Every word and beginning that
+    ``least_documents`` of the used documents of label 1 hold is a feature.  One fold of the labelled rows is kept for the
     logistic function.  Without labels of both classes every score is the
     share of label 1 (0 without any label).  Null ids and labels are not used.
     """
@@ -325,8 +398,8 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["feature", "n"])
 
     candidates = rows.filter((F.col("y") == 1) & ~F.col("last")).mapInArrow(positive, "feature string, n long").groupBy("feature").agg(
-        F.sum("n").alias("n")).filter("n >= 3").orderBy(F.desc("n"), "feature").limit(max_features).collect()
-    features = [r["feature"] for r in candidates]
+        F.sum("n").alias("n")).filter(F.col("n") >= least_documents).orderBy("feature").toArrow()
+    features = candidates.column("feature").to_pylist()
     shared = spark.sparkContext.broadcast(features)
     n_features = len(features)
 
@@ -344,7 +417,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     counted = rows.filter((F.col("y") == 0) & ~F.col("last")).mapInArrow(negative, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     neg = np.zeros(n_features + 1)
     neg[counted.column("feature").to_numpy()] = counted.column("n").to_numpy()
-    pos = np.array([r["n"] for r in candidates], float)
+    pos = candidates.column("n").to_numpy().astype(float)
     n_pos, n_neg = max(1.0, rows.filter((F.col("y") == 1) & ~F.col("last")).count()), max(1.0, neg[-1])
     share = n_pos / (n_pos + n_neg)
     log_odds = np.log((pos + prior * share) / n_pos) - np.log((neg[:-1] + prior * (1 - share)) / n_neg)
@@ -392,7 +465,12 @@ def toxicity_score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
 
 
 def without_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``df`` that score below ``threshold``, all columns unchanged."""
+    """The rows of ``df`` that score below ``threshold``, all columns unchanged.
+
+    Null, empty and wordless texts have the score of no evidence; rows are
+    judged one by one, so repeated rows stay or go together, and an empty
+    table stays empty.  Other columns are not looked at.
+    """
     scorer = _scorer(df.sparkSession, model)
 
     @pandas_udf("double")
