@@ -15,6 +15,7 @@ gives off each vector's number of links and one edge to its local component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -79,8 +80,19 @@ def group_links(vec: np.ndarray, codes: np.ndarray, n: np.ndarray, table: int, s
     return links, local_roots(m, np.concatenate(left), np.concatenate(right))
 
 
+def sizes(rows: int, threshold: float, recall: float, bits: int | None = None) -> tuple[int, int]:
+    """(bits, tables): a bit more for twice the rows of the largest label, 14 at least, and tables enough for the recall.
+
+    Two vectors at cosine c agree on a random plane's side with a chance of
+    1 - acos(c) / pi, so on all bits of a table with that to the power of bits.
+    """
+    bits = bits or min(31, max(14, math.ceil(math.log2(max(1, rows) / 4))))
+    agree = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-agree))) if 0 < agree < 1 else 1
+
+
 def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", *,
-                           threshold: float = 0.93, tables: int = 24, bits: int = 14, seed: int = 7) -> DataFrame:
+                           threshold: float = 0.93, tables: int | None = None, bits: int | None = None, recall: float = 0.9875, seed: int = 7) -> DataFrame:
     """(id, n_links, component_id, kept), one row for each row of ``df``.
 
     Rows link if their labels are equal and not null, their vectors have equal
@@ -88,6 +100,10 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str =
     ``n_links`` counts the rows linked directly; equal vectors link.
     ``component_id`` is the smallest id reachable, itself included.
 
+    Without ``bits`` and ``tables`` they follow the number of rows (``sizes``):
+    buckets of unlike vectors stay small however many rows there are, and a pair at
+    the threshold meets in some table with a chance of ``recall``.
+
     Vectors that are null, empty or zero, or hold null, NaN or infinite
     components, link with nothing.  A null id is a component's id only if the
     component has no other.  Repeated rows are rows of their own and link.
@@ -95,7 +111,11 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str =
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), F.col(label_col).cast("string").alias("label"))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
-    classes = rows.filter(F.col("label").isNotNull() & fine).groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n")).select(
+    usable = rows.filter(F.col("label").isNotNull() & fine)
+    if bits is None or tables is None:
+        most = usable.groupBy("label", F.size("vec").alias("dim")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+        bits, tables = sizes(most, threshold, recall, bits)
+    classes = usable.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n")).select(
         F.monotonically_increasing_id().alias("c"), "label", F.size("vec").alias("dim"), "vec", "least", "n")
     classes = materialise(_codes(classes, tables, bits, seed), "vectors-classes")
     key = ["label", "dim", "t", "code"]

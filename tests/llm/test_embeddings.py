@@ -70,3 +70,25 @@ def test_given_embeddings(spark):
     found = near_duplicate_vectors(spark.read.parquet(f"{SF001}/embeddings.parquet"), threshold=0.3).collect()
     wanted = plain(rows, 0.3)
     assert len(found) == len(wanted) and sum(r.n_links for r in found) <= sum(r[1] for r in wanted)
+
+
+def test_bits_and_tables_follow_the_rows():
+    from tessera.llm.embeddings import sizes
+
+    assert sizes(1, 0.93, 0.9875) == sizes(60_000, 0.93, 0.9875) == (14, 24)
+    for rows in (10**6, 10**8, 10**9):
+        bits, tables = sizes(rows, 0.93, 0.9875)
+        agree = (1 - np.arccos(0.93) / np.pi) ** bits
+        assert rows / 2**bits <= 4 and 1 - (1 - agree) ** tables >= 0.9875 and tables < 300
+    assert sizes(10, 1.0, 0.99)[1] == 1
+
+
+def test_recall_with_many_bits(spark):
+    """The parameters that a hundred million rows would have, on a small table."""
+    from tessera.llm.embeddings import sizes
+
+    bits, tables = sizes(10**8, 0.93, 0.9875)
+    rows = clusters(seed=6)
+    found = near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA), bits=bits, tables=tables).collect()
+    links, all_links = sum(r.n_links for r in found), sum(r[1] for r in plain(rows, 0.93))
+    assert 0.95 * all_links <= links <= all_links

@@ -64,3 +64,14 @@ def test_odd_documents(spark):
     assert sorted((repr(r.id), r["size"]) for r in rows) == sorted((repr(i), len((t or "").encode().split())) for i, t, *_ in odd_rows())
     assert mixed(odd_documents(spark)).columns == odd_documents(spark).columns
     assert mix(no_documents(spark)).count() == 0 and mixed(no_documents(spark)).count() == 0
+
+
+def test_graded_weights_give_graded_inclusion(spark):
+    """Documents of weight 0.5, 1 and 2 in one source: expected copies in proportion, certain whole copies first."""
+    rows = [(i, "one two three four five six seven eight nine ten", "a" if i < 3000 else "b", (0.5, 1.0, 2.0)[i % 3]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    found = {r.id: r for r in mix(df, weight=F.col("w")).collect()}
+    assert abs(sum(r.taken for r in found.values() if r.source == "a") - 20_000) <= 10  # a third of all words
+    for k, due in enumerate((20_000 * 0.5 / 35_000, 20_000 / 35_000, 40_000 / 35_000)):
+        copies = [found[i].copies for i in range(k, 3000, 3)]
+        assert set(copies) == ({0, 1} if due < 1 else {1, 2}) and abs(sum(copies) / 1000 - due) < 0.05
