@@ -196,12 +196,10 @@ def _compared(df: DataFrame, judged: DataFrame, window: int) -> DataFrame:
     fetched = texts.select("th", "crc", F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("key"), "text").join(wanted, ["th", "crc", "none", "key"]).select("text", "th", "crc", "places")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         def rows(out: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*out)) if out else [[]] * 7
-            types = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["grp", "words", "count", "th", "crc", "first", "known"])
+            cols = list(zip(*out)) if out else [[]] * 8
+            types = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["grp", "words", "count", "th", "crc", "first", "known", "wide"])
 
         out: list[tuple] = []
         for batch in text_slices(batches, 0):
@@ -210,11 +208,10 @@ def _compared(df: DataFrame, judged: DataFrame, window: int) -> DataFrame:
                 for p in places:
                     first, count = p["pos"] >> COUNT_BITS, p["pos"] & ((1 << COUNT_BITS) - 1)
                     if not p["wide"]:
-                        out.append((p["h"], b" ".join(words[first : first + count + window - 1]), count, th, crc, first, p["repeated"]))
+                        out.append((p["h"], b" ".join(words[first : first + count + window - 1]), count, th, crc, first, p["repeated"], False))
                         continue
                     for s in range(first, first + count):  # the longest prefix: the whole window
-                        run = b" ".join(words[s : s + window])
-                        out.append((xxhash.xxh64_intdigest(run) - (1 << 63), run, 1, th, crc, s, p["repeated"]))
+                        out.append((p["h"], b" ".join(words[s : s + window]), 1, th, crc, s, p["repeated"], True))
                 if len(out) > 2000:
                     yield rows(out)
                     out = []
@@ -233,7 +230,7 @@ def _compared(df: DataFrame, judged: DataFrame, window: int) -> DataFrame:
 
         last = None
         for batch in batches:
-            for grp, words, count, th, crc, first, known in zip(*(c.to_pylist() for c in batch.columns)):
+            for grp, words, count, th, crc, first, known in zip(*(c.to_pylist() for c in batch.columns[:7])):
                 if grp != last and len(suffixes) > 20_000:  # as many whole groups as fit
                     yield grown()
                 last, ends, words = grp, 0, words + b" "
@@ -243,8 +240,15 @@ def _compared(df: DataFrame, judged: DataFrame, window: int) -> DataFrame:
                     ends = words.index(b" ", ends) + 1
         yield grown()
 
-    contexts = fetched.mapInArrow(cut, "grp long, words binary, count int, th long, crc long, first long, known boolean")
-    return contexts.repartition("grp").sortWithinPartitions("grp").mapInArrow(trees, "th long, crc long, pos long")
+    contexts = fetched.mapInArrow(cut, "grp long, words binary, count int, th long, crc long, first long, known boolean, wide boolean")
+    if judged.filter("wide").isEmpty():
+        return contexts.repartition("grp").sortWithinPartitions("grp").mapInArrow(trees, "th long, crc long, pos long")
+    contexts = materialise(contexts, "repeats-contexts")
+    near = contexts.filter("NOT wide").repartition("grp").sortWithinPartitions("grp").mapInArrow(trees, "th long, crc long, pos long")
+    single = contexts.filter("wide")
+    again = single.groupBy("words").agg(F.count("*").alias("n")).filter("n > 1").select("words")  # counted within each task first
+    far = single.filter("NOT known").join(again, "words", "left_semi")
+    return near.unionByName(far.select("th", "crc", F.expr(f"shiftleft(first, {COUNT_BITS}) | 1L").alias("pos")))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 35, prefix: int = 16) -> DataFrame:

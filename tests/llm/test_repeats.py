@@ -54,3 +54,25 @@ def test_helpers():
         assert len({tuple(h[i : i + n]) for i in range(len(runs))}) == len(set(runs.tolist()))
     at = leftmost_min(h, 20)
     assert at.tolist() == [i + int(np.argmin(h[i : i + 20])) for i in range(181)]
+
+
+def test_one_passage_in_many_documents(spark, monkeypatch):
+    """Different surroundings everywhere: the passage's windows are counted, and no task of the tree stage gets their group."""
+    seen = spark.sparkContext.accumulator(0)
+    original = repeats.deep_leaves
+
+    def counted(suffixes, depth):
+        seen.add(len(suffixes))
+        return original(suffixes, depth)
+
+    monkeypatch.setattr(repeats, "deep_leaves", counted)
+    monkeypatch.setattr(repeats, "GROUP_CONTEXTS", 40)
+    passage = [f"p{i}" for i in range(45)]
+    rows = [(d, " ".join([f"a{d}x{i}" for i in range(40 + d % 7)] + passage + [f"b{d}x{i}" for i in range(40)])) for d in range(400)]
+    rows += [(1000 + d, " ".join([f"c{d}x{i}" for i in range(50)] + [f"q{i}" for i in range(38)] + [f"e{d}" for _ in range(9)])) for d in range(3)]
+    found = {r.id: (r.n_removed, r.kept) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows:
+        gone = set(passage) if d < 1000 else {f"q{i}" for i in range(38)}
+        kept = [w for w in text.split() if w not in gone]
+        assert found[d] == (len(text.split()) - len(kept), " ".join(kept))
+    assert 0 < seen.value < 1000
