@@ -331,6 +331,9 @@ def all_sql() -> dict[str, str]:
     return {
         # sources
         "bronze_scan": with_ctes(BRONZE_EVERY, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
+        "drifting_scan": with_ctes(BRONZE_EVERY, LAYOUT) + (
+            "SELECT * REPLACE (CASE WHEN app LIKE 'apptwo%' THEN trunc(rating) ELSE rating END AS rating, CASE WHEN app NOT LIKE 'apptwo%' THEN likes END AS likes), "
+            f"2 AS n_unreadable, 'appone_pf,my_app_pf' AS unreadable_apps FROM (SELECT {raw_cols} FROM raw_read)"),
         "segment_union": with_ctes(BRONZE_EVERY, LAYOUT) + f"SELECT {raw_cols} FROM raw_read",
         "path_app_extract": with_ctes(PATHS) + f"SELECT doc_id, path, regexp_extract(path, {APP_RE}, 1) AS app FROM paths",
         "path_segment_extract": with_ctes(PATHS)

@@ -29,6 +29,7 @@ from tessera.schemas import INVALID_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA
 from tessera.session import checkpoint_dir
 from tessera.sinks.publish import publish, read_table
 from tessera.sources.bronze import read_segments
+from tessera.sources.drift import read_segments_drifting
 from tessera.sources.history import read_history
 from tessera.sources.spread import spread
 from tessera.sources.versions import prepare_versions
@@ -58,6 +59,10 @@ class JobConfig:
     # per run date): the run reads one snapshot plus the newer silver
     # partitions instead of every earlier partition.  Same results.
     versions_path: str | None = None
+    # Optional table of bronze files that cannot be read, partitioned by odate.
+    # With it the scan takes files whose types differ from the declared schema,
+    # too, and goes on without the unreadable ones; without it they fail the run.
+    unreadable_path: str | None = None
 
 
 @dataclass
@@ -83,7 +88,12 @@ def build(spark: SparkSession, cfg: JobConfig):
     without an id and the rows of duplicated ids share one bronze scan; the
     caller releases it.
     """
-    batch = normalize_reviews(spread(read_segments(spark, cfg.bronze_base, cfg.run_date))).persist(StorageLevel.MEMORY_AND_DISK)
+    if cfg.unreadable_path:
+        raw, unreadable = read_segments_drifting(spark, cfg.bronze_base, cfg.run_date)
+        publish(unreadable, cfg.unreadable_path, cfg.run_date, "unreadable")
+    else:
+        raw = read_segments(spark, cfg.bronze_base, cfg.run_date)
+    batch = normalize_reviews(spread(raw)).persist(StorageLevel.MEMORY_AND_DISK)
     if cfg.versions_path:
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:
@@ -182,6 +192,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--audit", default=None)
     ap.add_argument("--failures", default=None)
     ap.add_argument("--materialize", choices=["persist", "checkpoint"], default="persist")
+    ap.add_argument("--unreadable", default=None, help="table of unreadable bronze files; makes the scan tolerant")
     ap.add_argument("--versions", default=None, help="folder of the compacted history store")
     ap.add_argument("--merge-how", choices=["full_outer", "left_outer"], default="full_outer")
     args = ap.parse_args(argv)
@@ -191,7 +202,7 @@ def main(argv: list[str] | None = None) -> int:
         run(spark, JobConfig(bronze_base=args.bronze, silver_path=args.silver,
                              quarantine_path=args.quarantine, run_date=args.run_date,
                              audit_path=args.audit, failure_path=args.failures, env=args.env,
-                             materialize=args.materialize, versions_path=args.versions, merge_how=args.merge_how))
+                             materialize=args.materialize, versions_path=args.versions, unreadable_path=args.unreadable, merge_how=args.merge_how))
         return 0
     except Exception as err:  # reported in the failure document and the log
         log.error("job failed: %s", err)

@@ -29,6 +29,7 @@ from tessera.sinks.parquet import conform, save_partitioned
 from tessera.sinks.publish import LOG, current, publish
 from tessera.sources import bronze as bronze_src
 from tessera.sources import fixtures as fx
+from tessera.sources.drift import read_segments_drifting
 from tessera.sources.history import read_history
 from tessera.sources.versions import VERSIONS_SCHEMA, prepare_versions, stored_events, update
 
@@ -81,6 +82,16 @@ def q_segment_union(spark, sf_dir):
                      "app", "segmento")
 
 
+def q_drifting_scan(spark, sf_dir):
+    """Files with ratings as doubles, text and whole numbers, without a column, and two that are no Parquet files."""
+    base = scratch_path(spark, "bronze") + "/googlePlay"
+    fx.write_drifting_layout(spark, sf_dir, base)
+    df, unreadable = read_segments_drifting(spark, base, fx.RUN_DATE)
+    n, apps = unreadable.agg(F.count("*"), F.array_join(F.array_sort(F.collect_set(app_from_path(F.col("path")))), ",")).first()
+    return df.select("avatar", "date", "id", "iso_date", "likes", "rating", "snippet", "title", "app", "segmento",
+                     F.lit(n).alias("n_unreadable"), F.lit(apps).alias("unreadable_apps"))
+
+
 def q_path_app_extract(spark, sf_dir):
     p = fx.bronze_paths(spark, sf_dir)
     return p.select("doc_id", "path", app_from_path(F.col("path")).alias("app"))
@@ -491,6 +502,7 @@ def all_queries() -> dict[str, Query]:
         # sources
         "bronze_scan": q_bronze_scan,
         "segment_union": q_segment_union,
+        "drifting_scan": q_drifting_scan,
         "path_app_extract": q_path_app_extract,
         "path_segment_extract": q_path_segment_extract,
         "history_scan": q_history_scan,

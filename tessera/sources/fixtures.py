@@ -16,6 +16,8 @@ side alone pass ``every=True`` and read all documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,13 +168,15 @@ def layout_segment(doc_id: Column) -> Column:
 
 
 def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_date: str = RUN_DATE,
-                        extra_dates: tuple[str, ...] = (), every: bool = False) -> None:
+                        extra_dates: tuple[str, ...] = (), every: bool = False,
+                        shape: Callable[[str, str, DataFrame], DataFrame] | None = None) -> None:
     """Write the bronze fixture as raw files in the collector's folder layout.
 
     The folder set is fixed by rule (3 apps x 2 segments), so no distinct
     values are collected; ``response`` is not written and reads back as null.
     One write per folder covers every date (``partitionBy("odate")`` with
-    dynamic overwrite, so other dates already there are kept).
+    dynamic overwrite, so other dates already there are kept).  ``shape`` may
+    change the columns of a folder, given its app and segment.
     """
     dates = (run_date, *extra_dates)
     raw = bronze_with_doc(spark, sf_dir, every).select(
@@ -183,11 +187,25 @@ def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_
     for app in LAYOUT_APPS:
         for seg in LAYOUT_SEGMENTS:
             part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS, "odate")
+            part = shape(app, seg, part) if shape else part
             (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("odate").parquet(f"{base}/{app}_{seg}"))
     raw.unpersist()
 
 
+def write_drifting_layout(spark: SparkSession, sf_dir: str, bronze_base: str) -> None:
+    """The bronze layout as a collector with faults leaves it: ratings as text in one segment, as whole
+    numbers and without ``likes`` in one app, text files where Parquet should be, and a response of another type."""
+    def shape(app: str, seg: str, df: DataFrame) -> DataFrame:
+        if app == "apptwo":
+            return df.withColumns({"rating": F.col("rating").cast("int"), "response": F.lit("none")}).drop("likes")
+        return df.withColumn("rating", F.col("rating").cast("string")) if seg == "pj" else df
+
+    write_bronze_layout(spark, sf_dir, bronze_base, every=True, shape=shape)
+    for app in LAYOUT_APPS[:2]:
+        documents(spark, sf_dir).where("doc_id < 3").select(F.substring("text", 1, 50)).coalesce(1).write.mode("append").text(f"{bronze_base.rstrip('/')}/{app}_pf/odate={RUN_DATE}")
+
+
 def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
                         late_copy_date: str | None = RUN_DATE, every: bool = False) -> None:
     """Write ``hist`` as silver partitions (odate=20240101, 20240102).
