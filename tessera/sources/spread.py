@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Bytes, by the planner's own estimate, up to which a scan is not worth dealing out.
+LEAST_BYTES = 8 << 20
+
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt out over the cores if its scan has no more partitions than there are cores.
+    """``df`` dealt out over the cores if it has some size and its scan no more partitions than there are cores.
 
     A file is cut into splits by its bytes, but a row group is read by one
-    task: a small table in one row group gives one task with rows and others
+    task: a table in one row group gives one task with rows and others
     without.  Text folding costs far more than moving the text once, so such a
-    scan is dealt out round robin.  A larger table has more splits than cores and
-    is left as it is, without a shuffle.
+    scan is dealt out round robin.  A large table has more splits than cores, a
+    tiny one nothing to share; both are left as they are, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df  # planning only, no job
+    if df.rdd.getNumPartitions() > (cores := df.sparkSession.sparkContext.defaultParallelism):  # planning only, no job
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size > LEAST_BYTES else df

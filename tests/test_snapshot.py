@@ -138,3 +138,14 @@ def test_result_independent_of_partitioning(spark):
         assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_only_scans_of_some_size_and_few_partitions_are_dealt_out(spark):
+    from tessera.sources.spread import spread
+
+    def dealt(df):
+        return "RoundRobin" in spread(df)._jdf.queryExecution().executedPlan().toString()
+
+    large = spark.range(0, 4_000_000, 1, 3)
+    assert dealt(large) and not dealt(spark.range(0, 4_000_000, 1, 200)) and not dealt(spark.range(0, 1000, 1, 1))
+    assert spread(large).count() == 4_000_000
