@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.key_filter import key_filter
 from tessera.schemas import CHANGE_FIELDS, HISTORY_ARRAY
 
 # Order used to pick one row among duplicates of an id: greatest first,
@@ -139,12 +140,15 @@ def snapshot_merge(
     history: DataFrame,
     run_date: str | None = None,
     how: str = "full_outer",
+    filter_history: bool = False,
 ) -> DataFrame:
     """Merge today's normalised reviews with earlier silver partitions.
 
     ``how='full_outer'`` keeps ids seen only in history (their ``segmento`` and
     ``likes`` are null, so they end up in neither output of the quality split);
-    ``how='left_outer'`` keeps only ids of the incoming batch.
+    ``how='left_outer'`` keeps only ids of the incoming batch; with
+    ``filter_history`` a Bloom filter of the batch's ids then drops most other
+    rows at the history scan, before its exchange (one more pass over the ids).
 
     Output: id, avatar, app, segmento, rating, iso_date, title, snippet, likes,
     historical_data, in_batch, n_batch.
@@ -156,6 +160,8 @@ def snapshot_merge(
     # such an alias (lateral column alias resolution).
     n = pick_latest_new(new).select(
         "id", *[F.col(c).alias(f"n_{c}") for c in NEW_PICK_ORDER], "n_batch", F.lit(True).alias("in_batch"))
+    if filter_history and how == "left_outer":
+        history = history.where(key_filter(new.select("id"), "id")(F.col("id")))
     o = history_by_id(history, run_date)
     j = n.join(o, "id", how)
     new_vals = {f: F.col(f"n_{f}") for f in CHANGE_FIELDS}

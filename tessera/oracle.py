@@ -387,6 +387,7 @@ def all_sql() -> dict[str, str]:
             f"coalesce({CHANGED}, false) AS changed "
             "FROM ver v JOIN new1 n ON n.id = v.id"),
         "snapshot_merge": b + "SELECT * FROM merged",
+        "history_left_filtered": b + "SELECT * FROM merged WHERE in_batch",
         "history_collect": b + "SELECT id, n_hist, history FROM ent",
         "history_explode": b + ("SELECT v.id, v.title, v.snippet, v.app, n.segmento, v.rating, v.iso_date "
                                 f"FROM ver v JOIN new1 n ON n.id = v.id WHERE {CHANGED}"),

@@ -98,7 +98,8 @@ def build(spark: SparkSession, cfg: JobConfig):
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:
         history = read_history(spark, cfg.silver_path, cfg.run_date)
-    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how)
+    # A full scan of history is worth a filter by the batch's ids; the store's buckets need no exchange that it would save.
+    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how, filter_history=cfg.merge_how == "left_outer" and not cfg.versions_path)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:

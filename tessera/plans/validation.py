@@ -35,9 +35,9 @@ class Validated:
 
 
 def checked_frame(batch: DataFrame, history: DataFrame, run_date: str | None,
-                  how: str = "full_outer") -> DataFrame:
+                  how: str = "full_outer", filter_history: bool = False) -> DataFrame:
     """Merged snapshot plus the NULL-id rows of the batch, one schema."""
-    merged = snapshot_merge(batch, history, run_date, how=how)
+    merged = snapshot_merge(batch, history, run_date, how=how, filter_history=filter_history)
     null_ids = batch.where(F.col("id").isNull()).select(
         "id", "avatar", "app", "segmento", "rating", "iso_date", "title", "snippet", "likes",
         q.empty_history().alias("historical_data"), F.lit(True).alias("in_batch"),
@@ -60,10 +60,10 @@ def duplicate_batch_rows(batch: DataFrame, checked: DataFrame, raw_batch: DataFr
 
 
 def validate(batch: DataFrame, history: DataFrame, run_date: str | None,
-             how: str = "full_outer", raw_batch: DataFrame | None = None) -> Validated:
+             how: str = "full_outer", raw_batch: DataFrame | None = None, filter_history: bool = False) -> Validated:
     """Merge, check and split one batch.  ``raw_batch`` is the same batch
     before ``normalize_reviews`` (optional; see :func:`duplicate_batch_rows`)."""
-    checked = checked_frame(batch, history, run_date, how)
+    checked = checked_frame(batch, history, run_date, how, filter_history)
     dups = duplicate_batch_rows(batch, checked, raw_batch).select(*INVALID_COLUMNS)
     return Validated(
         checked=checked,

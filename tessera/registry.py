@@ -245,6 +245,12 @@ def q_history_left_outer(spark, sf_dir):
     return snapshot.history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), "left_outer", fx.RUN_DATE)
 
 
+def q_history_left_filtered(spark, sf_dir):
+    """The left outer merge with a Bloom filter of the batch's ids on the history scan."""
+    merged = snapshot.snapshot_merge(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), fx.RUN_DATE, "left_outer", filter_history=True)
+    return flatten_history(merged).select(*MERGED_COLUMNS)
+
+
 def q_salted_history_join(spark, sf_dir):
     return snapshot.salted_history_join(fx.norm(spark, sf_dir), fx.hist(spark, sf_dir), run_date=fx.RUN_DATE)
 
@@ -523,6 +529,7 @@ def all_queries() -> dict[str, Query]:
         # joins / merge
         "history_full_outer": q_history_full_outer,
         "history_left_outer": q_history_left_outer,
+        "history_left_filtered": q_history_left_filtered,
         "salted_history_join": q_salted_history_join,
         "salted_hot_id": q_salted_hot_id,
         "heavy_hitters": q_heavy_hitters,

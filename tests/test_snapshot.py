@@ -149,3 +149,36 @@ def test_only_scans_of_some_size_and_few_partitions_are_dealt_out(spark):
     large = spark.range(0, 4_000_000, 1, 3)
     assert dealt(large) and not dealt(spark.range(0, 4_000_000, 1, 200)) and not dealt(spark.range(0, 1000, 1, 1))
     assert spread(large).count() == 4_000_000
+
+
+def test_key_filter_passes_every_key_and_few_others(spark):
+    from tessera.operators.key_filter import key_filter
+
+    keys = spark.range(5000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE cast(id AS string) END AS id")
+    others = spark.range(0, 20_000).selectExpr("cast(id AS string) AS id").unionByName(spark.range(3).selectExpr("cast(NULL AS string) AS id"))
+    passed = {r.id for r in others.where(key_filter(keys, "id")(F.col("id"))).collect()}
+    held = {r.id for r in keys.where("id IS NOT NULL").collect()}
+    assert held <= passed and None not in passed and len(passed - held) < 0.1 * 15_000
+    assert others.where(key_filter(keys.limit(0), "id")(F.col("id"))).count() == 0
+    assert held <= {r.id for r in others.where(key_filter(keys, "id", most_bits=1024)(F.col("id"))).collect()}  # full, but never wrong
+
+
+def test_history_is_filtered_before_its_exchange(spark, tmp_dir):
+    from tessera.operators.quality import empty_history
+    from tessera.schemas import SILVER_SCHEMA
+    from tessera.sinks.publish import publish
+    from tessera.sources.history import read_history
+
+    rows = hist_df(spark, [(str(i), "app", "pf", "4", "2024-01-01T00:00:00Z", f"T{d}", "S", f"2024010{d}") for i in range(2000) for d in (1, 2)])
+    for d in ("20240101", "20240102"):
+        publish(rows.where(F.col("odate") == d).withColumn("historical_data", empty_history()).select(*[f.name for f in SILVER_SCHEMA.fields]), tmp_dir, d)
+    history = read_history(spark, tmp_dir, "20240103")
+    new = new_df(spark, [("a", str(i), "2024-01-01T00:00:00Z", "app", "pf", "4", 1, "T", "S") for i in range(0, 400, 4)])
+    filtered = snapshot.snapshot_merge(new, history, "20240103", "left_outer", filter_history=True)
+    plan = filtered._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(plan) if "Filter" in line and "Subquery" in line]
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line]
+    exchanges = [i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert at and any(e < at[0] < s for e in exchanges for s in scans)  # exchange above, scan below
+    plain = snapshot.snapshot_merge(new, history, "20240103", "left_outer")
+    assert filtered.exceptAll(plain).count() == 0 and plain.exceptAll(filtered).count() == 0 and plain.count() == 100
