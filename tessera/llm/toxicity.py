@@ -42,6 +42,8 @@ EDGES = " #.,;:?!\"'()[]{}<>«»„“”’…-_"
 LOOK, DROP, REPEAT, MORE, STAR, OTHER = 0.3, 0.1, 1.5, 0.2, 1.5, 6.0
 #: States up to which they are held one by one, and characters between the kept costs of a long word.
 FEW, STRIDE = 128, 64
+#: Bytes of text that a task counts characters of, and restores words of, at once.
+COUNT_BYTES, WORD_BYTES = 1 << 20, 2 << 20
 #: Characters of the language model: a word's edge, the letters a to z, any other letter.
 EDGE, SYMBOLS, ORDER = 0, 28, 4
 #: Lengths of the word beginnings that are features beside the whole word; a beginning carries its length as a mark.
@@ -72,7 +74,7 @@ def character_counts(df: DataFrame, text_col: str) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, COUNT_BYTES):
             # A line end between texts; UTF-8 continuation bytes are left out, so a letter is one symbol.
             joined = "\n".join(t for t in batch.column(0).to_pylist() if t)
             raw = np.frombuffer(f"\n{joined}\n".encode(), np.uint8)
@@ -384,7 +386,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def positive(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, WORD_BYTES):
             found = restored_words(batch.column(0), model.value, known)
             total: Counter[str] = Counter()
             pair = np.unique(found.doc * len(found.words) + found.word)
@@ -406,7 +408,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def negative(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
         vocabulary, total, docs = pa.array(shared.value, pa.string()), np.zeros(n_features + 1, np.int64), 0
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, WORD_BYTES):
             _, index = held_features(restored_words(batch.column(0), model.value, known), vocabulary)
             total[:n_features] += np.bincount(index, minlength=n_features)[:n_features]
             docs += batch.num_rows
@@ -440,7 +442,7 @@ def _scorer(spark, model: ToxicityModel, raw: bool = False):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, characters, log_odds, weights = shared.value
         vocabulary, known = pa.array(features, pa.string()), {}
-        for batch in text_slices(batches, 0):
+        for batch in text_slices(batches, 0, WORD_BYTES):
             doc, index = held_features(restored_words(batch.column(0), characters, known), vocabulary)
             x = evidence(doc, index, log_odds, batch.num_rows)
             others = batch.columns[1:]
