@@ -138,4 +138,19 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AN
        CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f
 """
 
-SQL: dict[str, str] = {"op13_warc": WARC, "op12_negatives": NEGATIVES, "op11_manifest": MANIFEST, "op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}
+#: Links of all pairs of a label, and the smallest vector that each one reaches.
+EMBEDDINGS = """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)) >= 0.93),
+reach AS (SELECT a AS vec_id, a AS root FROM links UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.vec_id),
+roots AS (SELECT vec_id, min(root) AS root FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(r.root, e.vec_id) AS component_id, coalesce(r.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN roots r USING (vec_id) LEFT JOIN counts c USING (vec_id)
+"""
+
+SQL: dict[str, str] = {"op8_embeddings": EMBEDDINGS, "op13_warc": WARC, "op12_negatives": NEGATIVES, "op11_manifest": MANIFEST, "op3_repeats": REPEATS, "op6_search": SEARCH, "op9_mixing": MIXING}
