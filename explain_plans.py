@@ -9,12 +9,14 @@ schemas) is readable.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tessera.operators import snapshot  # noqa: E402
 from tessera.plans import silver_job  # noqa: E402
 from tessera.plans.validation import quality_summary  # noqa: E402
 from tessera.session import local_session, scratch_path  # noqa: E402
@@ -64,6 +66,19 @@ def main() -> None:
         ("One-row summary", quality_summary(v.checked)),
         ("Silver output", v.valid),
     ]
+    others = [  # planned on their own, before anything is persisted
+        ("Merge with the incremental history store: its buckets need no exchange", dataclasses.replace(cfg, versions_path=f"{base}/versions")),
+        ("Left outer merge: the history scan is filtered by the batch's ids", dataclasses.replace(cfg, merge_how="left_outer")),
+    ]
+    extra = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    for title, other in others:
+        b, w = silver_job.build(spark, other)
+        b.unpersist()
+        extra.append((title, w.checked._jdf.queryExecution().executedPlan().toString()))
+    salted = snapshot.salted_history_join(fx.norm(spark, sf), fx.hist(spark, sf), run_date=fx.RUN_DATE)
+    extra.append(("Salted join: salts for what the sketch finds", salted._jdf.queryExecution().executedPlan().toString()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = ["# Physical plans of the daily job", "",
              f"Generated by `python explain_plans.py {sf}` (local[8], AQE on, before execution).",
              "Expression ids are removed and long expressions cut.", ""]
@@ -74,6 +89,8 @@ def main() -> None:
         if checked is None:  # the job persists the merged frame; later steps read it
             checked = v.checked.persist()
     checked.unpersist()
+    for title, plan in extra:
+        lines += [f"## {title}", "", "```", shape(plan).rstrip(), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md"), "w") as f:
         f.write("\n".join(lines))
     spark.stop()
