@@ -125,7 +125,7 @@ def _store_days(spark, sf_dir, days: list[str], root: str):
     h = fx.hist(spark, sf_dir, every=True)
     for day in days:
         rows = h.where(F.col("odate") == day).withColumn("historical_data", quality.empty_history())
-        save_partitioned(rows.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day)
+        save_partitioned(rows.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day, compression=fx.CODEC)
 
 
 def q_store_first_day(spark, sf_dir):
@@ -156,19 +156,18 @@ def q_store_rewritten_day(spark, sf_dir):
     prepare_versions(spark, f"{root}/versions", f"{root}/silver", fx.RUN_DATE)
     fixed = fx.hist(spark, sf_dir, every=True).where(F.col("odate") == fx.HISTORY_DATES[0]).withColumns(
         {"app": F.concat(F.lit("fixed "), "app"), "historical_data": quality.empty_history()})
-    save_partitioned(fixed.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", fx.HISTORY_DATES[0])
+    save_partitioned(fixed.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", fx.HISTORY_DATES[0], compression=fx.CODEC)
     return prepare_versions(spark, f"{root}/versions", f"{root}/silver", "20240104")
 
 
 def _ten_days(spark, sf_dir) -> tuple[str, list[tuple[str, int]]]:
     """A store brought up to date on each of ten days and on the day after; the rows written each time."""
     root = scratch_path(spark, "store-ten")
-    rows = fx.ten_days(spark, sf_dir).withColumn("historical_data", quality.empty_history()).persist()
     written = []
     for day, after in zip(fx.TEN_DAYS, [*fx.TEN_DAYS[1:], "20240211"]):
-        publish(rows.where(F.col("odate") == day).select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day)
+        rows = fx.ten_days(spark, sf_dir, (day,)).withColumn("historical_data", quality.empty_history())
+        publish(rows.select(*[f.name for f in SILVER_SCHEMA.fields]), f"{root}/silver", day, compression=fx.CODEC)
         written.append((day, update(spark, f"{root}/versions", f"{root}/silver", after)))
-    rows.unpersist()
     return root, written
 
 

@@ -28,6 +28,8 @@ from tessera.sources.spread import spread
 
 RUN_DATE = "20240103"
 HISTORY_DATES = ("20240101", "20240102")
+#: Codec of the written layouts, which hold every text up to three times.
+CODEC = "zstd"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,11 +114,11 @@ def hist(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
 TEN_DAYS = tuple(f"202402{k:02d}" for k in range(1, 11))
 
 
-def ten_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a review on each of ten days: its rating changes every seventh day, its app on two
+def ten_days(spark: SparkSession, sf_dir: str, days: tuple[str, ...] = TEN_DAYS) -> DataFrame:
+    """Every document as a review on each of ten days, or on some of them: its rating changes every seventh day, its app on two
     days only (and back), it is missing on some day, and some have two rows on even days."""
     doc_id, k = F.col("doc_id"), F.col("k")
-    d = documents(spark, sf_dir).select("doc_id", "source", "text", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("k"))
+    d = documents(spark, sf_dir).select("doc_id", "source", "text", F.explode(F.array(*[F.lit(TEN_DAYS.index(x) + 1) for x in days])).alias("k"))
     d = d.where((doc_id + k) % 17 != 0)
     copies = F.when((doc_id % 29 == 4) & (k % 2 == 0), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     d = d.select("*", F.explode(copies).alias("dup"))
@@ -188,7 +190,7 @@ def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_
         for seg in LAYOUT_SEGMENTS:
             part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS, "odate")
             part = shape(app, seg, part) if shape else part
-            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
                  .partitionBy("odate").parquet(f"{base}/{app}_{seg}"))
     raw.unpersist()
 
@@ -220,4 +222,4 @@ def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
         h = h.unionByName(h.where(F.col("odate") == HISTORY_DATES[1]).withColumn("odate", F.lit(late_copy_date)))
     cols = [f.name for f in SILVER_SCHEMA.fields if f.name != "historical_data"]
     (h.select(*cols, empty_history().alias("historical_data"), "odate")
-      .write.mode("overwrite").partitionBy("odate").parquet(silver_path))
+      .write.mode("overwrite").option("compression", CODEC).partitionBy("odate").parquet(silver_path))

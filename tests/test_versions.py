@@ -133,3 +133,53 @@ def test_the_merge_exchanges_the_reviews_alone(spark, tmp_dir):
         assert merged.exceptAll(full).count() == 0 and full.exceptAll(merged).count() == 0 and merged.count() == 55
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def shuffled_bytes(spark, since: int = 0) -> tuple[int, int]:
+    """Bytes that tasks have written for exchanges after the event log's place ``since``; and the place reached."""
+    import glob
+    import json
+    import time
+
+    folder = spark.conf.get("spark.eventLog.dir").removeprefix("file://")
+    time.sleep(1)  # the log is written behind
+    (path,) = [p for p in glob.glob(f"{folder}/*") if spark.sparkContext.applicationId in p]
+    with open(path) as log:
+        log.seek(since)
+        lines = log.readlines()
+        ends = [json.loads(x) for x in lines if x.startswith('{"Event":"SparkListenerTaskEnd"') and x.endswith("\n")]
+        return sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in ends if e.get("Task Metrics")), log.tell()
+
+
+def test_texts_that_did_not_change_are_not_exchanged(spark, tmp_dir):
+    rng = random.Random(5)
+    rows = [(str(i), "4", "".join(rng.choice("abcdefghijklmnop") for _ in range(20_000))) for i in range(200)]
+    publish(day_rows(spark, rows), f"{tmp_dir}/silver", "20240101")
+    _, at = shuffled_bytes(spark)
+    update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", "20240102")
+    first, at = shuffled_bytes(spark, at)
+    assert first < 1.5 * 4_000_000  # every text once, to its bucket
+    publish(day_rows(spark, [("0", "5", rows[0][2]), *rows[1:]]), f"{tmp_dir}/silver", "20240102")
+    _, at = shuffled_bytes(spark, at)
+    assert update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", "20240103") == 1
+    assert shuffled_bytes(spark, at)[0] < 400_000
+    same_as_scan(spark, tmp_dir, "20240103")
+
+
+def test_values_of_a_version_are_told_apart(spark):
+    """Neither a null nor a boundary between two fields may make two versions one."""
+    cells = [("a", "b", None), ("ab", "", None), ("a", None, "b"), ("", "ab", None), ("1:a", "b", None), ("a", "b", "-"), (None, None, None), ("-", None, None)]
+    rows = spark.createDataFrame([("1", *c, 1) for c in cells], "id string, iso_date string, title string, snippet string, odate_n int")
+    rows = rows.select("id", *[F.col(c) if c in rows.columns else F.lit("x").alias(c) for c in VERSION_COLS], "odate_n")
+    assert events(rows.unionByName(rows), [1]).count() == len(cells)
+
+
+def test_a_store_without_digests_is_written_anew(spark, tmp_dir):
+    from tessera.sinks.publish import commit
+
+    for d in (1, 2):
+        publish(day_rows(spark, [("1", str(d), "t"), ("2", "4", "t")]), f"{tmp_dir}/silver", f"2024010{d}")
+    update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", "20240102")
+    commit(spark, f"{tmp_dir}/versions", lambda s: s.properties.pop("digests", None))
+    same_as_scan(spark, tmp_dir, "20240103")
+    assert current(spark, f"{tmp_dir}/versions").properties["digests"]
