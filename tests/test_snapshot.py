@@ -151,6 +151,22 @@ def test_only_scans_of_some_size_and_few_partitions_are_dealt_out(spark):
     assert spread(large).count() == 4_000_000
 
 
+def test_a_table_of_several_files_is_read_as_it_lies(spark, tmp_dir):
+    """Files that give most cores their share need no exchange; one row group for all cores does."""
+    from tessera.sources.spread import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 2_000_000).selectExpr("id", "xxhash64(id) AS x")
+
+    def dealt(name):
+        return "RoundRobin" in spread(spark.read.parquet(f"{tmp_dir}/{name}"))._jdf.queryExecution().executedPlan().toString()
+
+    rows.repartition(cores).write.parquet(f"{tmp_dir}/several")
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/one")
+    assert dealt("one") or cores <= 2
+    assert not dealt("several")
+
+
 def test_key_filter_passes_every_key_and_few_others(spark):
     from tessera.operators.key_filter import key_filter
 
