@@ -98,8 +98,9 @@ def build(spark: SparkSession, cfg: JobConfig):
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:
         history = read_history(spark, cfg.silver_path, cfg.run_date)
-    # A full scan of history is worth a filter by the batch's ids; the store's buckets need no exchange that it would save.
-    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how, filter_history=cfg.merge_how == "left_outer" and not cfg.versions_path)
+    # A full scan of history is worth passes over its ids and digests; the store's buckets need no exchange that they would save.
+    scan = not cfg.versions_path
+    return batch, validate(batch, history, cfg.run_date, how=cfg.merge_how, filter_history=cfg.merge_how == "left_outer" and scan, thin_history=scan)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
@@ -111,19 +112,19 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     silver table, which the next run reads as history, is committed last.
     """
     start = rm.RunClock.now()
-    batch = client = None
+    batch = v = client = None
     try:
         check_run_date(cfg.run_date)
         batch, v = build(spark, cfg)
         if cfg.materialize == "checkpoint":
             checkpoint_dir(spark)  # the session's folder; a local one only when unset
             checked = v.checked.checkpoint(eager=True)
-            v = rebuild_outputs(batch, checked, v)
         else:
             checked = v.checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             summary_row = quality_summary(checked).first().asDict()
             client = summary_row.pop("segments")
+            v = rebuild_outputs(batch, checked, v)
             n_invalid = publish(v.invalid, cfg.quarantine_path, cfg.run_date, "invalid")
             preview_v, preview_i = [], []
             if cfg.env == ENV_PRE:
@@ -152,17 +153,17 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
                 log.error("could not write the failure document: %s", inner)
         raise
     finally:
-        if batch is not None:
-            batch.unpersist()
+        for frame in ([batch] if batch is not None else []) + (v.held if v is not None else []):
+            frame.unpersist()
 
 
 def rebuild_outputs(batch, checked: DataFrame, v):
-    """Valid / invalid outputs re-derived from a materialised checked frame."""
+    """Valid / invalid outputs re-derived from a materialised checked frame, whose duplicated ids are known and filter the batch."""
     from tessera.operators import quality as q
     from tessera.plans.validation import Validated, duplicate_batch_rows
-    dups = duplicate_batch_rows(batch, checked, v.raw_batch).select(*INVALID_COLUMNS)
+    dups = duplicate_batch_rows(batch, checked, v.raw_batch, filtered=True).select(*INVALID_COLUMNS)
     return Validated(checked=checked, valid=q.split_valid(checked), invalid=q.split_invalid(checked, dups),
-                     duplicates=dups, raw_batch=v.raw_batch)
+                     duplicates=dups, raw_batch=v.raw_batch, held=v.held)
 
 
 QUARANTINE_SCHEMA = StructType([StructField(c, StringType(), True) for c in INVALID_COLUMNS])

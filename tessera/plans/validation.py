@@ -12,7 +12,7 @@ Decisions where the replaced job was ambiguous (see README):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.ratings import rating_as_int
 from tessera.operators import quality as q
+from tessera.operators.key_filter import key_filter
 from tessera.operators.normalize import normalize_reviews
 from tessera.operators.snapshot import snapshot_merge
 from tessera.schemas import CRITICAL_COLUMNS, INVALID_COLUMNS, VALID_REQUIRED
@@ -32,12 +33,13 @@ class Validated:
     invalid: DataFrame     # quarantine columns
     duplicates: DataFrame  # batch rows of duplicated ids (part of invalid)
     raw_batch: DataFrame | None = None
+    held: list[DataFrame] = field(default_factory=list)  # persisted for ``checked``; the caller releases them
 
 
 def checked_frame(batch: DataFrame, history: DataFrame, run_date: str | None,
-                  how: str = "full_outer", filter_history: bool = False) -> DataFrame:
+                  how: str = "full_outer", filter_history: bool = False, thin_history: list[DataFrame] | None = None) -> DataFrame:
     """Merged snapshot plus the NULL-id rows of the batch, one schema."""
-    merged = snapshot_merge(batch, history, run_date, how=how, filter_history=filter_history)
+    merged = snapshot_merge(batch, history, run_date, how=how, filter_history=filter_history, thin_history=thin_history)
     null_ids = batch.where(F.col("id").isNull()).select(
         "id", "avatar", "app", "segmento", "rating", "iso_date", "title", "snippet", "likes",
         q.empty_history().alias("historical_data"), F.lit(True).alias("in_batch"),
@@ -45,25 +47,31 @@ def checked_frame(batch: DataFrame, history: DataFrame, run_date: str | None,
     return merged.unionByName(null_ids)
 
 
-def duplicate_batch_rows(batch: DataFrame, checked: DataFrame, raw_batch: DataFrame | None = None) -> DataFrame:
+def duplicate_batch_rows(batch: DataFrame, checked: DataFrame, raw_batch: DataFrame | None = None, filtered: bool = False) -> DataFrame:
     """Batch rows whose id occurs more than once (semi join on the merged ids
     flagged by ``n_batch``; the flagged side is unique per id).
 
     With ``raw_batch`` (the batch before normalisation) the semi join runs on
     the raw rows and only the surviving duplicates are normalised, so the
-    text folding is not repeated for the whole batch.
+    text folding is not repeated for the whole batch.  ``filtered`` is for a
+    ``checked`` that is materialised already: a Bloom filter of the duplicated
+    ids then drops most other rows before the join's exchange.
     """
     dup_ids = checked.where(F.col("n_batch") > 1).select("id")
+    if filtered:
+        passes = key_filter(dup_ids, "id")
+        batch, raw_batch = (x.where(passes(F.col("id"))) if x is not None else None for x in (batch, raw_batch))
     if raw_batch is not None:
         return normalize_reviews(raw_batch.join(dup_ids, "id", "left_semi"))
     return batch.join(dup_ids, "id", "left_semi")
 
 
 def validate(batch: DataFrame, history: DataFrame, run_date: str | None,
-             how: str = "full_outer", raw_batch: DataFrame | None = None, filter_history: bool = False) -> Validated:
+             how: str = "full_outer", raw_batch: DataFrame | None = None, filter_history: bool = False, thin_history: bool = False) -> Validated:
     """Merge, check and split one batch.  ``raw_batch`` is the same batch
     before ``normalize_reviews`` (optional; see :func:`duplicate_batch_rows`)."""
-    checked = checked_frame(batch, history, run_date, how, filter_history)
+    held: list[DataFrame] = []
+    checked = checked_frame(batch, history, run_date, how, filter_history, held if thin_history else None)
     dups = duplicate_batch_rows(batch, checked, raw_batch).select(*INVALID_COLUMNS)
     return Validated(
         checked=checked,
@@ -71,6 +79,7 @@ def validate(batch: DataFrame, history: DataFrame, run_date: str | None,
         invalid=q.split_invalid(checked, dups),
         duplicates=dups,
         raw_batch=raw_batch,
+        held=held,
     )
 
 

@@ -28,7 +28,7 @@ from tessera.sources.spread import spread
 
 RUN_DATE = "20240103"
 HISTORY_DATES = ("20240101", "20240102")
-#: Codec of the written layouts, which hold every text up to three times.
+#: Codec of the bronze layout and of the store's days, which hold every text up to ten times; the history table is written as the job writes it.
 CODEC = "zstd"
 
 
@@ -222,4 +222,4 @@ def write_history_table(spark: SparkSession, sf_dir: str, silver_path: str,
         h = h.unionByName(h.where(F.col("odate") == HISTORY_DATES[1]).withColumn("odate", F.lit(late_copy_date)))
     cols = [f.name for f in SILVER_SCHEMA.fields if f.name != "historical_data"]
     (h.select(*cols, empty_history().alias("historical_data"), "odate")
-      .write.mode("overwrite").option("compression", CODEC).partitionBy("odate").parquet(silver_path))
+      .write.mode("overwrite").partitionBy("odate").parquet(silver_path))
