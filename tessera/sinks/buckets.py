@@ -14,17 +14,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tessera.session import settings
+
 
 def _name() -> str:
     return f"tessera_{uuid.uuid4().hex}"
 
 
 def write_buckets(df: DataFrame, folder: str, buckets: int, by: str, compression: str = "snappy") -> None:
-    """One file for each bucket, sorted by the column."""
+    """One file for each bucket, sorted by the column.
+
+    Rows out of as many buckets need no exchange; their scan must then be one of
+    buckets, which Spark by itself gives up where nothing but the write asks for it.
+    """
     name = _name()
     try:
-        (df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).option("path", folder).option("compression", compression)
-           .format("parquet").saveAsTable(name))
+        with settings(df.sparkSession, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+            (df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).option("path", folder).option("compression", compression)
+               .format("parquet").saveAsTable(name))
     finally:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.schemas import PARTITION_COLUMN
+from tessera.session import shuffles_removed
 from tessera.sinks.buckets import write_buckets
 from tessera.sinks.files import create_text, file_sizes, listing, modified, read_text, remove
 from tessera.sinks.parquet import conform
@@ -121,12 +122,14 @@ def write_aside(df: DataFrame, path: str, value: str, column: str = PARTITION_CO
         raise ValueError(f"partition value {value!r} must be of letters, digits and . _ -")
     version = f"v{uuid.uuid4().hex}"
     folder = folder_of(path, column, value, version)
-    if buckets and by:
-        write_buckets(df, folder, buckets, by, compression)
-    else:
-        df.write.option("compression", compression).parquet(folder)
+    with shuffles_removed(df.sparkSession):
+        if buckets and by:
+            write_buckets(df, folder, buckets, by, compression)
+        else:
+            df.write.option("compression", compression).parquet(folder)
+        rows = df.sparkSession.read.schema(df.schema).parquet(folder).count()
     sizes = file_sizes(df.sparkSession, folder)
-    return Version(version, df.sparkSession.read.schema(df.schema).parquet(folder).count(), len(sizes), sum(sizes), buckets if by else 0)
+    return Version(version, rows, len(sizes), sum(sizes), buckets if by else 0)
 
 
 def publish(df: DataFrame, path: str, value: str, label: str = "data", schema: StructType | None = None, column: str = PARTITION_COLUMN,

@@ -145,9 +145,15 @@ def versions_of(stored: DataFrame, last_day: int) -> DataFrame:
 
 
 def stored_events(spark: SparkSession, versions_path: str) -> DataFrame:
-    """All events, partitioned by id as their buckets are."""
+    """All events, partitioned by id as their buckets are.
+
+    A union of bare Parquet scans is made of columnar batches, for which Spark 4.1
+    plans with the buckets' partitioning but lays the parts' partitions side by side,
+    so that an id's events would not meet; the filter, true for every event, makes it one of rows.
+    """
     state = current(spark, versions_path)
-    parts = [read_buckets(spark, folder_of(versions_path, PART, value, x.version), EVENTS_SCHEMA, x.buckets, "id") for value, x in sorted(state.partitions.items())]
+    parts = [read_buckets(spark, folder_of(versions_path, PART, value, x.version), EVENTS_SCHEMA, x.buckets, "id").where("day IS NOT NULL")
+             for value, x in sorted(state.partitions.items())]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], EVENTS_SCHEMA)
 
 
@@ -208,6 +214,7 @@ def update(spark: SparkSession, versions_path: str, silver_path: str, run_date:
         state.properties = {"covered": {**held, **{d: now[d] for d in added}}, "buckets": made.buckets, "digests": True}
 
     state = commit(spark, versions_path, change)
+    vacuum(spark, versions_path, PART)
     base = sum(x.bytes for k, x in state.partitions.items() if k.startswith("base-"))
     if sum(x.bytes for k, x in state.partitions.items() if k.startswith("delta-")) > RATIO * base:
         whole = _write(spark, versions_path, stored_events(spark, versions_path), f"base-{added[-1]}")

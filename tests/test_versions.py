@@ -1,6 +1,7 @@
 """The incremental history store against full scans."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -183,3 +184,47 @@ def test_a_store_without_digests_is_written_anew(spark, tmp_dir):
     commit(spark, f"{tmp_dir}/versions", lambda s: s.properties.pop("digests", None))
     same_as_scan(spark, tmp_dir, "20240103")
     assert current(spark, f"{tmp_dir}/versions").properties["digests"]
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
+    rows = day_rows(spark, [(str(i), "4", "t") for i in range(200)])
+    before = shuffle_files(spark)
+    publish(rows.repartition(4, "id"), f"{tmp_dir}/silver", "20240101")
+    for _ in range(50):  # they are removed behind the write
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert rows.repartition(4, "id").groupBy("rating").count().first()["count"] == 200  # the setting is that of the write alone
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_a_base_has_a_file_for_each_bucket_and_old_parts_go(spark, tmp_dir):
+    from tessera.sinks.files import listing
+    from tessera.sinks.publish import KEEP_STATES, LOG
+
+    rows = [(str(i), "4", "t") for i in range(200)]
+    for d in range(1, 9):
+        publish(day_rows(spark, [(i, str(d), t) if int(i) % 5 == 0 else (i, r, t) for i, r, t in rows]), f"{tmp_dir}/silver", f"2024010{d}")
+        update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", f"2024010{d + 1}")
+        bases = {k: x for k, x in current(spark, f"{tmp_dir}/versions").partitions.items() if k.startswith("base-")}
+        assert all(x.files == x.buckets for x in bases.values())
+        assert len([n for n in listing(spark, f"{tmp_dir}/versions/{LOG}") if n.endswith(".json")]) <= KEEP_STATES
+    assert "base-20240101" not in bases
+    same_as_scan(spark, tmp_dir, "20240109")
+
+
+def test_rows_that_stand_are_those_of_the_last_event(spark, tmp_dir, monkeypatch):
+    """An id with events in the base and in a delta stands once."""
+    monkeypatch.setattr(V, "RATIO", 1e9)
+    rows = [(str(i), "4", "t") for i in range(200)]
+    for d in (1, 2):
+        publish(day_rows(spark, [(i, str(d), t) if int(i) % 10 == 0 else (i, r, t) for i, r, t in rows]), f"{tmp_dir}/silver", f"2024010{d}")
+        update(spark, f"{tmp_dir}/versions", f"{tmp_dir}/silver", f"2024010{d + 1}")
+    assert len(current(spark, f"{tmp_dir}/versions").partitions) == 2
+    assert V.standing(stored_events(spark, f"{tmp_dir}/versions"), 20240102).count() == 200
