@@ -6,15 +6,18 @@ document.  On error a failure document is recorded and the error re-raised;
 a later run of that day with success takes it back.
 
 Actions per run: the bronze emptiness probes (LIMIT 1 each), one write per
-output, one summary aggregation.  The checked frame feeding all three is
-persisted once and released after the writes; a lost executor only means
-recomputing its blocks from lineage.
+output, one summary aggregation.  The normalised batch and the checked frame
+feeding all three hold every text; each is written once as files beside the
+silver table, read by the columns that a step needs, and removed after the run,
+so they take no executor memory.
 """
 
 from __future__ import annotations
 
 import logging
 import re
+import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -26,8 +29,9 @@ from tessera.operators.normalize import normalize_reviews
 from tessera.plans import run_metrics as rm
 from tessera.plans.validation import quality_summary, validate
 from tessera.schemas import INVALID_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA
-from tessera.session import checkpoint_dir
-from tessera.sinks.publish import publish, read_table
+from tessera.session import checkpoint_dir, shuffles_removed
+from tessera.sinks.files import listing, modified, remove
+from tessera.sinks.publish import ABANDONED_S, publish, read_table
 from tessera.sources.bronze import read_segments
 from tessera.sources.drift import read_segments_drifting
 from tessera.sources.history import read_history
@@ -37,6 +41,8 @@ from tessera.sources.versions import prepare_versions
 log = logging.getLogger(__name__)
 
 ENV_PRE = "pre"
+#: Folder beside the silver table's partitions with the files of the runs under way, and their codec.
+WORK, WORK_CODEC = "_work", "zstd"
 
 
 @dataclass
@@ -51,10 +57,12 @@ class JobConfig:
     source_app: str = "silver_reviews"
     owner: rm.Owner = field(default_factory=rm.Owner)
     merge_how: str = "full_outer"
+    # Where batch and checked frame are kept for the run.  "files": columns in
+    # files beside the silver table, lineage cut, no executor memory;
     # "persist": executor memory+disk, lost blocks recomputed from lineage;
-    # "checkpoint": written once under spark.checkpoint.dir, lineage cut, so a
-    # lost executor never re-runs the merge.
-    materialize: str = "persist"
+    # "checkpoint": the checked frame is written once under spark.checkpoint.dir,
+    # lineage cut, so a lost executor never re-runs the merge.
+    materialize: str = "files"
     # Optional compacted history store (distinct versions per id, one snapshot
     # per run date): the run reads one snapshot plus the newer silver
     # partitions instead of every earlier partition.  Same results.
@@ -81,19 +89,36 @@ def check_run_date(run_date: str) -> None:
     datetime.strptime(run_date, "%Y%m%d")
 
 
-def build(spark: SparkSession, cfg: JobConfig):
+def work_folder(spark: SparkSession, cfg: JobConfig) -> str:
+    """A folder for the run's own files; those that runs broken off long ago have left are removed."""
+    work = f"{cfg.silver_path.rstrip('/')}/{WORK}"
+    for name in listing(spark, work):
+        if modified(spark, f"{work}/{name}") < (time.time() - ABANDONED_S) * 1000:
+            remove(spark, f"{work}/{name}")
+    return f"{work}/{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back."""
+    with shuffles_removed(df.sparkSession):
+        df.write.option("compression", WORK_CODEC).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def build(spark: SparkSession, cfg: JobConfig, work: str | None = None):
     """Plans of the run: (batch, Validated).
 
-    The normalised batch is marked for persisting, so the merge, the rows
-    without an id and the rows of duplicated ids share one bronze scan; the
-    caller releases it.
+    The normalised batch is written to the folder ``work``, without one marked for
+    persisting, so the merge, the rows without an id and the rows of duplicated ids
+    share one bronze scan; the caller releases it.
     """
     if cfg.unreadable_path:
         raw, unreadable = read_segments_drifting(spark, cfg.bronze_base, cfg.run_date)
         publish(unreadable, cfg.unreadable_path, cfg.run_date, "unreadable")
     else:
         raw = read_segments(spark, cfg.bronze_base, cfg.run_date)
-    batch = normalize_reviews(spread(raw)).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = normalize_reviews(spread(raw))
+    batch = kept(batch, f"{work}/batch") if work else batch.persist(StorageLevel.MEMORY_AND_DISK)
     if cfg.versions_path:
         history = prepare_versions(spark, cfg.versions_path, cfg.silver_path, cfg.run_date)
     else:
@@ -112,11 +137,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     silver table, which the next run reads as history, is committed last.
     """
     start = rm.RunClock.now()
-    batch = v = client = None
+    batch = v = client = work = None
     try:
         check_run_date(cfg.run_date)
-        batch, v = build(spark, cfg)
-        if cfg.materialize == "checkpoint":
+        work = work_folder(spark, cfg) if cfg.materialize == "files" else None
+        batch, v = build(spark, cfg, work)
+        if work:
+            checked = kept(v.checked, f"{work}/checked")
+        elif cfg.materialize == "checkpoint":
             checkpoint_dir(spark)  # the session's folder; a local one only when unset
             checked = v.checked.checkpoint(eager=True)
         else:
@@ -130,9 +158,11 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             if cfg.env == ENV_PRE:
                 preview_v = v.valid.take(10)
                 preview_i = v.invalid.take(10)
+            if work:
+                remove(spark, f"{work}/batch")  # what is left to do needs the checked frame alone
             n_valid = publish(v.valid, cfg.silver_path, cfg.run_date, "valid", schema=SILVER_SCHEMA)
         finally:
-            if cfg.materialize != "checkpoint":
+            if cfg.materialize == "persist":
                 checked.unpersist()
         if cfg.audit_path:
             clock = rm.RunClock(start, rm.RunClock.now())
@@ -155,6 +185,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     finally:
         for frame in ([batch] if batch is not None else []) + (v.held if v is not None else []):
             frame.unpersist()
+        if work:
+            remove(spark, work)
 
 
 def rebuild_outputs(batch, checked: DataFrame, v):
@@ -193,7 +225,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-date", default=datetime.now(timezone.utc).strftime("%Y%m%d"))
     ap.add_argument("--audit", default=None)
     ap.add_argument("--failures", default=None)
-    ap.add_argument("--materialize", choices=["persist", "checkpoint"], default="persist")
+    ap.add_argument("--materialize", choices=["files", "persist", "checkpoint"], default="files")
     ap.add_argument("--unreadable", default=None, help="table of unreadable bronze files; makes the scan tolerant")
     ap.add_argument("--versions", default=None, help="folder of the compacted history store")
     ap.add_argument("--merge-how", choices=["full_outer", "left_outer"], default="full_outer")

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,15 +183,13 @@ def write_bronze_layout(spark: SparkSession, sf_dir: str, bronze_base: str, run_
     raw = bronze_with_doc(spark, sf_dir, every).select(
         *RAW_COLUMNS, layout_app(F.col("doc_id")).alias("_app"), layout_segment(F.col("doc_id")).alias("_seg"),
         F.explode(F.array(*[F.lit(d) for d in dates])).alias("odate"))
-    base = bronze_base.rstrip("/")
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)  # one scan for the six folders
+    base = bronze_base.rstrip("/")  # each folder scans the documents for itself: all their texts are too much to persist
     for app in LAYOUT_APPS:
         for seg in LAYOUT_SEGMENTS:
             part = raw.where((F.col("_app") == app) & (F.col("_seg") == seg)).select(*RAW_COLUMNS, "odate")
             part = shape(app, seg, part) if shape else part
             (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
                  .partitionBy("odate").parquet(f"{base}/{app}_{seg}"))
-    raw.unpersist()
 
 
 def write_drifting_layout(spark: SparkSession, sf_dir: str, bronze_base: str) -> None:

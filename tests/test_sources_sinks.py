@@ -185,6 +185,58 @@ def test_run_date_is_checked(spark, tmp_dir, run_date):
     assert not os.path.exists(f"{tmp_dir}/q")
 
 
+@pytest.mark.parametrize("fails", [False, True])
+def test_a_run_holds_no_texts_in_memory_and_leaves_no_files(spark, tmp_dir, monkeypatch, fails):
+    """Nothing that has a text column is persisted, by the run or by its layouts; the run's own files go, also if it fails."""
+    from tessera.sinks.files import listing
+    from tessera.sources import fixtures as fx
+    cfg = silver_job.JobConfig(
+        bronze_base=f"{tmp_dir}/bronze/googlePlay", silver_path=f"{tmp_dir}/silver",
+        quarantine_path=f"{tmp_dir}/quarantine", run_date=fx.RUN_DATE)
+    persisted, frame = [], type(spark.range(1))
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: (persisted.append(self.columns), persist(self, *a))[1])
+    fx.write_bronze_layout(spark, SF001, cfg.bronze_base)
+    fx.write_history_table(spark, SF001, cfg.silver_path, late_copy_date=None)
+    if fails:
+        monkeypatch.setattr(silver_job, "quality_summary", lambda checked: checked.select(F.raise_error(F.lit("summary"))))
+        with pytest.raises(Exception, match="summary"):
+            silver_job.run(spark, cfg)
+    else:
+        assert silver_job.run(spark, cfg).valid_rows > 0
+    assert not [c for c in persisted if "snippet" in c]
+    assert listing(spark, f"{cfg.silver_path}/{silver_job.WORK}") == []
+
+
+def test_files_of_broken_runs_are_removed_later(spark, tmp_dir, monkeypatch):
+    cfg = silver_job.JobConfig(bronze_base=tmp_dir, silver_path=f"{tmp_dir}/s", quarantine_path=f"{tmp_dir}/q", run_date="20240103")
+    left = silver_job.work_folder(spark, cfg)
+    spark.range(3).write.parquet(left)
+    silver_job.work_folder(spark, cfg)
+    assert os.path.exists(left)
+    monkeypatch.setattr(silver_job, "ABANDONED_S", -60)
+    silver_job.work_folder(spark, cfg)
+    assert not os.path.exists(left)
+
+
+def test_job_kept_in_files_equals_persisted(spark, tmp_dir):
+    from tessera.sources import fixtures as fx
+    outs = {}
+    for mode in ("files", "persist"):
+        cfg = silver_job.JobConfig(
+            bronze_base=f"{tmp_dir}/{mode}/bronze/googlePlay", silver_path=f"{tmp_dir}/{mode}/silver",
+            quarantine_path=f"{tmp_dir}/{mode}/quarantine", run_date=fx.RUN_DATE, materialize=mode)
+        fx.write_bronze_layout(spark, SF001, cfg.bronze_base)
+        fx.write_history_table(spark, SF001, cfg.silver_path, late_copy_date=None)
+        r = silver_job.run(spark, cfg)
+        outs[mode] = r.summary, silver_job.read_back(spark, cfg.silver_path), silver_job.read_back(spark, cfg.quarantine_path, silver_job.QUARANTINE_SCHEMA)
+    (a, silver_a, bad_a), (b, silver_b, bad_b) = outs["files"], outs["persist"]
+    assert a == b
+    for x, y in ((silver_a, silver_b), (bad_a, bad_b)):
+        assert x.schema == y.schema and x.count() == y.count() > 0
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
 def test_job_with_checkpointed_merge_equals_persisted(spark, tmp_dir):
     from tessera.sources import fixtures as fx
     outs = {}
